@@ -40,7 +40,7 @@ def header_lines(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
 
 
 def _columns_of(header: str) -> tuple[str, ...]:
-    return tuple(next(csv.reader([header.lstrip("﻿")])))
+    return tuple(next(csv.reader([header.lstrip("\ufeff")])))
 
 
 def drift_report(spark: SparkSession, path: str) -> DataFrame:
