@@ -31,6 +31,8 @@ def exact_quantiles(
     a third of the rows is one row after the map-side aggregate.
     """
     group = [*keys, "column"]
+    # Without keys there is one group per column, so the per-group sides are tiny.
+    small = F.broadcast if not keys else (lambda side: side)
     counts = (
         _long_values(df, keys, columns)
         .groupBy(*group, "value")
@@ -44,7 +46,7 @@ def exact_quantiles(
     same = [F.col(f"v.{c}").eqNullSafe(F.col(f"c.{c}")) for c in group]
     celled = (
         counts.alias("v")
-        .join(cuts.alias("c"), same)
+        .join(small(cuts.alias("c")), same)
         .select(
             *[F.col(f"v.{c}").alias(c) for c in group],
             "v.value",
@@ -73,7 +75,7 @@ def exact_quantiles(
     )
     ranked = (
         celled.alias("v")
-        .join(wanted.alias("w"), same)
+        .join(small(wanted.alias("w")), same)
         .select(*[F.col(f"v.{c}").alias(c) for c in [*group, "cell"]], "value", "n", "total", "before")
         .withColumn("upto", F.col("before") + F.sum("n").over(inside))
     )
