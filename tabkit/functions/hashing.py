@@ -34,6 +34,6 @@ def fraction_bound(fraction: float) -> str:
     return format(int(fraction * HASH_SPACE), f"0{HASH_DIGITS}x")
 
 
-def hash_number(key: str | list[str], purpose: str, seed: int = 42) -> Column:
-    """The first four hex digits as a number from 0 to 65535."""
-    return F.conv(F.substring(row_hash(key, purpose, seed), 1, 4), 16, 10).cast("int")
+def hash_number(key: str | list[str], purpose: str, seed: int = 42, digits: int = 4) -> Column:
+    """The leading ``digits`` (at most 8) hex digits as a number."""
+    return F.conv(F.substring(row_hash(key, purpose, seed), 1, digits), 16, 10).cast("bigint")
