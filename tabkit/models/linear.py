@@ -17,6 +17,7 @@ from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..operators.columns import assembler
+from ..session import spread
 from .partials import as_matrix, summed
 
 # The searched penalties.
@@ -133,7 +134,7 @@ def cross_validate_ridge(
 ) -> tuple[PipelineModel, list[float]]:
     """The same search with Spark's own cross validator: one fit per penalty and fold."""
     stage = assembler(features)
-    data = stage.transform(df).select(label, "features", F.col(fold).cast("int").alias("fold")).persist()
+    data = spread(stage.transform(df).select(label, "features", F.col(fold).cast("int").alias("fold")))
     estimator = _estimator(label)
     search = CrossValidator(
         estimator=estimator,

@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ..functions.hashing import HASH_DIGITS, HASH_SPACE, hash_number
 from ..functions.scalar import activation
 from ..operators.splits import Key
+from ..session import spread
 from .partials import as_matrix, summed
 
 ACTIVATIONS = ("relu", "sigmoid", "tanh")
@@ -207,7 +208,7 @@ class MLPRegressor:
     def fit(self, df: DataFrame) -> MLPModel:
         """``df`` is packed and persisted once; lost blocks are recomputed from ``df``."""
         slot = hash_number(self.key, "batch", self.seed, HASH_DIGITS).alias("slot")
-        data = packed(df, self.features, self.label, slot).persist()
+        data = spread(packed(df, self.features, self.label, slot))
         net = Network(*init_weights(len(self.features), self.hidden, self.seed), self.kind)
         started = time.monotonic()
         squares, rows = sse(data, net)
@@ -226,18 +227,20 @@ class MLPRegressor:
                 high -= HASH_SPACE
             got = _step(data, net, low, high, pending)
             if pending:
-                loss = 0.5 * got[-2] / got[-1]
+                loss = float(0.5 * got[-2] / got[-1])
                 losses.append((step, loss))
                 if abs(previous - loss) <= self.tolerance:
                     converged = True
                     break
+                if not np.isfinite(loss):
+                    break  # the rate is too high; the history shows it
                 previous = loss
             if got[-3]:
                 net = net.moved(got[:-3] / got[-3], self.rate)
             low = high % HASH_SPACE
             step += 1
             pending = step % self.check_every == 0
-        if pending and not converged:
+        if pending and (not losses or losses[-1][0] < step):
             squares, rows = sse(data, net)
             losses.append((step, 0.5 * squares / rows))
         data.unpersist()

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from ..operators.columns import assembler
 from ..operators.splits import Key, folds, sample_fraction
+from ..session import spread
 
 # The searched settings.
 TREE_GRID = {
@@ -36,7 +37,7 @@ def fit_gbt(
 ) -> PipelineModel:
     """Assembler and boosted trees. Rows are assembled and kept once, as every tree reads them."""
     stage = assembler(features)
-    data = stage.transform(df).select(label, "features").persist()
+    data = spread(stage.transform(df).select(label, "features"))
     model = _estimator(label, seed, params).fit(data)
     data.unpersist()
     return PipelineModel([stage, model])
@@ -64,7 +65,7 @@ def tune_gbt(
     """
     stage = assembler(features)
     sample = folds(sample_fraction(df, key, fraction, seed), key, k, seed)
-    data = stage.transform(sample).select(label, "features", "fold").persist()
+    data = spread(stage.transform(sample).select(label, "features", "fold"))
     estimator = _estimator(label, seed)
     builder = ParamGridBuilder()
     for name, values in grid.items():

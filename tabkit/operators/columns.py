@@ -6,7 +6,7 @@ from collections.abc import Mapping, Sequence
 from functools import reduce
 
 from pyspark.ml.feature import VectorAssembler
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 
 def conform(df: DataFrame, schema: Mapping[str, str]) -> DataFrame:
@@ -40,23 +40,40 @@ def split_fields(
     arity: Mapping[str, int] | Sequence[str],
     delimiter: str = ",",
     keep: Sequence[str] | None = None,
+    types: Mapping[str, str] | None = None,
 ) -> DataFrame:
     """Packed text columns replaced by ``col_0 ... col_{k-1}``; short rows give NULL.
 
     A mapping declares the field counts. A plain list of columns takes the
     largest count found in the data, which costs one pass. ``keep`` limits the
-    fields that are produced.
+    fields that are produced, ``types`` casts some of them on the way, with
+    NULL for text that does not parse.
+
+    The fields leave through one generated row. A later filter on them would
+    otherwise be rewritten in terms of the packed text and split it once for
+    every comparison.
     """
     if not isinstance(arity, Mapping):
         counts = field_arity(df, list(arity), delimiter).first()
         arity = {c: counts[c] or 0 for c in arity}
+    types = types or {}
+
+    def field(column: str, i: int) -> Column:
+        value = F.get(F.col(column), F.lit(i))
+        name = f"{column}_{i}"
+        return (value.try_cast(types[name]) if name in types else value).alias(name)
+
+    parts = df.select(
+        *[F.split(c, delimiter).alias(c) if c in arity else F.col(c) for c in df.columns]
+    )
     fields = [
-        F.get(F.split(c, delimiter), i).alias(f"{c}_{i}")
+        field(c, i)
         for c, k in arity.items()
         for i in range(k)
         if keep is None or f"{c}_{i}" in keep
     ]
-    return df.select(*[F.col(c) for c in df.columns if c not in arity], *fields)
+    others = [F.col(c) for c in df.columns if c not in arity]
+    return parts.select(*others, F.inline(F.array(F.struct(*fields)))) if fields else df.select(*others)
 
 
 def with_bias(df: DataFrame, name: str = "bias") -> DataFrame:

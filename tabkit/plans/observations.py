@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, functions as F
 
@@ -13,6 +13,7 @@ from ..operators.impute import GroupMeanImputer, GroupMeanModel
 from ..operators.rules import OBSERVATION_RULES, Rule, clean_observations
 from ..operators.scale import ScalerModel
 from ..operators.splits import split_tag
+from ..session import checkpointed
 
 # The input columns, their packed fields and types, and the model columns.
 RAW_COLUMNS = ("DATE", "LATITUDE", "LONGITUDE", "ELEVATION", "WND", "CIG", "VIS", "DEW", "TMP")
@@ -20,15 +21,8 @@ ARITY = {"WND": 5, "CIG": 4, "VIS": 4, "DEW": 2, "TMP": 2}
 USED_FIELDS = (
     "WND_0", "WND_1", "WND_3", "WND_4", "CIG_3", "VIS_2", "VIS_3", "DEW_0", "TMP_0", "TMP_1",
 )
-FIELD_TYPES = {
-    "LATITUDE": "double",
-    "LONGITUDE": "double",
-    "ELEVATION": "double",
-    "WND_0": "int",
-    "WND_3": "int",
-    "DEW_0": "int",
-    "TMP_0": "int",
-}
+PLACE_TYPES = {"LATITUDE": "double", "LONGITUDE": "double", "ELEVATION": "double"}
+FIELD_TYPES = {"WND_0": "int", "WND_3": "int", "DEW_0": "int", "TMP_0": "int"}
 QUALITY_FLAGS = ("TMP_1", "WND_1", "WND_4", "VIS_3")
 GROUP_KEYS = ("LONGITUDE", "LATITUDE", "ELEVATION", "MONTH")
 IMPUTED = {"WND_3": 9999, "DEW_0": 9999}
@@ -50,7 +44,7 @@ def observation_fields(raw: DataFrame, key: str | Sequence[str]) -> DataFrame:
     kinds = dict(raw.dtypes)
     carried = {k: kinds[k] for k in _names(key) if k not in RAW_COLUMNS}
     flat = conform(raw, {**carried, **{c: "string" for c in RAW_COLUMNS}})
-    return cast_columns(split_fields(flat, ARITY, keep=USED_FIELDS), FIELD_TYPES)
+    return split_fields(cast_columns(flat, PLACE_TYPES), ARITY, keep=USED_FIELDS, types=FIELD_TYPES)
 
 
 def cleaned_observations(
@@ -82,6 +76,10 @@ class Prepared:
     def test(self) -> DataFrame:
         return self.rows.filter(F.col("split") == "test").drop("split")
 
+    def kept(self) -> Prepared:
+        """The same rows written once to the checkpoint folder, for readers that pass over them often."""
+        return replace(self, rows=checkpointed(self.rows))
+
     def write(self, path: str) -> None:
         """Both parts in one pass, as Parquet partitioned by ``split``."""
         self.rows.write.mode("overwrite").partitionBy("split").parquet(path)

@@ -26,7 +26,7 @@ SELECT *, tanh(z1) AS a1, tanh(z2) AS a2, 1.5 * tanh(z1) - 2.0 * tanh(z2) + 0.25
 
 
 def _prepared(spark: SparkSession, folder: str) -> plan.Prepared:
-    return plan.prepare_observations(obs(spark, folder), OBS_KEY)
+    return plan.prepare_observations(obs(spark, folder), OBS_KEY).kept()
 
 
 @query(
@@ -98,7 +98,7 @@ def mlp_gradient(spark: SparkSession, folder: str) -> DataFrame:
 def mlp_train(spark: SparkSession, folder: str) -> DataFrame:
     """Training and test errors of a short run over all trips."""
     run = train_trips(
-        trips(spark, folder), TRIP_KEY, kind="relu", batch_rows=5000, rate=0.05, max_steps=20, check_every=5
+        trips(spark, folder), TRIP_KEY, kind="relu", batch_rows=5000, rate=0.01, max_steps=20, check_every=5
     )
     return run.report(spark).filter(F.col("metric") != "seconds")
 

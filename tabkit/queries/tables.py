@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions import scalar
 from ..operators import columns, features
-from ..plans.observations import RAW_COLUMNS, cleaned_observations, observation_fields
+from ..plans.observations import PLACE_TYPES, RAW_COLUMNS, cleaned_observations, observation_fields
 from ..plans.trips import TRIP_COLUMNS
 from ..sources.tables import first_rows
 from .fixtures import OBS_KEY, obs, trips
@@ -16,14 +16,15 @@ from .registry import query, r6, rounded
 
 ALL_FIELDS = {"WND": 5, "CIG": 4, "VIS": 4, "DEW": 2, "TMP": 2, "SLP": 2, "GA1": 6}
 NUMBER_FIELDS = {
-    "LATITUDE": "double", "LONGITUDE": "double", "ELEVATION": "double", "WND_0": "int",
-    "WND_3": "int", "CIG_0": "int", "VIS_0": "int", "DEW_0": "int", "TMP_0": "int", "SLP_0": "int",
+    "WND_0": "int", "WND_3": "int", "CIG_0": "int", "VIS_0": "int", "DEW_0": "int", "TMP_0": "int",
+    "SLP_0": "int",
 }
 
 
 def wide_fields(spark: SparkSession, folder: str) -> DataFrame:
     """All packed columns split, numbers cast."""
-    return columns.cast_columns(columns.split_fields(obs(spark, folder), ALL_FIELDS), NUMBER_FIELDS)
+    placed = columns.cast_columns(obs(spark, folder), PLACE_TYPES)
+    return columns.split_fields(placed, ALL_FIELDS, types=NUMBER_FIELDS)
 
 
 @query(

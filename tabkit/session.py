@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import tempfile
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 # A side of a join is hinted for broadcast only when its measured row count
 # times its estimated row width stays under this many bytes.
@@ -58,3 +58,20 @@ def checkpointed(df: DataFrame) -> DataFrame:
 def fits_broadcast(rows: int, columns: int) -> bool:
     """Whether ``rows`` x ``columns`` values, at 32 bytes each, are small enough to broadcast."""
     return rows * columns * 32 <= BROADCAST_BYTES
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """``df`` persisted for an iterative reader, over at least one partition per core.
+
+    Input that is already split finely enough is kept as it lies. Blocks lost
+    with an executor are recomputed from ``df``.
+    """
+    kept = df.persist()
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    filled = kept.select(F.spark_partition_id().alias("p")).agg(F.count_distinct("p")).first()[0]
+    if filled >= cores:
+        return kept
+    wide = kept.repartition(cores).persist()
+    wide.count()
+    kept.unpersist()
+    return wide

@@ -12,8 +12,8 @@ import csv
 from collections import defaultdict
 from collections.abc import Sequence
 from functools import reduce
+from urllib.parse import unquote, urlsplit
 
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 # One scan task per file, never split: the header pass stops after the first line.
@@ -40,19 +40,43 @@ def header_lines(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
 
 
 def _columns_of(header: str) -> tuple[str, ...]:
-    return tuple(next(csv.reader([header.lstrip("\ufeff")])))
-
-
-def drift_report(spark: SparkSession, path: str) -> DataFrame:
-    """Every file under ``path`` with its column names; NULL names mean it was skipped."""
-    listing = spark.read.format("binaryFile").load(path).select(
-        F.col("_metadata.file_path").alias("file_path"), F.col("length").alias("bytes")
-    )
-    headers = spark.createDataFrame(
-        [(row.file_path, list(_columns_of(row.header))) for row in header_lines(spark, path).collect()],
-        "file_path string, columns array<string>",
+    """Names in a header line; blank and repeated ones are told apart by their position."""
+    names: list[str] = []
+    for i, name in enumerate(next(csv.reader([header.lstrip("\ufeff")]))):
+        name = name or f"_c{i}"
+        names.append(f"{name}_{i}" if name in names else name)
+    return tuple(names)
+
+
+def _plain(uri: str) -> str:
+    """A listed file as a path Spark can read again, whichever way its URI was written."""
+    parts = urlsplit(uri)
+    return f"{parts.scheme}://{parts.netloc}{unquote(parts.path)}"
+
+
+def _headers(spark: SparkSession, path: str | Sequence[str]) -> dict[str, tuple[str, ...]]:
+    """Column names by file; one header line per file reaches the driver, like the listing itself."""
+    found = header_lines(spark, path).collect()
+    return {_plain(row.file_path): _columns_of(row.header) for row in found}
+
+
+def drift_report(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
+    """``(file_path, columns)`` of every file; NULL columns mean the file was skipped."""
+    headers = _headers(spark, path)
+    listed = [_plain(name) for name in spark.read.text(path).inputFiles()]
+    rows = [(name, list(headers[name]) if name in headers else None) for name in listed]
+    return spark.createDataFrame(rows, "file_path string, columns array<string>")
+
+
+def _scan(spark: SparkSession, names: Sequence[str], files: Sequence[str]) -> DataFrame:
+    schema = T.StructType([T.StructField(name, T.StringType()) for name in names])
+    return (
+        spark.read.option("header", True)
+        .option("mode", "PERMISSIVE")
+        .option("ignoreCorruptFiles", True)
+        .schema(schema)
+        .csv(sorted(files))
     )
-    return listing.join(headers, "file_path", "left")
 
 
 def read_drifting(
@@ -60,33 +84,32 @@ def read_drifting(
 ) -> DataFrame:
     """All CSV rows under ``path`` as strings, united by column name.
 
-    With ``columns`` only those names are kept, absent ones as NULL. Files
-    without a header line and unreadable files add no rows. The driver holds
-    one header line per file, as it holds the file listing itself.
+    With ``columns`` only those names are kept, absent ones as NULL, and files
+    that agree on the positions of these columns share one scan whatever else
+    they hold. Files without a header line and unreadable files add no rows.
     """
-    groups: dict[tuple[str, ...], list[str]] = defaultdict(list)
-    for row in header_lines(spark, path).collect():
-        groups[_columns_of(row.header)].append(row.file_path)
-    if not groups:
-        names = list(columns or [])
-        return spark.createDataFrame([], T.StructType([T.StructField(n, T.StringType()) for n in names]))
-
-    def scan(names: tuple[str, ...], files: list[str]) -> DataFrame:
-        schema = T.StructType([T.StructField(name, T.StringType()) for name in names])
-        df = (
-            spark.read.option("header", True)
-            .option("mode", "PERMISSIVE")
-            .option("ignoreCorruptFiles", True)
-            .schema(schema)
-            .csv(sorted(files))
-        )
+    groups: dict[tuple, list[str]] = defaultdict(list)
+    for file_path, names in _headers(spark, path).items():
         if columns is None:
-            return df
-        return df.select(
-            *[F.col(f"`{c}`") if c in names else F.lit(None).cast("string").alias(c) for c in columns]
-        )
-
-    scans = [scan(names, groups[names]) for names in sorted(groups)]
+            groups[names].append(file_path)
+        else:
+            places = tuple(names.index(c) if c in names else -1 for c in columns)
+            groups[places].append(file_path)
+    if not groups:
+        schema = [T.StructField(name, T.StringType()) for name in columns or ()]
+        return spark.createDataFrame([], T.StructType(schema))
+    if columns is None:
+        scans = [_scan(spark, names, groups[names]) for names in sorted(groups)]
+    else:
+        scans = [
+            _scan(spark, [f"_c{i}" for i in range(max(*places, 0) + 1)], groups[places]).select(
+                *[
+                    (F.lit(None).cast("string") if at < 0 else F.col(f"_c{at}")).alias(c)
+                    for c, at in zip(columns, places)
+                ]
+            )
+            for places in sorted(groups)
+        ]
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), scans)
 
 
