@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from ..operators.columns import assembler
 from ..operators.splits import Key, folds, sample_fraction
-from ..session import spread
+from ..session import ensure_checkpoint_dir, spread
 
 # The searched settings.
 TREE_GRID = {
@@ -35,7 +35,12 @@ def fit_gbt(
     params: Mapping[str, float] | None = None,
     seed: int = 42,
 ) -> PipelineModel:
-    """Assembler and boosted trees. Rows are assembled and kept once, as every tree reads them."""
+    """Assembler and boosted trees. Rows are assembled and kept once, as every tree reads them.
+
+    Every tenth tree the running residuals go to the checkpoint folder, so that
+    a lost executor does not replay the whole ensemble.
+    """
+    ensure_checkpoint_dir(df.sparkSession)
     stage = assembler(features)
     data = spread(stage.transform(df).select(label, "features"))
     model = _estimator(label, seed, params).fit(data)

@@ -35,6 +35,16 @@ def field_arity(df: DataFrame, columns: Sequence[str], delimiter: str = ",") ->
     return df.agg(*[F.max(F.size(F.split(c, delimiter))).alias(c) for c in columns])
 
 
+def computed_once(df: DataFrame, columns: Sequence[Column], keep: Sequence[str]) -> DataFrame:
+    """``keep`` and the new ``columns``, each worked out once per row.
+
+    A later filter on an ordinary computed column is rewritten in terms of its
+    inputs and repeats the work for every comparison. Columns of a generated
+    row stay as they are.
+    """
+    return df.select(*keep, F.inline(F.array(F.struct(*columns))))
+
+
 def split_fields(
     df: DataFrame,
     arity: Mapping[str, int] | Sequence[str],
@@ -49,9 +59,7 @@ def split_fields(
     fields that are produced, ``types`` casts some of them on the way, with
     NULL for text that does not parse.
 
-    The fields leave through one generated row. A later filter on them would
-    otherwise be rewritten in terms of the packed text and split it once for
-    every comparison.
+    Later filters read the fields; the text is split once, not per comparison.
     """
     if not isinstance(arity, Mapping):
         counts = field_arity(df, list(arity), delimiter).first()
@@ -72,8 +80,8 @@ def split_fields(
         for i in range(k)
         if keep is None or f"{c}_{i}" in keep
     ]
-    others = [F.col(c) for c in df.columns if c not in arity]
-    return parts.select(*others, F.inline(F.array(F.struct(*fields)))) if fields else df.select(*others)
+    others = [c for c in df.columns if c not in arity]
+    return computed_once(parts, fields, others) if fields else df.select(*others)
 
 
 def with_bias(df: DataFrame, name: str = "bias") -> DataFrame:

@@ -13,7 +13,7 @@ from ..operators.impute import GroupMeanImputer, GroupMeanModel
 from ..operators.rules import OBSERVATION_RULES, Rule, clean_observations
 from ..operators.scale import ScalerModel
 from ..operators.splits import split_tag
-from ..session import checkpointed
+from ..session import written
 
 # The input columns, their packed fields and types, and the model columns.
 RAW_COLUMNS = ("DATE", "LATITUDE", "LONGITUDE", "ELEVATION", "WND", "CIG", "VIS", "DEW", "TMP")
@@ -77,8 +77,8 @@ class Prepared:
         return self.rows.filter(F.col("split") == "test").drop("split")
 
     def kept(self) -> Prepared:
-        """The same rows written once to the checkpoint folder, for readers that pass over them often."""
-        return replace(self, rows=checkpointed(self.rows))
+        """The same rows written once, for readers that pass over them often."""
+        return replace(self, rows=written(self.rows))
 
     def write(self, path: str) -> None:
         """Both parts in one pass, as Parquet partitioned by ``split``."""

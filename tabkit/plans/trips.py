@@ -11,6 +11,7 @@ from ..models.mlp import MLPModel, MLPRegressor
 from ..operators.rules import clean_trips
 from ..operators.scale import Scaler, ScalerModel
 from ..operators.splits import Key, hash_split
+from ..session import written
 from ..sources.reports import metrics_frame
 
 # The used columns, the label last.
@@ -59,8 +60,13 @@ class TripRun:
 
 
 def train_trips(raw: DataFrame, key: Key, fraction: float = 0.7, seed: int = 42, **network) -> TripRun:
-    """Clean, split, normalise with training statistics (population sd), train, evaluate."""
-    train, test = hash_split(typed_trips(raw), key, fraction, seed)
+    """Clean, split, normalise with training statistics (population sd), train, evaluate.
+
+    The cleaned rows are written once; every later pass reads numbers, not text.
+    """
+    keys = [key] if isinstance(key, str) else list(key)
+    columns = dict.fromkeys([*keys, *TRIP_COLUMNS])
+    train, test = hash_split(written(typed_trips(raw).select(*columns)), key, fraction, seed)
     scaler = Scaler(FEATURES, ddof=0).fit(train)
     train, test = scaler.transform(train), scaler.transform(test)
     model = MLPRegressor(FEATURES, LABEL, key, seed=seed, **network).fit(train)

@@ -10,9 +10,9 @@ from ..operators import splits
 from ..plans import observations as plan, training
 from ..plans.trips import typed_trips, train_trips
 from ..sources.reports import metrics_frame
-from .fixtures import OBS_KEY, TRIP_KEY, obs, trips
+from .fixtures import OBS_KEY, TRIP_KEY, obs, timed_trips
 from .oracle import OBS_ID, TRIP_ID, digest, hex4, using
-from .registry import query, r6, rounded
+from .registry import query, r6, rounded, rounded_rows
 
 # A small network with written-out weights, so that SQL can follow every step.
 LITERAL_NET = mlp.Network(
@@ -34,8 +34,8 @@ def _prepared(spark: SparkSession, folder: str) -> plan.Prepared:
     using("typed_trips", body=f"SELECT l_orderkey, l_linenumber, trip_distance, extra, {r6('p')} AS prediction FROM ({_FORWARD})"),
 )
 def mlp_forward(spark: SparkSession, folder: str) -> DataFrame:
-    df = typed_trips(trips(spark, folder)).select("l_orderkey", "l_linenumber", *NET_INPUTS)
-    return rounded(mlp.MLPModel(LITERAL_NET, NET_INPUTS, "total_amount").transform(df))
+    df = typed_trips(timed_trips(spark, folder)).select("l_orderkey", "l_linenumber", *NET_INPUTS)
+    return rounded_rows(mlp.MLPModel(LITERAL_NET, NET_INPUTS, "total_amount").transform(df))
 
 
 @query(
@@ -43,9 +43,9 @@ def mlp_forward(spark: SparkSession, folder: str) -> DataFrame:
     using("typed_trips", body=f"SELECT l_orderkey, l_linenumber, {r6('p')} AS prediction FROM ({_FORWARD})"),
 )
 def mlp_forward_columns(spark: SparkSession, folder: str) -> DataFrame:
-    df = typed_trips(trips(spark, folder))
+    df = typed_trips(timed_trips(spark, folder))
     out = mlp.forward_columns([F.col(c) for c in NET_INPUTS], LITERAL_NET)
-    return rounded(df.select("l_orderkey", "l_linenumber", out.alias("prediction")))
+    return rounded_rows(df.select("l_orderkey", "l_linenumber", out.alias("prediction")))
 
 
 @query(
@@ -58,7 +58,7 @@ SELECT {r6('sqrt(avg((p - total_amount) ** 2))')} AS rmse,
     ),
 )
 def mlp_sse(spark: SparkSession, folder: str) -> DataFrame:
-    data = mlp.packed(typed_trips(trips(spark, folder)), NET_INPUTS, "total_amount")
+    data = mlp.packed(typed_trips(timed_trips(spark, folder)), NET_INPUTS, "total_amount")
     squares, rows = mlp.sse(data, LITERAL_NET)
     found = [(float(np.sqrt(squares / rows)), 0.5 * squares / rows, int(rows))]
     return rounded(spark.createDataFrame(found, "rmse double, loss double, rows bigint"))
@@ -88,7 +88,7 @@ def mlp_sse(spark: SparkSession, folder: str) -> DataFrame:
     ),
 )
 def mlp_gradient(spark: SparkSession, folder: str) -> DataFrame:
-    data = mlp.packed(typed_trips(trips(spark, folder)), NET_INPUTS, "total_amount")
+    data = mlp.packed(typed_trips(timed_trips(spark, folder)), NET_INPUTS, "total_amount")
     names = [f"hidden[{i},{j}]" for i in range(3) for j in range(2)] + [f"output[{i}]" for i in range(3)]
     pairs = zip(names, mlp.gradient(data, LITERAL_NET).tolist())
     return rounded(spark.createDataFrame(list(pairs), "weight string, gradient double"))
@@ -98,7 +98,7 @@ def mlp_gradient(spark: SparkSession, folder: str) -> DataFrame:
 def mlp_train(spark: SparkSession, folder: str) -> DataFrame:
     """Training and test errors of a short run over all trips."""
     run = train_trips(
-        trips(spark, folder), TRIP_KEY, kind="relu", batch_rows=5000, rate=0.01, max_steps=20, check_every=5
+        timed_trips(spark, folder), TRIP_KEY, kind="relu", batch_rows=5000, rate=0.01, max_steps=20, check_every=5
     )
     return run.report(spark).filter(F.col("metric") != "seconds")
 
@@ -119,7 +119,7 @@ FROM (SELECT *, cxy / (vx * (1 + 0.3 / sy)) AS slope FROM ({_RIDGE_MOMENTS}))"""
     ),
 )
 def ridge_single_feature(spark: SparkSession, folder: str) -> DataFrame:
-    model = linear.fit_ridge(typed_trips(trips(spark, folder)), ["trip_distance"], "total_amount", 0.3)
+    model = linear.fit_ridge(typed_trips(timed_trips(spark, folder)), ["trip_distance"], "total_amount", 0.3)
     stage = linear.fitted(model)
     found = [(float(stage.coefficients[0]), float(stage.intercept))]
     return rounded(spark.createDataFrame(found, "slope double, intercept double"))
@@ -140,7 +140,7 @@ FROM s""",
     ),
 )
 def ridge_two_features(spark: SparkSession, folder: str) -> DataFrame:
-    model = linear.fit_ridge(typed_trips(trips(spark, folder)), NET_INPUTS, "total_amount", 0.5)
+    model = linear.fit_ridge(typed_trips(timed_trips(spark, folder)), NET_INPUTS, "total_amount", 0.5)
     stage = linear.fitted(model)
     found = [(*[float(c) for c in stage.coefficients], float(stage.intercept))]
     schema = "distance_slope double, extra_slope double, intercept double"
@@ -161,7 +161,7 @@ e AS (SELECT w.r, w.fold, sqrt(avg((y - my - slope * (x - mx)) ** 2)) AS rmse, m
 
 
 def _folded_trips(spark: SparkSession, folder: str) -> DataFrame:
-    df = splits.folds(typed_trips(trips(spark, folder)), TRIP_KEY, 5)
+    df = splits.folds(typed_trips(timed_trips(spark, folder)), TRIP_KEY, 5)
     return df.select("fold", "trip_distance", "total_amount")
 
 
@@ -282,7 +282,7 @@ _MAPE = "avg(abs(TMP_0 - prediction) / greatest(abs(TMP_0), 2.22e-16))"
     using("feats", body=_NAIVE_SQL + f"SELECT obs_id, split, TMP_0, {r6('prediction')} AS prediction FROM n"),
 )
 def naive_baseline(spark: SparkSession, folder: str) -> DataFrame:
-    return rounded(_naive(spark, folder)[0])
+    return rounded_rows(_naive(spark, folder)[0])
 
 
 @query(

@@ -8,9 +8,9 @@ from ..operators import impute, splits
 from ..operators.scale import Scaler
 from ..plans import observations as plan
 from ..plans.trips import FEATURES as TRIP_FEATURES, typed_trips
-from .fixtures import OBS_KEY, TRIP_KEY, obs, trips
+from .fixtures import OBS_KEY, TRIP_KEY, obs, timed_trips
 from .oracle import OBS_ID, TRIP_ID, digest, hex4, using
-from .registry import query, r6, rounded
+from .registry import query, r6, rounded, rounded_rows
 
 KEYS = plan.GROUP_KEYS
 
@@ -52,7 +52,7 @@ FROM imputed WHERE split = """
 def _imputed(spark: SparkSession, folder: str, side: str) -> DataFrame:
     table = _features(spark, folder).select("obs_id", *KEYS, "WND_3", "DEW_0", "split")
     model = impute.GroupMeanImputer(KEYS, plan.IMPUTED).fit(_train(table))
-    return rounded(model.transform(table.filter(F.col("split") == side)).drop("split"))
+    return rounded_rows(model.transform(table.filter(F.col("split") == side)).drop("split"))
 
 
 @query("impute_train", using("imputed", body=_IMPUTED_SQL + "'train'"))
@@ -78,7 +78,7 @@ FROM feats WINDOW g AS (PARTITION BY LONGITUDE, LATITUDE, ELEVATION, MONTH)""",
 )
 def impute_window(spark: SparkSession, folder: str) -> DataFrame:
     table = _features(spark, folder).select("obs_id", *KEYS, "WND_3", "DEW_0")
-    return rounded(impute.impute_in_place(table, KEYS, plan.IMPUTED).select("obs_id", "WND_3", "DEW_0"))
+    return rounded_rows(impute.impute_in_place(table, KEYS, plan.IMPUTED).select("obs_id", "WND_3", "DEW_0"))
 
 
 @query(
@@ -92,7 +92,7 @@ def standardise(spark: SparkSession, folder: str) -> DataFrame:
     table = _features(spark, folder).select("obs_id", "split", *KEYS, "WND_3", "DEW_0")
     filled = impute.GroupMeanImputer(KEYS, plan.IMPUTED).fit(_train(table)).transform(table)
     scaler = Scaler(plan.STANDARDISED, ddof=1).fit(_train(filled))
-    return rounded(scaler.transform(filled).select("obs_id", "split", *plan.STANDARDISED))
+    return rounded_rows(scaler.transform(filled).select("obs_id", "split", *plan.STANDARDISED))
 
 
 @query(
@@ -110,10 +110,10 @@ FROM tagged, s""",
     ),
 )
 def normalise_pop(spark: SparkSession, folder: str) -> DataFrame:
-    tagged = splits.split_tag(typed_trips(trips(spark, folder)), TRIP_KEY)
+    tagged = splits.split_tag(typed_trips(timed_trips(spark, folder)), TRIP_KEY)
     scaler = Scaler(TRIP_FEATURES, ddof=0).fit(_train(tagged))
     kept = ("l_orderkey", "l_linenumber", "split", "total_amount", *TRIP_FEATURES)
-    return rounded(scaler.transform(tagged).select(*kept))
+    return rounded_rows(scaler.transform(tagged).select(*kept))
 
 
 @query("hash_split", using("feats", body="SELECT obs_id, split FROM feats"))
@@ -185,4 +185,4 @@ _DOUBLES = ("HOUR_SIN", "HOUR_COS", "MONTH_SIN", "MONTH_COS", "WND_0_SIN", "WND_
     ),
 )
 def prepare_observations(spark: SparkSession, folder: str) -> DataFrame:
-    return rounded(plan.prepare_observations(obs(spark, folder), OBS_KEY).rows)
+    return rounded_rows(plan.prepare_observations(obs(spark, folder), OBS_KEY).rows)

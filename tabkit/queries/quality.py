@@ -8,7 +8,7 @@ from ..operators import profiling, quantiles, rules
 from ..operators.scale import scaler_stats
 from ..plans.observations import LABEL, cleaned_observations, feature_table
 from ..plans.trips import TRIP_COLUMNS, typed_trips
-from .fixtures import OBS_KEY, obs, trips
+from .fixtures import OBS_KEY, obs, timed_trips, trips
 from .oracle import using
 from .registry import query, r6, rounded
 from .tables import wide_fields
@@ -19,7 +19,7 @@ CHUNK_ORDERS = 2500  # orders per chunk of trips
 
 @query("clean_trips", using("good_trips", body="SELECT * FROM good_trips"))
 def clean_trips(spark: SparkSession, folder: str) -> DataFrame:
-    return rules.clean_trips(trips(spark, folder), TRIP_COLUMNS)
+    return rules.clean_trips(timed_trips(spark, folder), TRIP_COLUMNS)
 
 
 @query(
@@ -296,4 +296,4 @@ def scaler_stats_sample(spark: SparkSession, folder: str) -> DataFrame:
     ),
 )
 def scaler_stats_pop(spark: SparkSession, folder: str) -> DataFrame:
-    return rounded(scaler_stats(typed_trips(trips(spark, folder)), TRIP_COLUMNS[2:], ddof=0))
+    return rounded(scaler_stats(typed_trips(timed_trips(spark, folder)), TRIP_COLUMNS[2:], ddof=0))

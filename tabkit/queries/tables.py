@@ -12,7 +12,7 @@ from ..plans.trips import TRIP_COLUMNS
 from ..sources.tables import first_rows
 from .fixtures import OBS_KEY, obs, trips
 from .oracle import using
-from .registry import query, r6, rounded
+from .registry import query, r6, rounded, rounded_rows
 
 ALL_FIELDS = {"WND": 5, "CIG": 4, "VIS": 4, "DEW": 2, "TMP": 2, "SLP": 2, "GA1": 6}
 NUMBER_FIELDS = {
@@ -268,7 +268,7 @@ def activations(spark: SparkSession, folder: str) -> DataFrame:
     events = spark.read.parquet(f"{folder}/events.parquet")
     x = (F.col("value") - 40) / 20
     kinds = ("relu", "sigmoid", "tanh")
-    return rounded(
+    return rounded_rows(
         events.select(
             "event_id",
             *[scalar.activation(x, k).alias(k) for k in kinds],
@@ -304,7 +304,7 @@ SELECT obs_id, {r6('HOUR_SIN')} AS HOUR_SIN, {r6('HOUR_COS')} AS HOUR_COS,
 def cyclic_features(spark: SparkSession, folder: str) -> DataFrame:
     df = features.hour_month(cleaned_observations(obs(spark, folder), OBS_KEY))
     turned = features.cyclic(features.cyclic(df, "HOUR", 24), "MONTH", 12)
-    return rounded(turned.select("obs_id", "HOUR_SIN", "HOUR_COS", "MONTH_SIN", "MONTH_COS"))
+    return rounded_rows(turned.select("obs_id", "HOUR_SIN", "HOUR_COS", "MONTH_SIN", "MONTH_COS"))
 
 
 @query(
@@ -316,4 +316,4 @@ def cyclic_features(spark: SparkSession, folder: str) -> DataFrame:
 )
 def cyclic_direction(spark: SparkSession, folder: str) -> DataFrame:
     df = features.cyclic_direction(cleaned_observations(obs(spark, folder), OBS_KEY), "WND_0")
-    return rounded(df.select("obs_id", "WND_0_SIN", "WND_0_COS"))
+    return rounded_rows(df.select("obs_id", "WND_0_SIN", "WND_0_COS"))

@@ -1,8 +1,9 @@
-"""Session defaults and the two ways this library shortens lineage."""
+"""Session defaults, and the ways rows are kept between passes."""
 
 from __future__ import annotations
 
 import tempfile
+from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -55,6 +56,18 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def written(df: DataFrame) -> DataFrame:
+    """``df`` as a Parquet table in the checkpoint folder, for rows that are read several times.
+
+    Unlike a checkpoint it stays columnar, so later readers fetch only their columns.
+    """
+    spark = df.sparkSession
+    ensure_checkpoint_dir(spark)
+    path = f"{spark.sparkContext.getCheckpointDir()}/table-{uuid4()}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def fits_broadcast(rows: int, columns: int) -> bool:
     """Whether ``rows`` x ``columns`` values, at 32 bytes each, are small enough to broadcast."""
     return rows * columns * 32 <= BROADCAST_BYTES
