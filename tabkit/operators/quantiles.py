@@ -139,7 +139,7 @@ def global_quantiles(df: DataFrame, columns: Sequence[str], q: float) -> DataFra
     )
 
 
-def five_number(df: DataFrame, column: str) -> DataFrame:
+def five_number(df: DataFrame, column: str, by: Sequence[str] = ()) -> DataFrame:
     """Minimum, quartiles and maximum of a small column such as fold scores."""
     qs = {"minimum": 0.0, "q1": 0.25, "median": 0.5, "q3": 0.75, "maximum": 1.0}
-    return df.agg(*[F.percentile(column, q).alias(name) for name, q in qs.items()])
+    return df.groupBy(*by).agg(*[F.percentile(column, q).alias(name) for name, q in qs.items()])

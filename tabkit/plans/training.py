@@ -21,7 +21,7 @@ from ..models.linear import RIDGE_GRID, tune_ridge
 from ..models.trees import TREE_GRID, tune_gbt
 from ..operators.columns import union_outer
 from ..operators.splits import Key, folds
-from ..sources.reports import metrics_long
+from ..sources.reports import metrics_long, save_model, write_json
 from .observations import FEATURES, LABEL
 
 
@@ -49,6 +49,12 @@ class ModelRun:
     ranking: DataFrame
     report: DataFrame
 
+    def write(self, path: str) -> None:
+        """The fitted pipeline and, as JSON, its metrics, ranking and parameters."""
+        save_model(self.model, f"{path}/model")
+        for name in ("metrics", "ranking", "report"):
+            write_json(getattr(self, name), f"{path}/{name}")
+
 
 def run_ridge(
     train: DataFrame,

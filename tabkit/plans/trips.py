@@ -12,7 +12,7 @@ from ..operators.rules import clean_trips
 from ..operators.scale import Scaler, ScalerModel
 from ..operators.splits import Key, hash_split
 from ..session import written
-from ..sources.reports import metrics_frame
+from ..sources.reports import loss_history_frame, metrics_frame
 
 # The used columns, the label last.
 TRIP_COLUMNS = (
@@ -44,6 +44,10 @@ class TripRun:
     train_rmse: float
     test_rmse: float
 
+    def history(self, spark: SparkSession) -> DataFrame:
+        """``(step, loss)`` for every checked step."""
+        return loss_history_frame(spark, self.model.losses)
+
     def report(self, spark: SparkSession) -> DataFrame:
         """RMSE of both parts, the final loss, step count and training time."""
         losses = self.model.losses

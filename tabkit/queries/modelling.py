@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..models import evaluate, linear, mlp, trees
 from ..operators import splits
-from ..plans import observations as plan, training
+from ..plans import exploration, observations as plan, training
 from ..plans.trips import typed_trips, train_trips
 from ..sources.reports import metrics_frame
 from .fixtures import OBS_KEY, TRIP_KEY, obs, timed_trips
@@ -219,6 +219,13 @@ def coefficient_ranking(spark: SparkSession, folder: str) -> DataFrame:
     return evaluate.coefficient_ranking(linear.fitted(model), plan.FEATURES)
 
 
+@query("fold_comparison")
+def fold_comparison(spark: SparkSession, folder: str) -> DataFrame:
+    """Five-number summaries of the fold scores of ridge and of the mean."""
+    train = exploration.explore_observations(obs(spark, folder), OBS_KEY).train
+    return exploration.fold_spread(exploration.compare_by_fold(train, OBS_KEY))
+
+
 SMALL_TREES = {"maxDepth": 3, "maxIter": 5, "stepSize": 0.2, "subsamplingRate": 1.0, "minInstancesPerNode": 2}
 
 

@@ -81,6 +81,18 @@ WHERE TMP_0 > -932 AND TMP_0 < 618 AND TMP_1 NOT IN ('2', '3', '6', '7')
   AND DEW_0 > -932 AND (DEW_0 < 368 OR DEW_0 = 9999)
 """,
 )
+TARGET_SQL = "TMP_0 BETWEEN -932 AND 618 AND TMP_1 NOT IN ('2', '3', '6', '7')"
+WIDE_SQL = """
+  WND_0 >= 1 AND (WND_0 <= 360 OR WND_0 = 999) AND WND_1 NOT IN ('3', '7')
+  AND WND_3 >= 0 AND (WND_3 <= 900 OR WND_3 = 9999) AND WND_4 NOT IN ('3', '7')
+  AND CIG_0 >= 0 AND (CIG_0 <= 22000 OR CIG_0 = 99999) AND CIG_1 NOT IN ('3', '7')
+  AND CIG_3 IN ('N', 'Y', '9')
+  AND VIS_0 >= 0 AND (VIS_0 <= 160000 OR VIS_0 = 999999) AND VIS_1 NOT IN ('3', '7')
+  AND VIS_2 IN ('N', 'Y', '9') AND VIS_3 NOT IN ('3', '7')
+  AND DEW_0 >= -982 AND (DEW_0 <= 368 OR DEW_0 = 9999) AND DEW_1 NOT IN ('3', '7')
+  AND SLP_0 >= 8600 AND (SLP_0 <= 10900 OR SLP_0 = 99999) AND SLP_1 NOT IN ('3', '7')
+"""
+step("wide_clean", ("fields",), f"SELECT * FROM fields WHERE {TARGET_SQL} AND {WIDE_SQL}")
 # 'b3333333' is seven tenths of the range of eight hex digits.
 step(
     "feats",

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..operators import impute, splits
 from ..operators.scale import Scaler
-from ..plans import observations as plan
+from ..plans import exploration, observations as plan
 from ..plans.trips import FEATURES as TRIP_FEATURES, typed_trips
 from .fixtures import OBS_KEY, TRIP_KEY, obs, timed_trips
 from .oracle import OBS_ID, TRIP_ID, digest, hex4, using
@@ -186,3 +186,37 @@ _DOUBLES = ("HOUR_SIN", "HOUR_COS", "MONTH_SIN", "MONTH_COS", "WND_0_SIN", "WND_
 )
 def prepare_observations(spark: SparkSession, folder: str) -> DataFrame:
     return rounded_rows(plan.prepare_observations(obs(spark, folder), OBS_KEY).rows)
+
+
+_EXPLORED = ("WND_3", "DEW_0", "LATITUDE", "LONGITUDE", "ELEVATION")
+
+
+@query(
+    "explore_observations",
+    using(
+        "wide_clean",
+        body=f"""
+, ranked AS (SELECT *, row_number() OVER (ORDER BY {digest('exact', OBS_ID)}) AS r, count(*) OVER () AS n
+  FROM wide_clean),
+f AS (SELECT *, hour(CAST(DATE AS TIMESTAMP)) AS h, month(CAST(DATE AS TIMESTAMP)) AS m
+  FROM ranked WHERE r <= n - ceil(0.2 * n)),
+g AS (SELECT LATITUDE, LONGITUDE, ELEVATION, m, avg(NULLIF(WND_3, 9999)) AS w, avg(NULLIF(DEW_0, 9999)) AS d
+  FROM f GROUP BY ALL),
+a AS (SELECT avg(NULLIF(WND_3, 9999)) AS wa, avg(NULLIF(DEW_0, 9999)) AS da FROM f),
+i AS (SELECT f.* REPLACE (coalesce(CAST(NULLIF(WND_3, 9999) AS DOUBLE), w, wa) AS WND_3,
+    coalesce(CAST(NULLIF(DEW_0, 9999) AS DOUBLE), d, da) AS DEW_0)
+  FROM f LEFT JOIN g USING (LATITUDE, LONGITUDE, ELEVATION, m), a),
+s AS (SELECT {', '.join(f'avg({c}) AS {c}_m, stddev_pop({c}) AS {c}_s' for c in _EXPLORED)} FROM i)
+SELECT obs_id, TMP_0, {', '.join(f"{r6(f'({c} - {c}_m) / {c}_s')} AS {c}" for c in _EXPLORED)},
+  CASE WHEN CIG_3 = 'Y' THEN 1 ELSE 0 END AS CIG_3_Y, CASE WHEN CIG_3 = '9' THEN 1 ELSE 0 END AS CIG_3_9,
+  CASE WHEN VIS_2 = 'V' THEN 1 ELSE 0 END AS VIS_2_V, CASE WHEN VIS_2 = '9' THEN 1 ELSE 0 END AS VIS_2_9,
+  CASE WHEN WND_0 = 999 THEN 1 ELSE 0 END AS WND_0_UNDETERMINED,
+  {r6('CASE WHEN WND_0 = 999 THEN 0.0 ELSE sin(WND_0 * pi() / 180) END')} AS WND_0_SIN,
+  {r6('CASE WHEN WND_0 = 999 THEN 0.0 ELSE cos(WND_0 * pi() / 180) END')} AS WND_0_COS,
+  {r6('sin(2 * pi() * h / 24)')} AS HOUR_SIN, {r6('cos(2 * pi() * h / 24)')} AS HOUR_COS,
+  {r6('sin(2 * pi() * m / 12)')} AS MONTH_SIN, {r6('cos(2 * pi() * m / 12)')} AS MONTH_COS
+FROM i, s""",
+    ),
+)
+def explore_observations(spark: SparkSession, folder: str) -> DataFrame:
+    return rounded_rows(exploration.explore_observations(obs(spark, folder), OBS_KEY).train)

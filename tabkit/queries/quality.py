@@ -6,10 +6,11 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..operators import profiling, quantiles, rules
 from ..operators.scale import scaler_stats
+from ..plans.exploration import missing_shares
 from ..plans.observations import LABEL, cleaned_observations, feature_table
 from ..plans.trips import TRIP_COLUMNS, typed_trips
 from .fixtures import OBS_KEY, obs, timed_trips, trips
-from .oracle import using
+from .oracle import TARGET_SQL, WIDE_SQL, using
 from .registry import query, r6, rounded
 from .tables import wide_fields
 
@@ -32,19 +33,6 @@ def clean_observations(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-TARGET_SQL = "TMP_0 BETWEEN -932 AND 618 AND TMP_1 NOT IN ('2', '3', '6', '7')"
-WIDE_SQL = """
-  WND_0 >= 1 AND (WND_0 <= 360 OR WND_0 = 999) AND WND_1 NOT IN ('3', '7')
-  AND WND_3 >= 0 AND (WND_3 <= 900 OR WND_3 = 9999) AND WND_4 NOT IN ('3', '7')
-  AND CIG_0 >= 0 AND (CIG_0 <= 22000 OR CIG_0 = 99999) AND CIG_1 NOT IN ('3', '7')
-  AND CIG_3 IN ('N', 'Y', '9')
-  AND VIS_0 >= 0 AND (VIS_0 <= 160000 OR VIS_0 = 999999) AND VIS_1 NOT IN ('3', '7')
-  AND VIS_2 IN ('N', 'Y', '9') AND VIS_3 NOT IN ('3', '7')
-  AND DEW_0 >= -982 AND (DEW_0 <= 368 OR DEW_0 = 9999) AND DEW_1 NOT IN ('3', '7')
-  AND SLP_0 >= 8600 AND (SLP_0 <= 10900 OR SLP_0 = 99999) AND SLP_1 NOT IN ('3', '7')
-"""
-
-
 @query(
     "clean_target",
     using("fields", body=f"SELECT obs_id, TMP_0, TMP_1 FROM fields WHERE {TARGET_SQL}"),
@@ -183,12 +171,7 @@ def missing_pct(spark: SparkSession, folder: str) -> DataFrame:
     ),
 )
 def missing_pct_guarded(spark: SparkSession, folder: str) -> DataFrame:
-    sentinels = {
-        "LATITUDE": [99999], "LONGITUDE": [999999], "ELEVATION": [9999], "WND_0": [999],
-        "WND_3": [9999], "CIG_0": [99999], "VIS_0": [999999], "DEW_0": [9999], "SLP_0": [99999],
-    }
-    guards = {"WND_0": F.col("WND_2") != "V"}
-    return rounded(profiling.missing_pct(wide_fields(spark, folder), sentinels, guards))
+    return rounded(missing_shares(wide_fields(spark, folder)))
 
 
 @query("value_counts", using("obs", body="SELECT SOURCE, count(*) AS rows FROM obs GROUP BY SOURCE"))

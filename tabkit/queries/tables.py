@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions import scalar
 from ..operators import columns, features
+from ..plans.exploration import WIDE_ARITY, WIDE_TYPES
 from ..plans.observations import PLACE_TYPES, RAW_COLUMNS, cleaned_observations, observation_fields
 from ..plans.trips import TRIP_COLUMNS
 from ..sources.tables import first_rows
@@ -14,17 +15,13 @@ from .fixtures import OBS_KEY, obs, trips
 from .oracle import using
 from .registry import query, r6, rounded, rounded_rows
 
-ALL_FIELDS = {"WND": 5, "CIG": 4, "VIS": 4, "DEW": 2, "TMP": 2, "SLP": 2, "GA1": 6}
-NUMBER_FIELDS = {
-    "WND_0": "int", "WND_3": "int", "CIG_0": "int", "VIS_0": "int", "DEW_0": "int", "TMP_0": "int",
-    "SLP_0": "int",
-}
+ALL_FIELDS = {**WIDE_ARITY, "GA1": 6}
 
 
 def wide_fields(spark: SparkSession, folder: str) -> DataFrame:
     """All packed columns split, numbers cast."""
     placed = columns.cast_columns(obs(spark, folder), PLACE_TYPES)
-    return columns.split_fields(placed, ALL_FIELDS, types=NUMBER_FIELDS)
+    return columns.split_fields(placed, ALL_FIELDS, types=WIDE_TYPES)
 
 
 @query(

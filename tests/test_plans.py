@@ -1,9 +1,13 @@
 """Whole runs from CSV text to models."""
 
+import math
+
 import pytest
+from pyspark.sql import functions as F
 
-from tabkit.plans import observations as plan, training, trips
+from tabkit.plans import exploration, observations as plan, training, trips
 from tabkit.sources.drifting import read_folder
+from tabkit.sources.reports import load_model
 from tabkit.sources.tables import read_columns, write_csv
 
 from test_preparation import raw_rows
@@ -74,3 +78,31 @@ def test_trips_from_csv_text(spark, tmp_path):
     assert run.test_rmse < 20
     report = {(r.split, r.metric): r.value for r in run.report(spark).collect()}
     assert report["train", "steps"] == 60 and report["test", "rmse"] == run.test_rmse
+
+
+def test_exploration(spark, observation_folder, tmp_path):
+    raw = read_folder(spark, observation_folder, ["obs_id", *plan.RAW_COLUMNS, "SLP"])
+    raw = raw.withColumn("SLP", F.when(F.col("obs_id") == "3", "11000,1").otherwise("10100,1"))
+    # A temperature that follows the dew point, so that a linear model has something to find.
+    raw = raw.withColumn("TMP", F.when(F.col("DEW") == "+9999,1", "+0015,1").otherwise(F.col("DEW")))
+    found = exploration.explore_observations(raw, "obs_id")
+    errors = {r.rule: r.rows for r in found.errors.collect()}
+    assert errors["SLP_0"] == 1 and errors["VIS_2"] > 0
+    train, test = found.train.count(), found.test.count()
+    assert test == math.ceil(0.2 * (train + test))
+    assert set(plan.FEATURES) <= set(found.train.columns)
+    scores = exploration.compare_by_fold(found.train, "obs_id")
+    assert scores.count() == 10
+    spread = {r.model: r for r in exploration.fold_spread(scores).collect()}
+    assert spread["ridge"].median < spread["naive"].median
+    assert {r.column for r in found.missing.collect()} == set(exploration.SENTINELS)
+
+
+def test_a_run_is_written(spark, observation_folder, tmp_path):
+    raw = read_folder(spark, observation_folder, ["obs_id", *plan.RAW_COLUMNS])
+    prepared = plan.prepare_observations(raw, "obs_id").kept()
+    run = training.run_ridge(prepared.train, prepared.test, "obs_id", grid=(0.1,), k=2)
+    run.write(str(tmp_path / "run"))
+    assert spark.read.json(str(tmp_path / "run" / "metrics")).count() == 10
+    again = load_model(str(tmp_path / "run" / "model")).transform(prepared.test)
+    assert again.select("prediction").count() == prepared.test.count()
