@@ -25,9 +25,7 @@ RIDGE_GRID = (0.001, 0.01, 0.1, 0.3, 1.0, 3.0, 10.0)
 
 
 def _estimator(label: str, reg: float = 0.0) -> LinearRegression:
-    return LinearRegression(
-        featuresCol="features", labelCol=label, regParam=reg, elasticNetParam=0.0, solver="normal"
-    )
+    return LinearRegression(featuresCol="features", labelCol=label, regParam=reg, elasticNetParam=0.0)
 
 
 def fit_ridge(df: DataFrame, features: Sequence[str], label: str, reg: float) -> PipelineModel:

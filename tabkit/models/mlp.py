@@ -209,13 +209,18 @@ class MLPRegressor:
         """``df`` is packed and persisted once; lost blocks are recomputed from ``df``."""
         slot = hash_number(self.key, "batch", self.seed, HASH_DIGITS).alias("slot")
         data = spread(packed(df, self.features, self.label, slot))
+        try:
+            return self._descend(data)
+        finally:
+            data.unpersist()
+
+    def _descend(self, data: DataFrame) -> MLPModel:
         net = Network(*init_weights(len(self.features), self.hidden, self.seed), self.kind)
         started = time.monotonic()
         squares, rows = sse(data, net)
-        losses: list[tuple[int, float]] = []
         if not rows:
-            data.unpersist()
             raise ValueError("no complete row to train on")
+        losses: list[tuple[int, float]] = []
         previous, converged = 0.5 * squares / rows, False
         width = min(HASH_SPACE, max(1, round(HASH_SPACE * self.batch_rows / rows)))
         low, step, pending = 0, 0, False
@@ -242,8 +247,9 @@ class MLPRegressor:
             pending = step % self.check_every == 0
         if pending and (not losses or losses[-1][0] < step):
             squares, rows = sse(data, net)
-            losses.append((step, 0.5 * squares / rows))
-        data.unpersist()
+            loss = 0.5 * squares / rows
+            losses.append((step, loss))
+            converged = abs(previous - loss) <= self.tolerance
         return MLPModel(
             net, list(self.features), self.label, losses, time.monotonic() - started, converged
         )

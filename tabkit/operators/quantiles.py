@@ -20,8 +20,12 @@ SMALL_GROUP_VALUES = 4_000_000
 
 
 def _long_values(df: DataFrame, keys: Sequence[str], columns: Sequence[str]) -> DataFrame:
+    """One row per value that is present; ``column`` is the place in ``columns``."""
     values = F.array(
-        *[F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("value")) for c in columns]
+        *[
+            F.struct(F.lit(i).alias("column"), F.col(c).cast("double").alias("value"))
+            for i, c in enumerate(columns)
+        ]
     )
     return df.select(*keys, F.inline(values)).filter(F.col("value").isNotNull())
 
@@ -93,7 +97,12 @@ def exact_quantiles(
 
     low, high = at(F.floor(rank)), at(F.ceil(rank))
     share = F.first(rank - F.floor(rank))
-    return ranked.groupBy(*group).agg((low + (high - low) * share).alias("quantile"))
+    names = F.array(*[F.lit(c) for c in columns])
+    return (
+        ranked.groupBy(*group)
+        .agg((low + (high - low) * share).alias("quantile"))
+        .select(*keys, F.get(names, F.col("column")).alias("column"), "quantile")
+    )
 
 
 def chunk_quantiles(
