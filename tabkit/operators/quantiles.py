@@ -12,6 +12,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from ..session import fits_broadcast
+
 CELLS = 512  # cells per group; the per-group work in one task shrinks by this factor
 STRIDE = 32  # every 32nd cut is tried first, so a value is compared about 47 times, not 511
 
@@ -116,14 +118,32 @@ def chunk_quantiles(
     """One row per chunk with the ``q`` quantile of each column.
 
     ``chunk`` is a key expression, as rows of a distributed table have no
-    position of their own. A first pass over the key finds the largest chunk:
-    when all chunks fit a task, one aggregate does the work; otherwise every
-    chunk goes through ``exact_quantiles``. Both give the same numbers.
+    position of their own. A first pass over the key counts the chunks. Those
+    that fit a task share one aggregate; only larger ones, found by a join with
+    their counted list, go through ``exact_quantiles``. Both ways are exact.
     """
     keyed = df.select(chunk.alias(name), *columns)
-    largest = keyed.groupBy(name).count().agg(F.max("count")).first()[0] or 0
-    if largest * len(columns) <= small:
-        return keyed.groupBy(name).agg(*[F.percentile(c, q).alias(c) for c in columns])
+    sizes = keyed.groupBy(name).agg(F.count(F.lit(1)).alias("n"))
+    is_large = F.col("n") * len(columns) > small
+    large = sizes.agg(F.count_if(is_large)).first()[0]
+    if not large:
+        return _fitting_quantiles(keyed, columns, q, name)
+    marks = sizes.filter(is_large).select(F.col(name).alias("__key"), F.lit(True).alias("__large"))
+    if fits_broadcast(large, 2):
+        marks = F.broadcast(marks)
+    marked = keyed.join(marks, F.col(name).eqNullSafe(F.col("__key")), "left").drop("__key")
+    rest = marked.filter(F.col("__large").isNull()).drop("__large")
+    hot = marked.filter(F.col("__large")).drop("__large")
+    return _fitting_quantiles(rest, columns, q, name).unionByName(
+        _large_quantiles(hot, columns, q, name)
+    )
+
+
+def _fitting_quantiles(keyed: DataFrame, columns: Sequence[str], q: float, name: str) -> DataFrame:
+    return keyed.groupBy(name).agg(*[F.percentile(c, q).alias(c) for c in columns])
+
+
+def _large_quantiles(keyed: DataFrame, columns: Sequence[str], q: float, name: str) -> DataFrame:
     long = exact_quantiles(keyed, columns, q, [name])
     wide = long.groupBy(name).agg(
         *[F.max(F.when(F.col("column") == c, F.col("quantile"))).alias(c) for c in columns]

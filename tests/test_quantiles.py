@@ -32,7 +32,7 @@ def expected(rows, q):
 
 
 @pytest.mark.parametrize("q", [0.0, 0.25, 0.5, 0.999, 1.0])
-@pytest.mark.parametrize("small", [0, quantiles.SMALL_GROUP_VALUES])
+@pytest.mark.parametrize("small", [0, 60, quantiles.SMALL_GROUP_VALUES])
 def test_chunk_quantiles(spark, rows, q, small):
     df = spark.createDataFrame(rows, "k int, a double, b double")
     found = quantiles.chunk_quantiles(df, ["a", "b"], q, F.col("k"), small=small).collect()
