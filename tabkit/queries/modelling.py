@@ -6,10 +6,9 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..models import evaluate, linear, mlp, trees
-from ..operators import splits
+from ..operators import quantiles, splits
 from ..plans import exploration, observations as plan, training
 from ..plans.trips import typed_trips, train_trips
-from ..sources.reports import metrics_frame
 from .fixtures import OBS_KEY, TRIP_KEY, obs, timed_trips
 from .oracle import OBS_ID, TRIP_ID, digest, hex4, using
 from .registry import query, r6, rounded, rounded_rows
@@ -365,9 +364,7 @@ def fold_naive_nrmse(spark: SparkSession, folder: str) -> DataFrame:
     ),
 )
 def five_number(spark: SparkSession, folder: str) -> DataFrame:
-    from ..operators.quantiles import five_number as summary
-
-    return rounded(summary(_fold_scores(spark, folder), "nrmse"))
+    return rounded(quantiles.five_number(_fold_scores(spark, folder), "nrmse"))
 
 
 @query(
