@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .bpe import bpe_encode
 from .jaccard_join import jaccard_join
+from .unigram import token_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -24,3 +26,13 @@ def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 @_query
 def op8_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard_join(_table(spark, folder, "documents"))
+
+
+@_query
+def op5_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    return bpe_encode(_table(spark, folder, "documents"), digests=True)
+
+
+@_query
+def op1_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    return token_counts(_table(spark, folder, "documents"))
