@@ -30,9 +30,13 @@ from .components import components
 from .words import NOT_SPACE, SHINGLE_WORDS, mixed, shingles, slices, words
 
 THRESHOLD_PERCENT = 80
-POSTINGS_A_BUCKET = 2_000_000
-LEADER_ROUNDS = 4
-# A list is expanded once all open pairs are at most this many times the open list entries.
+POSTINGS_A_BUCKET = 4_000_000
+# An enumerated subset is a row that is written and shuffled, a scanned list entry is only counted.
+ROW_COST = 10
+LEADER_ROUNDS = 3
+# Leaders that a node is compared with in a round after the first.
+LEADERS = 16
+# What is open is compared in full once that takes at most this many pairs for each open list entry.
 PAIRS_AN_ENTRY = 4
 _SUFFIX_BYTES = 5
 
@@ -172,7 +176,7 @@ def _boundary(sets: DataFrame, percent: int) -> int:
     best, boundary = sum(c["scanned"] for c in costs), 0
     total = best
     for c in costs:
-        total += c["pairs"] - c["scanned"]
+        total += ROW_COST * c["pairs"] - c["scanned"]
         if total < best:
             best, boundary = total, c["size"]
     return int(boundary)
@@ -240,12 +244,24 @@ def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     )
 
 
-def _connected(keys: DataFrame, sets: DataFrame, percent: int) -> DataFrame | None:
-    """(node, root) of the nodes that are linked with another, None if none is."""
+def _side(df: DataFrame, s: str) -> DataFrame:
+    return df.select(*[F.col(c) if c == "key" else F.col(c).alias(s if c == "node" else f"{s}_{c}") for c in df.columns])
+
+
+def _open_pairs(rooted: DataFrame, percent: int) -> DataFrame:
+    """All pairs that may still bring a link between two components."""
+    met = _side(rooted, "a").join(_side(rooted, "b"), "key").filter("a < b and a_root != b_root")
+    return met.filter(_possible(percent)).select("a", "b").distinct()
 
-    def side(df: DataFrame, s: str) -> DataFrame:
-        return df.select("key", *[F.col(c).alias(s if c == "node" else f"{s}_{c}") for c in df.columns if c != "key"])
 
+def _leader_pairs(rooted: DataFrame, open_: DataFrame, several: int, percent: int) -> DataFrame:
+    met = _side(rooted, "b").join(_side(open_, "a"), "key").filter("a_root != b_root").filter(_possible(percent))
+    part = F.pmod(F.xxhash64("key"), F.lit(several)).alias("part")
+    return met.groupBy("b", part).agg(F.min("a").alias("a")).select("a", "b").distinct()
+
+
+def _connected(keys: DataFrame, sets: DataFrame, percent: int) -> DataFrame | None:
+    """(node, root) of the nodes that are linked with another, None if none is."""
     roots = None
     for round_ in range(LEADER_ROUNDS + 1):
         if roots is None:
@@ -253,43 +269,33 @@ def _connected(keys: DataFrame, sets: DataFrame, percent: int) -> DataFrame | No
         else:
             rooted = keys.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
             rooted = rooted.select("key", "node", "n", "reach", "root")
-        order = F.xxhash64(F.col("node"), F.lit(round_))
-        open_ = written(
-            rooted.groupBy("key")
-            .agg(
-                F.count("*").alias("entries"),
-                F.min("root").alias("low"),
-                F.max("root").alias("high"),
-                F.min_by(F.struct("node", "n", "reach", "root"), order).alias("leader"),
-            )
-            .filter("low != high")
-            .select("key", "entries", "leader.*")
-        )
-        entries, pairs = open_.agg(F.sum("entries"), F.sum(F.expr("entries * (entries - 1) / 2"))).first()
+        # One leader for all lists that hold it at first, so that large groups become one star; then
+        # another one for each list.
+        order = F.xxhash64("node", "key", F.lit(round_)) if round_ else F.xxhash64("node")
+        leader = F.min_by(F.struct("node", "n", "reach", "root"), order).alias("leader")
+        lists = rooted.groupBy("key").agg(F.count("*").alias("entries"), F.min("root").alias("low"), F.max("root").alias("high"), leader)
+        open_ = written(lists.filter("low != high").select("key", "entries", "leader.*"))
+        entries, most = open_.agg(F.sum("entries"), F.sum(F.expr("entries * (entries - 1) / 2"))).first()
         if not entries:
             return roots
-        last = round_ == LEADER_ROUNDS or pairs <= PAIRS_AN_ENTRY * entries
+        rooted = written(rooted.join(open_.select("key"), "key", "left_semi"))
+        keys = rooted.drop("root")  # a list whose members are all connected stays so
+        last = round_ == LEADER_ROUNDS or most <= PAIRS_AN_ENTRY * entries
         if last:
-            members = rooted.join(open_.select("key"), "key", "left_semi")
-            met = side(members, "a").join(side(members, "b"), "key").filter("a < b and a_root != b_root")
-            pairs_ = met.filter(_possible(percent)).select("a", "b").distinct()
+            pairs = _open_pairs(rooted, percent)
+        else:
+            pairs = _leader_pairs(rooted, open_.drop("entries"), LEADERS if round_ else 1, percent)
+        found = written(_linked(pairs, sets, percent))
+        if roots is None:
+            roots = components(found)
         else:
-            leaders = side(open_.drop("entries"), "a")
-            met = side(rooted, "b").join(leaders, "key").filter("a_root != b_root").filter(_possible(percent))
-            pairs_ = met.groupBy("b").agg(F.min("a").alias("a"))
-        found = written(_linked(pairs_, sets, percent))
-        if roots is not None:
-            near = roots.select(F.col("node"), F.col("root"))
             for s in ("a", "b"):
-                found = found.join(near.select(F.col("node").alias(s), F.col("root").alias("to")), s, "left")
+                found = found.join(roots.select(F.col("node").alias(s), F.col("root").alias("to")), s, "left")
                 found = found.withColumn(s, F.coalesce("to", s)).drop("to")
             merged = components(found)
             moved = merged.select(F.col("node").alias("root"), F.col("root").alias("top"))
             known = roots.join(moved, "root", "left").select("node", F.coalesce("top", "root").alias("root"))
-            fresh = merged.join(roots.select("node"), "node", "left_anti")
-            roots = written(known.unionByName(fresh))
-        else:
-            roots = components(found)
+            roots = written(known.unionByName(merged.join(roots.select("node"), "node", "left_anti")))
         if last:
             return roots
     return roots
