@@ -16,7 +16,7 @@ from unicodedata import category
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import ArrayType, IntegerType, StructType
 from tokenizers.pre_tokenizers import ByteLevel
 
 from .automaton import Automaton
@@ -215,6 +215,6 @@ def bpe_encode(docs: DataFrame, id: str = "doc_id", text: str = "text", path: st
     if digests:
         schema = schema.add("ids_sha256", "string").add("decoded_sha256", "string")
     else:
-        schema = schema.add("ids", "array<int>").add("decoded", "string")
+        schema = schema.add("ids", ArrayType(IntegerType())).add("decoded", "string")
     rows = docs.select(F.col(id).alias("id"), F.col(text).alias("text"))
     return rows.mapInArrow(_encoded(path, to_arrow_type(kind), not digests), schema).withColumnRenamed("id", id)

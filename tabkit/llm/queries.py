@@ -4,10 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from .bpe import bpe_encode
+from .decontaminate import contamination
 from .jaccard_join import jaccard_join
+from .language import held_out, predict, train
+from .order_minhash import fingerprints
 from .unigram import token_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -36,3 +39,23 @@ def op5_bpe(spark: SparkSession, folder: str) -> DataFrame:
 @_query
 def op1_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return token_counts(_table(spark, folder, "documents"))
+
+
+@_query
+def op3_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    found = contamination(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"))
+    digest = F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256")
+    return found.select("doc_id", "n_words", "n_hit", "n_items", digest, "contaminated")
+
+
+@_query
+def op10_order_minhash(spark: SparkSession, folder: str) -> DataFrame:
+    return fingerprints(_table(spark, folder, "documents"))
+
+
+@_query
+def op9_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents")
+    held = held_out(F.col("doc_id"))
+    found = predict(train(docs.filter(~held)), docs)
+    return found.select("doc_id", held.alias("held_out"), "lang_pred", "score", F.size("spans").alias("n_spans"))

@@ -102,13 +102,14 @@ def slices(column: pa.Array | pa.ChunkedArray) -> Iterator[tuple[int, np.ndarray
         at = to
 
 
-def shingles(hashes: np.ndarray, first: np.ndarray, width: int = SHINGLE_WORDS) -> tuple[np.ndarray, np.ndarray]:
+def shingles(hashes: np.ndarray, first: np.ndarray, width: int = SHINGLE_WORDS, whole: bool = True) -> tuple[np.ndarray, np.ndarray]:
     """Shingle hashes of consecutive texts and the bounds of each text's share.
 
-    A text of fewer words than ``width``, but not none, has its whole sequence as its only shingle.
+    A text of fewer words than ``width``, but not none, has its whole sequence as its only shingle, or no
+    shingle if ``whole`` is false.
     """
     count = np.diff(first)
-    share = np.where(count >= width, count - width + 1, np.minimum(count, 1))
+    share = np.where(count >= width, count - width + 1, np.minimum(count, 1) * whole)
     bounds = np.concatenate(([0], np.cumsum(share)))
     total = int(bounds[-1])
     at = np.repeat(first[:-1] - bounds[:-1], share) + np.arange(total)
