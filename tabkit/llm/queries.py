@@ -10,8 +10,11 @@ from .bpe import bpe_encode
 from .decontaminate import contamination
 from .jaccard_join import jaccard_join
 from .language import held_out, predict, train
+from .line_dedup import SQL as LINE_DEDUP_SQL, line_dedup
 from .order_minhash import fingerprints
+from .secrets import SQL as SECRETS_SQL, secret_report
 from .unigram import token_counts
+from .warc import warc_round_trip
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -59,3 +62,25 @@ def op9_language_id(spark: SparkSession, folder: str) -> DataFrame:
     held = held_out(F.col("doc_id"))
     found = predict(train(docs.filter(~held)), docs)
     return found.select("doc_id", held.alias("held_out"), "lang_pred", "score", F.size("spans").alias("n_spans"))
+
+
+@_query
+def op2_secret_links(spark: SparkSession, folder: str) -> DataFrame:
+    return secret_report(_table(spark, folder, "documents"))
+
+
+SQL["op2_secret_links"] = SECRETS_SQL
+
+
+@_query
+def op7_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    found = line_dedup(_table(spark, folder, "documents"))
+    return found.select("doc_id", "source", "text", "n_lines", "n_dropped")
+
+
+SQL["op7_line_dedup"] = LINE_DEDUP_SQL
+
+
+@_query
+def op6_warc(spark: SparkSession, folder: str) -> DataFrame:
+    return warc_round_trip(_table(spark, folder, "pages"))
