@@ -14,6 +14,7 @@ from collections.abc import Iterator
 from hashlib import sha256
 from unicodedata import category
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import ArrayType, IntegerType, StructType
@@ -188,8 +189,9 @@ def _encoded(path: str | None, id_type: pa.DataType, full: bool):
                 decoded.append(b"".join([f[2] for f in found]).decode("utf-8", "replace"))
             out = {"id": batch["id"].cast(id_type), "n_tokens": pa.array(count, pa.int64())}
             if full:
-                numbers = [[int(i) for i in text.split(",")] if text else [] for text in ids]
-                out |= {"ids": pa.array(numbers, pa.list_(pa.int32())), "decoded": pa.array(decoded, pa.string())}
+                numbers = np.fromstring(",".join([i for i in ids if i]), np.int32, sep=",") if any(count) else np.zeros(0, np.int32)
+                places = pa.array(np.cumsum([0, *count]), pa.int32())
+                out |= {"ids": pa.ListArray.from_arrays(places, pa.array(numbers)), "decoded": pa.array(decoded, pa.string())}
             else:
                 out["ids_sha256"] = pa.array([sha256(i.encode()).hexdigest() for i in ids], pa.string())
                 out["decoded_sha256"] = pa.array([sha256(d.encode()).hexdigest() for d in decoded], pa.string())

@@ -227,14 +227,22 @@ def _labelled(model, scripts, penalty: float, schema: pa.Schema):
         for batch in batches:
             texts = [t or "" for t in batch["text"].to_pylist()]
             found = list(rows_of(texts)) if texts else []
-            out = {"id": batch["id"], "lang_pred": [f[0] for f in found], "score": [f[1] for f in found], "spans": [f[2] for f in found]}
-            yield pa.RecordBatch.from_pydict(out, schema=schema)
+            out = {"lang_pred": [f[0] for f in found], "score": [f[1] for f in found], "spans": [f[2] for f in found]}
+            held = {name: batch[name] for name in schema.names if name not in out}
+            yield pa.RecordBatch.from_pydict(held | out, schema=schema)
 
     return run
 
 
-def predict(model: Model, docs: DataFrame, text: str = "text", id: str = "doc_id", penalty: float = SWITCH_PENALTY) -> DataFrame:
-    """``id``, ``lang_pred``, ``score`` and ``spans`` (lang, start, end in code points) of every whole text.
+def predict(
+    model: Model,
+    docs: DataFrame,
+    text: str = "text",
+    id: str = "doc_id",
+    penalty: float = SWITCH_PENALTY,
+    whole_rows: bool = False,
+) -> DataFrame:
+    """``id`` (with ``whole_rows`` all columns, of which these names are replaced), ``lang_pred``, ``score`` and ``spans`` (lang, start, end in code points) of every whole text.
 
     ``lang_pred`` is the language that most letters are labelled with (the first by name on a tie), ``score``
     their share; ``und`` and 0 for a null text, one without letters, or a model that knows no language. One row
@@ -243,10 +251,15 @@ def predict(model: Model, docs: DataFrame, text: str = "text", id: str = "doc_id
     """
     context = docs.sparkSession.sparkContext
     span = StructType().add("lang", "string").add("start", "long").add("end", "long")
-    schema = StructType().add("id", docs.schema[id].dataType).add("lang_pred", "string").add("score", "double").add("spans", ArrayType(span))
+    added = StructType().add("lang_pred", "string").add("score", "double").add("spans", ArrayType(span))
+    carried = [c for c in docs.columns if c not in added.names] if whole_rows else [id]
+    schema = StructType()
+    for k, c in enumerate(carried):
+        schema = schema.add(f"c{k}", docs.schema[c].dataType)
+    schema = StructType(schema.fields + added.fields)
     run = _labelled(context.broadcast(model), context.broadcast(letter_scripts()), penalty, to_arrow_schema(schema))
-    rows = docs.select(F.col(id).alias("id"), F.col(text).alias("text"))
-    return rows.mapInArrow(run, schema).withColumnRenamed("id", id)
+    rows = docs.select(F.col(text).alias("text"), *[F.col(f"`{c}`").alias(f"c{k}") for k, c in enumerate(carried)])
+    return rows.mapInArrow(run, schema).toDF(*carried, *added.names)
 
 
 def held_out(id: Column) -> Column:

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from .bpe import bpe_encode
 from .decontaminate import contamination
+from .html_blocks import extract
 from .jaccard_join import jaccard_join
 from .language import held_out, predict, train
 from .line_dedup import SQL as LINE_DEDUP_SQL, line_dedup
@@ -84,3 +85,8 @@ SQL["op7_line_dedup"] = LINE_DEDUP_SQL
 @_query
 def op6_warc(spark: SparkSession, folder: str) -> DataFrame:
     return warc_round_trip(_table(spark, folder, "pages"))
+
+
+@_query
+def op4_html_blocks(spark: SparkSession, folder: str) -> DataFrame:
+    return extract(_table(spark, folder, "pages"))
