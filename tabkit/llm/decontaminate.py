@@ -200,7 +200,8 @@ def contamination(
         .agg(F.flatten(F.collect_list("spans")).alias("spans"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"))
         .select("key", _covered("spans").alias("n_hit"), "items")
     )
-    out = found.join(of_texts, "key", "left")
+    # Written, so that the join is by itself and a key of very many copies can be split.
+    out = found.join(written(of_texts), "key", "left")
     n_hit = F.coalesce("n_hit", F.lit(0).cast("long"))
     listed_items = F.coalesce("items", F.array().cast("array<string>"))
     return out.select(

@@ -1,7 +1,7 @@
 """Lines that a site repeats: dropped where too many of its pages hold them.
 
-For each host, the pages that contain a line are divided by all pages of the host. Only DataFrame
-functions are used.
+For each host, the pages that contain a line are divided by all pages of the host. Copies of a page count as
+one, else a text that is copied often would itself be boilerplate. Only DataFrame functions are used.
 """
 
 from __future__ import annotations
@@ -35,21 +35,21 @@ def line_dedup(
 
     A text's lines are split at \\n and compared without spaces at their ends; a line of spaces alone is kept and
     not counted. A line is boilerplate for a host if it is on at least ``least_pages`` of the host's pages and
-    on more than ``ratio`` of them; a page counts a line once however often it repeats it. All its occurrences are
-    dropped from the host's pages, and the other lines joined again as they were.
+    on more than ``ratio`` of them; a page counts a line once however often it repeats it, and rows of a host
+    with equal texts are one page. All its occurrences are dropped from the host's pages, and the other lines joined again as they were.
 
     A null text stays null, an empty one empty, with 0 dropped lines; a text of boilerplate alone becomes empty.
-    A null host is a host of its own. Repeated rows count as pages each and stay. All columns of ``docs`` stay
+    A null host is a host of its own. Repeated rows stay. All columns of ``docs`` stay
     under their names, except that columns named ``n_lines`` and ``n_dropped`` are replaced. Empty in, empty out.
 
     Counts are made of line hashes after partial aggregation. At most 1 / ``ratio`` times the mean number of
     lines a page remain for a host, and the table of hosts is broadcast only when its counted size allows.
     """
-    rows = docs.select(F.col(host).alias("host"), _lines(text).alias("lines"))
+    rows = docs.select(F.col(host).alias("host"), F.xxhash64(text).alias("page"), _lines(text).alias("lines"))
     filled = F.filter(F.transform("lines", _stripped), lambda x: x != "")
     hashed = F.array_distinct(F.transform(filled, lambda x: F.xxhash64(x)))
-    pages = rows.groupBy(F.col("host").alias("__dedup_host")).agg(F.count("*").alias("pages"))
-    lines = rows.select("host", F.explode(hashed).alias("line")).groupBy("host", "line").agg(F.count("*").alias("held"))
+    pages = rows.select("host", "page").distinct().groupBy(F.col("host").alias("__dedup_host")).agg(F.count("*").alias("pages"))
+    lines = rows.select("host", "page", F.explode(hashed).alias("line")).distinct().groupBy("host", "line").agg(F.count("*").alias("held"))
     often = lines.filter(F.col("held") >= least_pages)
     often = often.join(pages, F.col("host").eqNullSafe(F.col("__dedup_host"))).filter(F.col("held") > F.col("pages") * ratio)
     boilerplate = written(often.groupBy("__dedup_host").agg(F.sort_array(F.collect_list("line")).alias("__dedup_lines")))
@@ -76,11 +76,13 @@ def line_dedup(
 SQL = f"""
 WITH split AS (
     SELECT doc_id, source, text, string_split(text, chr(10)) AS lines FROM documents
+), distinct_pages AS (
+    SELECT DISTINCT source, text FROM documents
 ), pages AS (
-    SELECT source, count(*) AS pages FROM documents GROUP BY source
+    SELECT source, count(*) AS pages FROM distinct_pages GROUP BY source
 ), held AS (
     SELECT source, line, count(*) AS held FROM (
-        SELECT source, unnest(list_distinct(list_filter(list_transform(lines, lambda x: trim(x, ' ')), lambda x: x <> ''))) AS line FROM split
+        SELECT source, unnest(list_distinct(list_filter(list_transform(string_split(text, chr(10)), lambda x: trim(x, ' ')), lambda x: x <> ''))) AS line FROM distinct_pages
     ) GROUP BY source, line
 ), boilerplate AS (
     SELECT held.source, list(line) AS dropped FROM held JOIN pages ON held.source IS NOT DISTINCT FROM pages.source
