@@ -25,6 +25,7 @@ KEPT = 2
 # Rows of a range of ids that is sorted in one go, and most ranges.
 RANGE_ROWS = 4_000
 MOST_RANGES = 10_000
+GROUP = 100
 
 _POWERS = numbers(11, K)
 _PLACE_BITS = 24
@@ -138,11 +139,12 @@ def fingerprints(docs: DataFrame, id: str = "doc_id", text: str = "text") -> Dat
     ranges = min(MOST_RANGES, count // RANGE_ROWS + 1)
     cuts = rows.agg(F.percentile_approx("id", [k / ranges for k in range(1, ranges)] or [0.5], 100 * ranges)).first()[0] or []
     cuts = sorted(set(cuts)) if ranges > 1 else []
-    bounds = F.array(*[F.lit(c).cast(kind) for c in cuts]) if cuts else F.array().cast(ArrayType(kind))
-    # How many cuts lie below the id, by halving the sorted cuts; null ids form the last range.
-    low = F.lit(0)
-    for step in reversed([1 << k for k in range(max(1, len(cuts)).bit_length())]):
-        low = F.when((low + step <= len(cuts)) & (F.get(bounds, low + step - 1) < F.col("id")), low + step).otherwise(low) if len(cuts) else low
+    # How many cuts lie below the id: first among every hundredth one, then in the hundred it leads to.
+    groups = [cuts[k : k + GROUP] for k in range(0, len(cuts), GROUP)] or [[]]
+    listed = lambda values: F.array(*[F.lit(c).cast(kind) for c in values]).cast(ArrayType(kind))
+    below = lambda values: F.size(F.filter(values, lambda c: c < F.col("id")))
+    group = F.least(below(listed([g[-1] for g in groups if g])), F.lit(len(groups) - 1))
+    low = group * GROUP + below(F.get(F.array(*map(listed, groups)), group))
     part = F.when(F.col("id").isNull(), F.lit(-1)).otherwise(low).cast("int")
     heads = rows.select("id", part.alias("part")).groupBy("part").agg(F.max("id").alias("id"))
     # One row a range: the range above takes its head as guest, the lowest one that of the highest.

@@ -56,6 +56,7 @@ def test_viterbi():
 @pytest.mark.parametrize("range_rows", [2, 10_000])
 def test_fingerprints(spark, docs, monkeypatch, range_rows):
     monkeypatch.setattr(order_minhash, "RANGE_ROWS", range_rows)
+    monkeypatch.setattr(order_minhash, "GROUP", 2)
     rows = [(r.doc_id, r.text or "") for r in docs.select("doc_id", "text").collect()]
     rows.sort(key=lambda r: r[1].encode(), reverse=True)
     rows.sort(key=lambda r: (r[0] is None, -(r[0] or 0)))
