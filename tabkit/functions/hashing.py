@@ -3,22 +3,36 @@
 Splits, samples and folds are decided per row from ``md5(purpose-seed:key)``.
 The purpose keeps them independent of one another: a fold of a split, or a
 sample of a split, is not correlated with the split itself. ``key`` must
-identify a row; rows sharing a key always fall on the same side.
+identify a row; rows sharing a key always fall on the same side. In the text of a key every value carries its
+length and NULL has a mark of its own, so that different keys have different texts.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 HASH_DIGITS = 8  # leading hex digits used where a hash is compared or turned into a number
 HASH_SPACE = 16**HASH_DIGITS
 
 
+# The name of the column that carries a row's key once its columns are gone.
+ROW_KEY = "row_key"
+
+
+def _part(name: str) -> Column:
+    text = F.col(name).cast("string")
+    return F.coalesce(F.concat(F.length(text).cast("string"), F.lit(":"), text), F.lit("-"))
+
+
+def with_row_key(df: DataFrame, key: str | list[str]) -> DataFrame:
+    """``df`` with the hash of ``key`` as ``row_key``, for steps that come after the key's columns are dropped."""
+    return df.withColumn(ROW_KEY, row_hash(key, "row"))
+
+
 def row_hash(key: str | list[str], purpose: str, seed: int = 42) -> Column:
     """The 32 hex digits for a row."""
     names = [key] if isinstance(key, str) else key
-    text = F.concat_ws("|", *[F.col(name).cast("string") for name in names])
-    return F.md5(F.concat(F.lit(f"{purpose}-{seed}:"), text))
+    return F.md5(F.concat(F.lit(f"{purpose}-{seed}:"), *map(_part, names)))
 
 
 def hash_prefix(key: str | list[str], purpose: str, seed: int = 42) -> Column:

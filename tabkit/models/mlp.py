@@ -18,7 +18,6 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ..functions.hashing import HASH_DIGITS, HASH_SPACE, hash_number
 from ..functions.scalar import activation
 from ..operators.splits import Key
-from ..session import spread
 from .partials import as_matrix, summed
 
 ACTIVATIONS = ("relu", "sigmoid", "tanh")
@@ -190,7 +189,9 @@ class MLPRegressor:
 
     A step uses about ``batch_rows`` rows: each row has a fixed hash slot, and
     consecutive steps take consecutive slot ranges, so all rows are visited in
-    turn. The gradient is divided by the rows actually used.
+    turn. Rows are kept sorted by slot, so that a step skips the blocks outside its
+    range; only a checked step reads all of them. The gradient is divided by the
+    rows actually used.
     """
 
     features: Sequence[str]
@@ -201,14 +202,15 @@ class MLPRegressor:
     batch_rows: int = 10_000
     rate: float = 0.01
     tolerance: float = 1e-5
-    max_steps: int = 200
-    check_every: int = 1
+    max_steps: int = 100_000
+    check_every: int = 10
     seed: int = 42
 
     def fit(self, df: DataFrame) -> MLPModel:
-        """``df`` is packed and persisted once; lost blocks are recomputed from ``df``."""
+        """``df`` is packed, laid out by slot and persisted once; lost blocks are recomputed from ``df``."""
         slot = hash_number(self.key, "batch", self.seed, HASH_DIGITS).alias("slot")
-        data = spread(packed(df, self.features, self.label, slot))
+        data = packed(df, self.features, self.label, slot)
+        data = data.repartitionByRange("slot").sortWithinPartitions("slot").persist()
         try:
             return self._descend(data)
         finally:

@@ -116,16 +116,26 @@ def clean_target(df: DataFrame) -> DataFrame:
     return clean_observations(df, TARGET_RULES)
 
 
+def rule_names(rules: Sequence[Rule]) -> list[str]:
+    """The column of each rule; from the second rule of a column on, with the rule's kind and number."""
+    names: list[str] = []
+    for k, rule in enumerate(rules):
+        names.append(rule.column if rule.column not in names else f"{rule.column} {type(rule).__name__} {k}")
+    return names
+
+
 def error_counts(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
-    """``(rule, rows)``: erroneous rows per rule and, as ``any``, by all rules; one pass."""
-    counts = df.agg(
-        F.count_if(broken_mask(rules)).alias("any"),
-        *[F.count_if(rule.broken()).alias(rule.column) for rule in rules],
-    )
-    pairs = F.array(
-        *[F.struct(F.lit(c).alias("rule"), F.col(c).alias("rows")) for c in counts.columns]
-    )
-    return counts.select(F.inline(pairs))
+    """``(rule, rows)`` in one pass: erroneous rows per rule and, as ``any``, by all rules.
+
+    ``undecided`` counts rows that break no rule but that some rule cannot decide, as its value is NULL; the filter
+    drops them too, so that kept rows, ``any`` and ``undecided`` are all rows. Rules are named by ``rule_names``.
+    """
+    mask = broken_mask(rules)
+    tests = {"any": F.coalesce(mask, F.lit(False)), "undecided": mask.isNull()}
+    named = [*tests.items(), *zip(rule_names(rules), [rule.broken() for rule in rules])]
+    counts = df.agg(*[F.count_if(test).alias(f"c{k}") for k, (_, test) in enumerate(named)])
+    pairs = [F.struct(F.lit(name).alias("rule"), F.col(f"c{k}").alias("rows")) for k, (name, _) in enumerate(named)]
+    return counts.select(F.inline(F.array(*pairs)))
 
 
 def clean_trips(

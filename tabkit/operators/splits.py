@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -12,7 +11,6 @@ from ..functions.hashing import fraction_bound, hash_number, hash_prefix, row_ha
 Key = str | list[str]
 
 LEVEL_DIGITS = 4  # one counting level distinguishes 16**4 hash buckets
-TOP_ROWS = 100_000  # the largest n for which a top-n plan is used
 
 
 def in_fraction(key: Key, fraction: float, purpose: str, seed: int = 42) -> Column:
@@ -38,64 +36,76 @@ def sample_fraction(df: DataFrame, key: Key, fraction: float, seed: int = 42) ->
     return df.filter(in_fraction(key, fraction, "sample", seed))
 
 
-def _cut_hash(df: DataFrame, digest: Column, wanted) -> str | None:
-    """The digest up to which exactly ``wanted(total)`` rows lie, or None for no row.
+def _order(df: DataFrame, key: Key, ties: Key | None, purpose: str, seed: int) -> Column:
+    """The digest that rows are taken by: of the key, then of ``ties`` (all columns), for rows that share a key."""
+    return F.concat(row_hash(key, purpose, seed), row_hash(df.columns if ties is None else ties, "ties", seed))
 
-    Rows are counted per leading hex digits, at most 65,536 counts a level, and
-    only the bucket holding the cut is looked at further, so no task and no
-    driver ever ranks the table.
+
+def _cut(hashed: DataFrame, wanted) -> tuple[str, int, int]:
+    """``(prefix, taken, held)``: to take exactly ``wanted(total)`` rows by digest, take all rows below
+    ``prefix`` and ``taken`` of the ``held`` rows that begin with it.
+
+    Rows are counted per leading hex digits, at most 65,536 counts a level, and only the bucket holding the
+    cut is looked at further, so no task and no driver ever ranks the table. A bucket that is taken whole ends
+    the search; so do all digits, when the rows left are equal in key and ties.
     """
-    hashed = df.select(digest.alias("h"))
     prefix, left = "", None
     while True:
         at = len(prefix) + 1
         inside = hashed.filter(F.col("h").startswith(prefix)) if prefix else hashed
-        counts = (
-            inside.groupBy(F.substring("h", at, LEVEL_DIGITS).alias("b"))
-            .agg(F.count(F.lit(1)).alias("n"))
-            .collect()
-        )
+        bucket = F.substring("h", at, LEVEL_DIGITS).alias("b")
+        counts = sorted((row.b, row.n) for row in inside.groupBy(bucket).agg(F.count("*").alias("n")).collect())
         if left is None:
-            left = wanted(sum(row.n for row in counts))
+            left = wanted(sum(n for _, n in counts))
             if left <= 0:
-                return None
-        size = 0
-        for bucket, n in sorted((row.b, row.n) for row in counts):
+                return "", 0, 0
+        for digits, n in counts:
             if left <= n:
-                prefix, size = prefix + bucket, n
                 break
             left -= n
         else:
-            return "g"  # more rows wanted than exist: all of them
-        if len(prefix) >= 32:
-            return prefix
-        if size <= TOP_ROWS:
-            top = hashed.filter(F.col("h").startswith(prefix)).orderBy("h").limit(left)
-            return top.agg(F.max("h")).first()[0]
+            return "g", 0, 0  # more rows wanted than exist: all of them
+        prefix += digits
+        if left == n or len(prefix) == 64:
+            return prefix, left, n
+
+
+def _parted(df: DataFrame, key: Key, ties: Key | None, purpose: str, seed: int, wanted) -> tuple[DataFrame, DataFrame]:
+    """The first ``wanted(total)`` rows by digest, and the others.
+
+    Rows of the same key and ties that the cut runs through are told apart by nothing: with the default
+    ties they are equal, and the counted number of them is made from one.
+    """
+    order = _order(df, key, ties, purpose, seed)
+    prefix, taken, held = _cut(df.select(order.alias("h")), wanted)
+    below, above = order < prefix, order >= prefix
+    if not held:
+        return df.filter(below), df.filter(above)
+    at = order.startswith(prefix)
+    if taken == held:
+        return df.filter(below | at), df.filter(above & ~at)
+
+    def copies(n: int) -> DataFrame:
+        counted = df.filter(at).limit(1).withColumn("__copy", F.explode(F.sequence(F.lit(1), F.lit(n))))
+        return counted.drop("__copy")
+
+    return df.filter(below).unionByName(copies(taken)), df.filter(above & ~at).unionByName(copies(held - taken))
 
 
 def exact_split(
-    df: DataFrame, key: Key, test_fraction: float = 0.2, seed: int = 42
+    df: DataFrame, key: Key, test_fraction: float = 0.2, seed: int = 42, ties: Key | None = None
 ) -> tuple[DataFrame, DataFrame]:
     """Train and test parts of exact size: the test part has ``ceil(test_fraction * rows)`` rows.
 
-    ``key`` must be unique, otherwise rows sharing the cut key stay together.
-    Two or three counting passes fix the cut; the parts are narrow filters.
+    Rows that share a key are told apart by ``ties``, all columns by default; together with the key, named ties must
+    identify a row up to equal rows. A few counting passes fix the cut; the parts are narrow filters.
     """
-    digest = row_hash(key, "exact", seed)
-    cut = _cut_hash(df, digest, lambda total: total - math.ceil(test_fraction * total))
-    first = digest <= F.lit(cut if cut is not None else "")
-    return df.filter(first), df.filter(~first)
+    return _parted(df, key, ties, "exact", seed, lambda total: total - math.ceil(test_fraction * total))
 
 
-def sample_n(df: DataFrame, key: Key, n: int, seed: int = 42) -> DataFrame:
-    """Exactly ``n`` rows without replacement, or all rows if there are fewer."""
-    digest = row_hash(key, "rows", seed)
-    if n <= TOP_ROWS:
-        names: Sequence[str] = [key] if isinstance(key, str) else key
-        return df.orderBy(digest, *names).limit(n)
-    cut = _cut_hash(df, digest, lambda total: n)
-    return df.filter(digest <= F.lit(cut if cut is not None else ""))
+def sample_n(df: DataFrame, key: Key, n: int, seed: int = 42, ties: Key | None = None) -> DataFrame:
+    """Exactly ``n`` rows without replacement, or all rows if there are fewer; ``ties`` as in ``exact_split``."""
+    return _parted(df, key, ties, "rows", seed, lambda total: n)[0]
 
 
 def folds(df: DataFrame, key: Key, k: int, seed: int = 42) -> DataFrame:

@@ -7,6 +7,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, functions as F
 
+from ..functions.hashing import ROW_KEY, with_row_key
 from ..models.evaluate import fold_naive_nrmse
 from ..models.linear import fold_ridge_nrmse
 from ..operators import profiling
@@ -68,7 +69,7 @@ class Explored:
 def explore_observations(raw: DataFrame, key: Key, test_fraction: float = 0.2) -> Explored:
     """Cleaned rows are written once; the split, the shares and the features read that table."""
     target = clean_target(wide_fields(raw, key))
-    clean = written(clean_observations(target, EXPLORE_RULES))
+    clean = written(with_row_key(clean_observations(target, EXPLORE_RULES), key))
     train, test = exact_split(clean, key, test_fraction)
     features = observation_features(drop_columns(train, RULE_ONLY))
     imputer = GroupMeanImputer(GROUP_KEYS, IMPUTED).fit(features)
@@ -82,7 +83,7 @@ def explore_observations(raw: DataFrame, key: Key, test_fraction: float = 0.2) -
 
 
 def compare_by_fold(
-    train: DataFrame, key: Key, reg: float = 0.1, k: int = 5, features: Sequence[str] = FEATURES
+    train: DataFrame, key: Key = ROW_KEY, reg: float = 0.1, k: int = 5, features: Sequence[str] = FEATURES
 ) -> DataFrame:
     """``(model, fold, nrmse)`` of ridge and of the mean, each on every held-out fold."""
     marked = folds(train, key, k)

@@ -7,6 +7,7 @@ from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, functions as F
 
+from ..functions.hashing import with_row_key
 from ..operators.columns import cast_columns, conform, split_fields
 from ..operators.features import observation_features
 from ..operators.impute import GroupMeanImputer, GroupMeanModel
@@ -57,9 +58,12 @@ def cleaned_observations(
 def feature_table(
     raw: DataFrame, key: str | Sequence[str], fraction: float = 0.7, seed: int = 42
 ) -> DataFrame:
-    """Cleaned rows with model features and the ``split`` they belong to; no shuffle."""
+    """Cleaned rows with model features and the ``split`` they belong to; no shuffle.
+
+    ``key`` is hashed before any of its columns is dropped or scaled; ``row_key`` carries it from there on.
+    """
     tagged = split_tag(cleaned_observations(raw, key), _names(key), fraction, seed)
-    return observation_features(tagged)
+    return observation_features(with_row_key(tagged, _names(key)))
 
 
 @dataclass(frozen=True)

@@ -8,6 +8,7 @@ from dataclasses import dataclass
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
 
+from ..functions.hashing import ROW_KEY
 from ..models.evaluate import (
     METRICS,
     coefficient_ranking,
@@ -59,7 +60,7 @@ class ModelRun:
 def run_ridge(
     train: DataFrame,
     test: DataFrame,
-    key: Key,
+    key: Key = ROW_KEY,
     features: Sequence[str] = FEATURES,
     grid: Sequence[float] = RIDGE_GRID,
     k: int = 5,
@@ -76,7 +77,7 @@ def run_ridge(
 def run_gbt(
     train: DataFrame,
     test: DataFrame,
-    key: Key,
+    key: Key = ROW_KEY,
     features: Sequence[str] = FEATURES,
     grid: Mapping[str, Sequence[float]] = TREE_GRID,
     fraction: float = 0.01,

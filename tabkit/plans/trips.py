@@ -27,14 +27,13 @@ LABEL = TRIP_COLUMNS[-1]
 def typed_trips(raw: DataFrame) -> DataFrame:
     """Cleaned trips with the times as epoch seconds and every other used column a double.
 
-    The limits are tested on the raw columns, so that a Parquet scan can skip rows.
+    Text is parsed first and the parsed values are tested, so a time or number that cannot be read drops its
+    row. Limits on columns that are numbers already still reach a Parquet scan.
     """
-    numbers = [c for c in TRIP_COLUMNS if c not in TIME_COLUMNS]
-    texts = [c for c in numbers if dict(raw.dtypes)[c] == "string"]
-    if texts:
-        raw = raw.withColumns({c: F.col(c).try_cast("double") for c in texts})
-    clean = clean_trips(raw, TRIP_COLUMNS)
-    return clean.withColumns({c: parse_us_timestamp(F.col(c)).cast("double") for c in TIME_COLUMNS})
+    kinds = dict(raw.dtypes)
+    parsed = {c: parse_us_timestamp(F.col(c)).cast("double") for c in TIME_COLUMNS if kinds[c] == "string"}
+    parsed |= {c: F.col(c).try_cast("double") for c in TRIP_COLUMNS if c not in TIME_COLUMNS and kinds[c] == "string"}
+    return clean_trips(raw.withColumns(parsed) if parsed else raw, TRIP_COLUMNS)
 
 
 @dataclass(frozen=True)

@@ -34,11 +34,15 @@ def digest(purpose: str, key: str, seed: int = 42) -> str:
     return f"md5(concat('{purpose}-{seed}:', {key}))"
 
 
-OBS_ID = "CAST(obs_id AS STRING)"
-TRIP_ID = (
-    "concat(CAST(l_orderkey AS STRING), '|', CAST(l_partkey AS STRING), '|', "
-    "CAST(l_suppkey AS STRING), '|', CAST(l_linenumber AS STRING))"
-)
+def key_text(*columns: str) -> str:
+    """The text of a key: of each column its length and value, ``-`` for NULL."""
+    text = "CAST({c} AS STRING)"
+    parts = [f"coalesce(CAST(length({text}) AS STRING) || ':' || {text}, '-')".format(c=c) for c in columns]
+    return " || ".join(parts)
+
+
+OBS_ID = key_text("obs_id")
+TRIP_ID = key_text("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber")
 
 
 def hex4(text: str) -> str:

@@ -9,7 +9,7 @@ from ..operators.scale import Scaler
 from ..plans import exploration, observations as plan
 from ..plans.trips import FEATURES as TRIP_FEATURES, typed_trips
 from .fixtures import OBS_KEY, TRIP_KEY, obs, timed_trips
-from .oracle import OBS_ID, TRIP_ID, digest, hex4, using
+from .oracle import OBS_ID, TRIP_ID, digest, hex4, key_text, using
 from .registry import query, r6, rounded, rounded_rows
 
 KEYS = plan.GROUP_KEYS
@@ -160,6 +160,34 @@ def sample_n(spark: SparkSession, folder: str) -> DataFrame:
     return splits.sample_n(obs(spark, folder).select("obs_id", "TMP"), OBS_KEY, 500)
 
 
+# Keys that many rows share: the order goes on by the row's id.
+_TIED = f"{digest('%s', key_text('LATITUDE', 'LONGITUDE'))}, {digest('ties', OBS_ID)}"
+
+
+@query(
+    "exact_split_ties",
+    using(
+        "obs",
+        body=f"""
+, ranked AS (SELECT obs_id, row_number() OVER (ORDER BY {_TIED % 'exact'}) AS r, count(*) OVER () AS n FROM obs)
+SELECT obs_id, CASE WHEN r <= n - ceil(0.3 * n) THEN 'train' ELSE 'test' END AS split FROM ranked""",
+    ),
+)
+def exact_split_ties(spark: SparkSession, folder: str) -> DataFrame:
+    rows = obs(spark, folder).select("obs_id", "LATITUDE", "LONGITUDE")
+    train, test = splits.exact_split(rows, ["LATITUDE", "LONGITUDE"], 0.3, ties=OBS_KEY)
+    return train.select("obs_id", F.lit("train").alias("split")).unionByName(test.select("obs_id", F.lit("test").alias("split")))
+
+
+@query(
+    "sample_n_ties",
+    using("obs", body=f"SELECT obs_id, LATITUDE, LONGITUDE FROM obs ORDER BY {_TIED % 'rows'} LIMIT 777"),
+)
+def sample_n_ties(spark: SparkSession, folder: str) -> DataFrame:
+    rows = obs(spark, folder).select("obs_id", "LATITUDE", "LONGITUDE")
+    return splits.sample_n(rows, ["LATITUDE", "LONGITUDE"], 777, ties=OBS_KEY)
+
+
 @query(
     "kfold_counts",
     using(
@@ -181,7 +209,7 @@ _DOUBLES = ("HOUR_SIN", "HOUR_COS", "MONTH_SIN", "MONTH_COS", "WND_0_SIN", "WND_
     "prepare_observations",
     using(
         "prepared",
-        body="SELECT p.* REPLACE (" + ", ".join(f"{r6(c)} AS {c}" for c in _DOUBLES) + ") FROM prepared p",
+        body="SELECT p.* REPLACE (" + ", ".join(f"{r6(c)} AS {c}" for c in _DOUBLES) + f"), {digest('row', OBS_ID)} AS row_key FROM prepared p",
     ),
 )
 def prepare_observations(spark: SparkSession, folder: str) -> DataFrame:
@@ -207,7 +235,7 @@ i AS (SELECT f.* REPLACE (coalesce(CAST(NULLIF(WND_3, 9999) AS DOUBLE), w, wa) A
     coalesce(CAST(NULLIF(DEW_0, 9999) AS DOUBLE), d, da) AS DEW_0)
   FROM f LEFT JOIN g USING (LATITUDE, LONGITUDE, ELEVATION, m), a),
 s AS (SELECT {', '.join(f'avg({c}) AS {c}_m, stddev_pop({c}) AS {c}_s' for c in _EXPLORED)} FROM i)
-SELECT obs_id, TMP_0, {', '.join(f"{r6(f'({c} - {c}_m) / {c}_s')} AS {c}" for c in _EXPLORED)},
+SELECT obs_id, {digest('row', OBS_ID)} AS row_key, TMP_0, {', '.join(f"{r6(f'({c} - {c}_m) / {c}_s')} AS {c}" for c in _EXPLORED)},
   CASE WHEN CIG_3 = 'Y' THEN 1 ELSE 0 END AS CIG_3_Y, CASE WHEN CIG_3 = '9' THEN 1 ELSE 0 END AS CIG_3_9,
   CASE WHEN VIS_2 = 'V' THEN 1 ELSE 0 END AS VIS_2_V, CASE WHEN VIS_2 = '9' THEN 1 ELSE 0 END AS VIS_2_9,
   CASE WHEN WND_0 = 999 THEN 1 ELSE 0 END AS WND_0_UNDETERMINED,

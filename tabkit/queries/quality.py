@@ -64,6 +64,7 @@ def clean_observations_wide(spark: SparkSession, folder: str) -> DataFrame:
         body=f"""
 , t AS (SELECT * FROM fields WHERE {TARGET_SQL})
 SELECT 'any' AS rule, count(*) FILTER (NOT ({WIDE_SQL})) AS rows FROM t
+UNION ALL SELECT 'undecided', count(*) FILTER (({WIDE_SQL}) IS NULL) FROM t
 UNION ALL SELECT 'WND_0', count(*) FILTER (WND_0 < 1 OR (WND_0 > 360 AND WND_0 <> 999)) FROM t
 UNION ALL SELECT 'WND_1', count(*) FILTER (WND_1 IN ('3', '7')) FROM t
 UNION ALL SELECT 'WND_3', count(*) FILTER (WND_3 < 0 OR (WND_3 > 900 AND WND_3 <> 9999)) FROM t
@@ -85,6 +86,23 @@ def error_counts(spark: SparkSession, folder: str) -> DataFrame:
     return rules.error_counts(rules.clean_target(wide_fields(spark, folder)), rules.EXPLORE_RULES)
 
 
+@query(
+    "error_counts_target",
+    using(
+        "fields",
+        body="""
+SELECT 'any' AS rule, count(*) FILTER (TMP_0 < -932 OR TMP_0 > 618 OR TMP_0 <= -900 OR TMP_1 IN ('2', '3', '6', '7')) AS rows FROM fields
+UNION ALL SELECT 'undecided', count(*) FILTER ((TMP_0 < -932 OR TMP_0 > 618 OR TMP_0 <= -900 OR TMP_1 IN ('2', '3', '6', '7')) IS NULL) FROM fields
+UNION ALL SELECT 'TMP_0', count(*) FILTER (TMP_0 < -932 OR TMP_0 > 618) FROM fields
+UNION ALL SELECT 'TMP_1', count(*) FILTER (TMP_1 IN ('2', '3', '6', '7')) FROM fields
+UNION ALL SELECT 'TMP_0 Range 2', count(*) FILTER (TMP_0 <= -900) FROM fields""",
+    ),
+)
+def error_counts_target(spark: SparkSession, folder: str) -> DataFrame:
+    several = (*rules.TARGET_RULES, rules.Range("TMP_0", at_most=-900))
+    return rules.error_counts(wide_fields(spark, folder), several)
+
+
 OBS_COLUMNS = (
     "obs_id", "DATE", "LATITUDE", "LONGITUDE", "ELEVATION", "WND", "CIG", "VIS", "DEW", "TMP", "SLP",
     "GA1", "SOURCE",

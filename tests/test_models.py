@@ -61,7 +61,7 @@ def test_unknown_activation():
 
 def test_full_batch_training_follows_numpy(data):
     model = mlp.MLPRegressor(
-        NAMES, "y", "id", kind="tanh", hidden=3, batch_rows=10**9, rate=0.05, max_steps=4, tolerance=0.0, seed=2
+        NAMES, "y", "id", kind="tanh", hidden=3, batch_rows=10**9, rate=0.05, max_steps=4, check_every=1, tolerance=0.0, seed=2
     ).fit(data)
     rows = data.select(*NAMES, "y").toPandas().to_numpy()
     x, y = rows[:, :3], rows[:, 3]
@@ -76,7 +76,7 @@ def test_full_batch_training_follows_numpy(data):
 
 def test_mini_batches_learn_and_repeat(data):
     trainer = mlp.MLPRegressor(
-        NAMES, "y", "id", kind="tanh", hidden=8, batch_rows=300, rate=0.1, max_steps=40, check_every=10
+        NAMES, "y", "id", kind="tanh", hidden=8, batch_rows=300, rate=0.1, max_steps=60, check_every=10
     )
     first, second = trainer.fit(data), trainer.fit(data)
     losses = [v for _, v in first.losses]
@@ -89,7 +89,7 @@ def test_mini_batches_learn_and_repeat(data):
 
 
 def test_training_stops_when_the_loss_stands_still(data):
-    model = mlp.MLPRegressor(NAMES, "y", "id", rate=1e-12, max_steps=50, tolerance=1e-5).fit(data)
+    model = mlp.MLPRegressor(NAMES, "y", "id", rate=1e-12, max_steps=50, check_every=1, tolerance=1e-5).fit(data)
     assert model.converged and model.losses[-1][0] == 1
 
 

@@ -55,6 +55,24 @@ def test_ridge_and_tree_runs(spark, observation_folder):
     assert ridge.metrics.count() == trees.metrics.count() == 10
 
 
+def test_documented_flow_with_a_key_of_input_columns(spark, observation_folder, tmp_path):
+    raw = read_folder(spark, observation_folder, plan.RAW_COLUMNS)
+    key = ["DATE", "LATITUDE", "LONGITUDE", "ELEVATION"]
+    prepared = plan.prepare_observations(raw, key).kept()
+    run = training.run_ridge(prepared.train, prepared.test)
+    assert run.metrics.count() == 10
+    run.write(str(tmp_path / "ridge"))
+    explored = exploration.explore_observations(raw.withColumns({c: F.lit(None).cast("string") for c in ("SLP", "GA1", "GF1", "MA1")}), key)
+    assert "row_key" in explored.train.columns
+
+
+def test_unreadable_times_and_numbers_are_dropped(spark):
+    good = ["01/02/2022 03:05:00 AM"] * 2 + ["1"] * 8
+    rows = [tuple(good)] + [tuple("?" if j == k else v for j, v in enumerate(good)) for k in range(10)]
+    raw = spark.createDataFrame(rows, ", ".join(f"{c} string" for c in trips.TRIP_COLUMNS))
+    assert trips.typed_trips(raw).count() == 1
+
+
 def test_trips_from_csv_text(spark, tmp_path):
     rows = [
         (

@@ -6,6 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from tabkit.functions.hashing import row_hash
 from tabkit.operators import impute, splits
 from tabkit.operators.scale import Scaler
 from tabkit.plans import observations as plan
@@ -101,19 +102,32 @@ def test_exact_split_sizes(spark, n):
 
 def test_exact_split_narrows_level_by_level(spark, monkeypatch):
     monkeypatch.setattr(splits, "LEVEL_DIGITS", 1)
-    monkeypatch.setattr(splits, "TOP_ROWS", 2)
     train, test = splits.exact_split(spark.range(3000), "id", 0.25)
     assert (train.count(), test.count()) == (2250, 750)
 
 
-def test_sample_n(spark, monkeypatch):
+def test_sample_n(spark):
     df = spark.range(2000)
-    small = {r.id for r in splits.sample_n(df, "id", 150).collect()}
-    assert len(small) == 150
-    assert splits.sample_n(df, "id", 5000).count() == 2000
-    monkeypatch.setattr(splits, "TOP_ROWS", 10)
-    assert {r.id for r in splits.sample_n(df, "id", 150).collect()} == small
+    assert splits.sample_n(df, "id", 150).distinct().count() == 150
     assert splits.sample_n(df, "id", 5000).count() == 2000
+    assert splits.sample_n(df, "id", 0).count() == 0
+
+
+def test_exact_sizes_with_shared_keys_and_equal_rows(spark):
+    df = spark.range(40).selectExpr("id % 3 as k", "id div 8 as v").union(spark.range(30).selectExpr("7L", "7L"))
+    whole = sorted(map(tuple, df.collect()))
+    for n in (1, 10, 33, 69, 70):
+        assert splits.sample_n(df, "k", n).count() == n
+    for share in (0.1, 0.37, 0.5, 0.93):
+        train, test = splits.exact_split(df, "k", share)
+        assert test.count() == math.ceil(share * 70)
+        assert sorted(map(tuple, train.union(test).collect())) == whole
+
+
+def test_different_keys_have_different_hashes(spark):
+    rows = [("a", None), (None, "a"), ("a|b", None), ("a", "b"), ("", None), (None, None), (None, ""), ("1:a", ""), ("", "1:a")]
+    df = spark.createDataFrame(rows, "x string, y string")
+    assert df.select(row_hash(["x", "y"], "split")).distinct().count() == len(rows)
 
 
 def test_samples_and_folds_are_independent_of_the_split(spark):

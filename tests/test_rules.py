@@ -67,10 +67,18 @@ def test_filter_is_idempotent(spark):
 def test_error_counts(spark):
     counts = {r.rule: r.rows for r in rules.error_counts(frame(spark, PIPELINE), rules.OBSERVATION_RULES).collect()}
     assert counts["any"] == sum(not ok for _, _, ok in PIPELINE)
-    for column in counts.keys() - {"any"}:
+    for column in counts.keys() - {"any", "undecided"}:
         assert counts[column] == sum(not ok for c, _, ok in PIPELINE if c == column)
 
 
+def test_error_counts_close(spark):
+    df = spark.createDataFrame([(-950, "1"), (None, "1"), (None, "2"), (5, None), (700, "1"), (5, "1")], "TMP_0 int, TMP_1 string")
+    several = (*rules.TARGET_RULES, rules.Range("TMP_0", at_most=-900))
+    counts = {r.rule: r.rows for r in rules.error_counts(df, several).collect()}
+    assert counts == {"any": 3, "undecided": 2, "TMP_0": 2, "TMP_1": 1, "TMP_0 Range 2": 1}
+    assert counts["any"] + counts["undecided"] + rules.clean_observations(df, several).count() == 6
+
+
 def test_trip_limits(spark):
     rows = [
         ("a", 10.0, 50.0, 10.0, 200.0), ("a", 10.5, 1.0, 1.0, 1.0), ("a", 1.0, 50.1, 1.0, 1.0),
