@@ -68,25 +68,30 @@ def drift_report(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
     return spark.createDataFrame(rows, "file_path string, columns array<string>")
 
 
-def _scan(spark: SparkSession, names: Sequence[str], files: Sequence[str]) -> DataFrame:
+def _scan(spark: SparkSession, names: Sequence[str], files: Sequence[str], skip_damaged: bool) -> DataFrame:
     schema = T.StructType([T.StructField(name, T.StringType()) for name in names])
     return (
         spark.read.option("header", True)
         .option("mode", "PERMISSIVE")
-        .option("ignoreCorruptFiles", True)
+        .option("ignoreCorruptFiles", skip_damaged)
         .schema(schema)
         .csv(sorted(files))
     )
 
 
 def read_drifting(
-    spark: SparkSession, path: str | Sequence[str], columns: Sequence[str] | None = None
+    spark: SparkSession,
+    path: str | Sequence[str],
+    columns: Sequence[str] | None = None,
+    skip_damaged: bool = False,
 ) -> DataFrame:
     """All CSV rows under ``path`` as strings, united by column name.
 
     With ``columns`` only those names are kept, absent ones as NULL, and files
     that agree on the positions of these columns share one scan whatever else
-    they hold. Files without a header line and unreadable files add no rows.
+    they hold. Files without a header line add no rows, nor do files that cannot be
+    read from the start. A file that breaks off later fails the job, unless
+    ``skip_damaged`` asks for the rows before the damage.
     """
     groups: dict[tuple, list[str]] = defaultdict(list)
     for file_path, names in _headers(spark, path).items():
@@ -99,10 +104,10 @@ def read_drifting(
         schema = [T.StructField(name, T.StringType()) for name in columns or ()]
         return spark.createDataFrame([], T.StructType(schema))
     if columns is None:
-        scans = [_scan(spark, names, groups[names]) for names in sorted(groups)]
+        scans = [_scan(spark, names, groups[names], skip_damaged) for names in sorted(groups)]
     else:
         scans = [
-            _scan(spark, [f"_c{i}" for i in range(max(*places, 0) + 1)], groups[places]).select(
+            _scan(spark, [f"_c{i}" for i in range(max(*places, 0) + 1)], groups[places], skip_damaged).select(
                 *[
                     (F.lit(None).cast("string") if at < 0 else F.col(f"_c{at}")).alias(c)
                     for c, at in zip(columns, places)
@@ -113,6 +118,8 @@ def read_drifting(
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), scans)
 
 
-def read_folder(spark: SparkSession, path: str, columns: Sequence[str] | None = None) -> DataFrame:
+def read_folder(
+    spark: SparkSession, path: str, columns: Sequence[str] | None = None, skip_damaged: bool = False
+) -> DataFrame:
     """Every CSV under ``path``, all strings, columns matched by name."""
-    return read_drifting(spark, path, columns)
+    return read_drifting(spark, path, columns, skip_damaged)

@@ -111,3 +111,17 @@ def test_reports_as_json(spark, tmp_path):
     assert {"model": "ridge", "split": "test", "metric": "rmse", "value": 1.5} in lines
     losses = reports.loss_history_frame(spark, [(1, 0.5), (2, 0.25)])
     assert [tuple(r) for r in losses.collect()] == [(1, 0.5), (2, 0.25)]
+
+
+def test_a_file_that_breaks_off_is_noticed(spark, tmp_path):
+    import gzip
+    import random
+
+    from tabkit.sources.drifting import read_drifting
+
+    rnd = random.Random(1)
+    data = gzip.compress(("a,b\n" + "".join(f"{rnd.random()},{k}\n" for k in range(200_000))).encode())
+    (tmp_path / "cut.csv.gz").write_bytes(data[: len(data) // 2])
+    with pytest.raises(Exception):
+        read_drifting(spark, str(tmp_path)).count()
+    assert 0 < read_drifting(spark, str(tmp_path), skip_damaged=True).count() < 200_000
