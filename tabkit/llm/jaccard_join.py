@@ -13,7 +13,7 @@ Before that, equal sets become one node, and a node is left out when fewer of it
 the bound demands occur in any other node: an exact test at a tenth of ``n``, in hash order, that most
 texts without a partner fail. After it, nodes are compared with one leader per list, round by round, and a
 list whose members are all connected already is closed. What is still open in the end is compared in
-full, so no link between different components is lost and no list is expanded into all its pairs.
+full, a pair once, at its first common key; so no link between different components is lost and no list is expanded into all its pairs.
 """
 
 from __future__ import annotations
@@ -185,7 +185,8 @@ def _boundary(sets: DataFrame, percent: int) -> int:
 def _keys(percent: int, boundary: int, schema: pa.Schema):
     """Subsets of two shingles of light sets, single shingles of heavy sets and of those they may meet.
 
-    ``reach`` is how many shingles a set can share with another whose first common key this is.
+    ``reach`` is how many shingles a set can share with another whose first common key this is, ``common`` how
+    many of those before the key's last shingle belong to the key.
     """
 
     def light(n: int) -> bool:
@@ -193,7 +194,7 @@ def _keys(percent: int, boundary: int, schema: pa.Schema):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keys, rows, reach = [], [], []
+            keys, rows, reach, common = [], [], [], []
             tokens = batch["tokens"]
             values, bounds = tokens.flatten().to_numpy().view(np.uint64), np.append(0, np.cumsum(tokens.value_lengths().to_numpy()))
             for row, n in enumerate(batch["n"].to_pylist()):
@@ -205,11 +206,13 @@ def _keys(percent: int, boundary: int, schema: pa.Schema):
                     keys.append(mixed(mixed(head[first]) + head[second]))
                     reach.append(n - (unique + second) + 1)
                     rows.append(np.full(len(first), row))
+                    common.append(np.ones(len(first), np.int64))
                 if not light(n) or n * 100 > percent * boundary or _needed(-(-percent * n // 100), percent) < 2:
                     head = own[: max(0, n - need + 1 - unique)]
                     keys.append(head)
                     reach.append(n - (unique + np.arange(len(head))))
                     rows.append(np.full(len(head), row))
+                    common.append(np.zeros(len(head), np.int64))
             rows = np.concatenate(rows) if rows else np.zeros(0, np.int64)
             yield pa.RecordBatch.from_pydict(
                 {
@@ -217,6 +220,7 @@ def _keys(percent: int, boundary: int, schema: pa.Schema):
                     "node": batch["node"].take(pa.array(rows)),
                     "n": batch["n"].take(pa.array(rows)),
                     "reach": np.concatenate(reach).astype(np.int64) if reach else np.zeros(0, np.int64),
+                    "common": np.concatenate(common) if common else np.zeros(0, np.int64),
                 },
                 schema=schema,
             )
@@ -248,10 +252,13 @@ def _side(df: DataFrame, s: str) -> DataFrame:
     return df.select(*[F.col(c) if c == "key" else F.col(c).alias(s if c == "node" else f"{s}_{c}") for c in df.columns])
 
 
-def _open_pairs(rooted: DataFrame, percent: int) -> DataFrame:
-    """All pairs that may still bring a link between two components."""
-    met = _side(rooted, "a").join(_side(rooted, "b"), "key").filter("a < b and a_root != b_root")
-    return met.filter(_possible(percent)).select("a", "b").distinct()
+def _open_pairs(rooted: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """All pairs that may still bring a link between two components, each at its first common key only."""
+    before = F.slice("tokens", F.lit(1), (F.size("tokens") - F.col("reach") + F.col("common")).cast("int"))
+    members = rooted.join(sets.select("node", "tokens"), "node").select("key", "node", "n", "reach", "root", "common", before.alias("before"))
+    met = _side(members, "a").join(_side(members, "b"), "key").filter("a < b and a_root != b_root").filter(_possible(percent))
+    first = F.size(F.array_intersect("a_before", "b_before")) == F.col("a_common")
+    return met.filter((F.col("a_common") == F.col("b_common")) & first).select("a", "b").distinct()
 
 
 def _leader_pairs(rooted: DataFrame, open_: DataFrame, several: int, percent: int) -> DataFrame:
@@ -268,7 +275,7 @@ def _connected(keys: DataFrame, sets: DataFrame, percent: int) -> DataFrame | No
             rooted = keys.withColumn("root", F.col("node"))
         else:
             rooted = keys.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-            rooted = rooted.select("key", "node", "n", "reach", "root")
+            rooted = rooted.select("key", "node", "n", "reach", "common", "root")
         # One leader for all lists that hold it at first, so that large groups become one star; then
         # another one for each list.
         order = F.xxhash64("node", "key", F.lit(round_)) if round_ else F.xxhash64("node")
@@ -282,9 +289,9 @@ def _connected(keys: DataFrame, sets: DataFrame, percent: int) -> DataFrame | No
         keys = rooted.drop("root")  # a list whose members are all connected stays so
         last = round_ == LEADER_ROUNDS or most <= PAIRS_AN_ENTRY * entries
         if last:
-            pairs = _open_pairs(rooted, percent)
+            pairs = _open_pairs(rooted, sets, percent)
         else:
-            pairs = _leader_pairs(rooted, open_.drop("entries"), LEADERS if round_ else 1, percent)
+            pairs = _leader_pairs(rooted.drop("common"), open_.drop("entries"), LEADERS if round_ else 1, percent)
         found = written(_linked(pairs, sets, percent))
         if roots is None:
             roots = components(found)
@@ -342,7 +349,7 @@ def jaccard_join(
     counts = single.groupBy("token").agg(F.count("*").alias("held")).filter("held > 1")
     ranked = single.join(counts, "token").groupBy("node", "n").agg(F.sort_array(F.collect_list(F.struct("held", "token"))).alias("t"))
     sets = written(ranked.select("node", "n", F.col("t.token").alias("tokens"), F.col("t.held").alias("counts")))
-    key_schema = StructType([StructField("key", LongType()), StructField("node", schema["node"].dataType), StructField("n", LongType()), StructField("reach", LongType())])
+    key_schema = StructType([StructField("key", LongType()), StructField("node", schema["node"].dataType), StructField("n", LongType()), StructField("reach", LongType()), StructField("common", LongType())])
     make = _keys(percent, _boundary(sets, percent), to_arrow_schema(key_schema))
     keys = written(sets.select("node", "n", "tokens").mapInArrow(make, key_schema))
     roots = _connected(keys, sets.select("node", "n", "tokens"), percent)
