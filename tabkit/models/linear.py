@@ -142,8 +142,10 @@ def cross_validate_ridge(
         foldCol="fold",
         parallelism=parallelism,
     )
-    result = search.fit(data)
-    data.unpersist()
+    try:
+        result = search.fit(data)
+    finally:
+        data.unpersist()
     return PipelineModel([stage, result.bestModel]), list(result.avgMetrics)
 
 

@@ -43,8 +43,10 @@ def fit_gbt(
     ensure_checkpoint_dir(df.sparkSession)
     stage = assembler(features)
     data = spread(stage.transform(df).select(label, "features"))
-    model = _estimator(label, seed, params).fit(data)
-    data.unpersist()
+    try:
+        model = _estimator(label, seed, params).fit(data)
+    finally:
+        data.unpersist()
     return PipelineModel([stage, model])
 
 
@@ -83,8 +85,10 @@ def tune_gbt(
         foldCol="fold",
         parallelism=parallelism,
     )
-    result = search.fit(data)
-    data.unpersist()
+    try:
+        result = search.fit(data)
+    finally:
+        data.unpersist()
     tried = [
         ({param.name: value for param, value in setting.items()}, score)
         for setting, score in zip(search.getEstimatorParamMaps(), result.avgMetrics)

@@ -17,6 +17,7 @@ from ..models.evaluate import (
     naive_mean,
     naive_predictions,
     regression_metrics,
+    residuals as residual_sample,
 )
 from ..models.linear import RIDGE_GRID, tune_ridge
 from ..models.trees import TREE_GRID, tune_gbt
@@ -49,11 +50,13 @@ class ModelRun:
     metrics: DataFrame
     ranking: DataFrame
     report: DataFrame
+    residuals: DataFrame  # label, prediction and residual of a sample of the test rows
+    scores: list  # what the search found: per penalty of ridge, per setting of the trees
 
     def write(self, path: str) -> None:
         """The fitted pipeline and, as JSON, its metrics, ranking and parameters."""
         save_model(self.model, f"{path}/model")
-        for name in ("metrics", "ranking", "report"):
+        for name in ("metrics", "ranking", "report", "residuals"):
             write_json(getattr(self, name), f"{path}/{name}")
 
 
@@ -65,12 +68,14 @@ def run_ridge(
     grid: Sequence[float] = RIDGE_GRID,
     k: int = 5,
 ) -> ModelRun:
-    model, _ = tune_ridge(folds(train, key, k), features, LABEL, grid)
+    model, scores = tune_ridge(folds(train, key, k), features, LABEL, grid)
     return ModelRun(
         model,
         split_metrics(model.transform(train), model.transform(test), "ridge"),
         coefficient_ranking(model.stages[-1], features),
         model_report(model.stages[-1], features),
+        residual_sample(model.transform(test), key, LABEL, "prediction"),
+        list(zip(grid, scores)),
     )
 
 
@@ -83,10 +88,12 @@ def run_gbt(
     fraction: float = 0.01,
     k: int = 3,
 ) -> ModelRun:
-    model, _ = tune_gbt(train, features, LABEL, key, grid, fraction, k)
+    model, scores = tune_gbt(train, features, LABEL, key, grid, fraction, k)
     return ModelRun(
         model,
         split_metrics(model.transform(train), model.transform(test), "gbt"),
         importance_ranking(model.stages[-1], features),
         model_report(model.stages[-1], features),
+        residual_sample(model.transform(test), key, LABEL, "prediction"),
+        scores,
     )
