@@ -1,5 +1,8 @@
 """Properties of the models that SQL cannot check."""
 
+from itertools import product
+from types import SimpleNamespace
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -7,6 +10,7 @@ from pyspark.sql import functions as F
 from tabkit.models import evaluate, linear, mlp, trees
 from tabkit.operators.splits import folds
 from tabkit.plans import training
+from tabkit.queries import modelling
 from tabkit.sources.reports import load_model, save_model
 
 
@@ -159,6 +163,22 @@ def test_tree_search_refits_the_best_setting(data):
     assert len(tried) == 2
 
 
+def test_registered_search_tries_the_whole_grid(spark, monkeypatch):
+    """Every setting is scored by its distance from a cheap one, in place of 216 fits."""
+    best = {"maxDepth": 2, "maxIter": 20, "stepSize": 0.1, "subsamplingRate": 0.8, "minInstancesPerNode": 5}
+
+    def scored(search, data):
+        assert data.count() > 0
+        settings = [{p.name: v for p, v in s.items()} for s in search.getEstimatorParamMaps()]
+        chosen = search.getEstimator().copy(search.getEstimatorParamMaps()[settings.index(best)])
+        return SimpleNamespace(avgMetrics=[float(s != best) for s in settings], bestModel=chosen)
+
+    monkeypatch.setattr(trees.CrossValidator, "fit", scored)
+    rows = modelling.gbt_cv(spark, "/root/testdata/sf0.001").collect()
+    assert {tuple(r)[:5] for r in rows} == set(product(*trees.TREE_GRID.values())) and len(rows) == 72
+    assert [tuple(r)[:6] for r in rows if r.chosen] == [(*best.values(), 0.0)]
+
+
 def test_metrics_by_hand(spark):
     df = spark.createDataFrame([(1.0, 2.0), (3.0, 3.0), (5.0, 3.0), (None, 1.0)], "y double, p double")
     m = evaluate.regression_metrics(df, "y", "p").first()
