@@ -13,6 +13,14 @@ from ..session import fits_broadcast, written
 RATIO = 0.1
 # A line must be on this many pages of its host, so that a host of few pages keeps its text.
 LEAST_PAGES = 3
+# A page's signatures: each is the least KEPT of the shingle hashes dealt to it.
+SIGNATURES = 8
+KEPT = 6
+SHINGLE_WORDS = 3
+# The least hashes of a page that the signatures are taken from.
+SKETCH = 4 * SIGNATURES * KEPT
+# A signature groups pages if more than this share of ``ratio`` of the host's pages have it.
+GROUP_SHARE = 0.1
 
 
 def _lines(text: str) -> Column:
@@ -23,6 +31,51 @@ def _stripped(line: Column) -> Column:
     return F.trim(line)
 
 
+def _signatures(text: str) -> Column:
+    """Hashes that most near copies of a text share; none for a text without words."""
+    words = F.filter(F.split(F.col(text), r"\s+"), lambda x: x != "")
+    hashes = F.transform(words, lambda x: F.xxhash64(x))
+    # The array is an argument, so that it is made once a row and not once a word.
+    shingled = lambda h: F.transform(h, lambda x, i: F.xxhash64(x, *[F.get(h, i + k) for k in range(1, SHINGLE_WORDS)]))
+    least = F.flatten(F.transform(F.array(hashes), lambda h: F.slice(F.sort_array(F.array_distinct(shingled(h))), 1, SKETCH)))
+    dealt = lambda s, k: F.filter(s, lambda x: F.pmod(F.xxhash64(x), F.lit(SIGNATURES)) == k)
+    each = lambda s: F.array(*[F.xxhash64(F.lit(k), F.slice(dealt(s, k), 1, KEPT)) for k in range(SIGNATURES)])
+    return F.flatten(F.transform(F.filter(F.array(least), lambda s: F.size(s) > 0), each))
+
+
+def _by_host(df: DataFrame, listed: Column, name: str) -> tuple[DataFrame, bool]:
+    """``listed`` collected a host, and whether the lists are small enough to broadcast."""
+    found = written(df.groupBy("__dedup_host").agg(F.sort_array(F.collect_list(listed)).alias(name)))
+    hosts, held = found.agg(F.count("*"), F.coalesce(F.sum(F.size(name)), F.lit(0))).first()
+    return found, fits_broadcast(hosts + held, 2)
+
+
+def _near_pages(rows: DataFrame, ratio: float) -> DataFrame:
+    """``rows`` (host, page, marks, lines) with one number for the pages of a host that are near copies.
+
+    Pages that have a signature in common are one group, if the signature is on enough of the host's pages;
+    groups that a page has signatures of are one. Fewer than ``SIGNATURES / (ratio * GROUP_SHARE)``
+    signatures remain for a host.
+    """
+    host = F.col("host").alias("__dedup_host")
+    pages = rows.groupBy(host).agg((F.count("*") * ratio * GROUP_SHARE).alias("__dedup_least"))
+    marked = rows.select(host, F.explode("marks").alias("mark")).groupBy("__dedup_host", "mark").agg(F.count("*").alias("held"))
+    marked = marked.filter("held > 1").withColumnRenamed("__dedup_host", "host")
+    common = marked.join(pages, F.col("host").eqNullSafe(F.col("__dedup_host"))).filter("held > __dedup_least")
+
+    def joined(lists: DataFrame, small: bool) -> DataFrame:
+        return rows.join(F.broadcast(lists) if small else lists, F.col("host").eqNullSafe(F.col("__dedup_host")), "left")
+
+    found = joined(*_by_host(common.select("__dedup_host", "mark"), F.col("mark"), "__dedup_marks"))
+    own = found.select(host, F.array_intersect("marks", "__dedup_marks").alias("own")).filter(F.size("own") > 0)
+    least = own.select("__dedup_host", F.explode("own").alias("mark"), F.array_min("own").alias("least"))
+    linked = least.groupBy("__dedup_host", "mark").agg(F.min("least").alias("least"))
+    found = joined(*_by_host(linked, F.struct("mark", "least"), "__dedup_marks"))
+    mine = F.filter("__dedup_marks", lambda x: F.array_contains("marks", x["mark"]))
+    group = F.array_min(F.transform(mine, lambda x: x["least"]))
+    return found.select("host", F.coalesce(group, F.col("page")).alias("page"), "lines")
+
+
 def line_dedup(
     docs: DataFrame,
     id: str = "doc_id",
@@ -30,6 +83,7 @@ def line_dedup(
     host: str = "source",
     ratio: float = RATIO,
     least_pages: int = LEAST_PAGES,
+    near: bool = False,
 ) -> DataFrame:
     """``docs`` with the text cleaned, and ``n_lines`` and ``n_dropped`` added.
 
@@ -38,6 +92,11 @@ def line_dedup(
     on more than ``ratio`` of them; a page counts a line once however often it repeats it, and rows of a host
     with equal texts are one page. All its occurrences are dropped from the host's pages, and the other lines joined again as they were.
 
+    With ``near``, pages of a host that are near copies are one page too, in both counts, else a text that is
+    copied with small changes would lose the lines that its copies share. Near copies are told by signatures of
+    their word shingles (see ``_near_pages``), so a page of which more than about four fifths are
+    boilerplate counts as a near copy of others like it.
+
     A null text stays null, an empty one empty, with 0 dropped lines; a text of boilerplate alone becomes empty.
     A null host is a host of its own. Repeated rows stay. All columns of ``docs`` stay
     under their names, except that columns named ``n_lines`` and ``n_dropped`` are replaced. Empty in, empty out.
@@ -45,11 +104,16 @@ def line_dedup(
     Counts are made of line hashes after partial aggregation. At most 1 / ``ratio`` times the mean number of
     lines a page remain for a host, and the table of hosts is broadcast only when its counted size allows.
     """
-    rows = docs.select(F.col(host).alias("host"), F.xxhash64(text).alias("page"), _lines(text).alias("lines"))
-    filled = F.filter(F.transform("lines", _stripped), lambda x: x != "")
+    rows = docs.select(F.col(host).alias("host"), F.xxhash64(text).alias("page"), F.col(text).alias("text"))
+    filled = F.filter(F.transform(_lines("text"), _stripped), lambda x: x != "")
     hashed = F.array_distinct(F.transform(filled, lambda x: F.xxhash64(x)))
+    if near:
+        marks = F.coalesce(_signatures("text"), F.array().cast("array<bigint>"))
+        rows = _near_pages(written(rows.select("host", "page", marks.alias("marks"), hashed.alias("lines")).dropDuplicates(["host", "page"])), ratio)
+    else:
+        rows = rows.select("host", "page", hashed.alias("lines"))
     pages = rows.select("host", "page").distinct().groupBy(F.col("host").alias("__dedup_host")).agg(F.count("*").alias("pages"))
-    lines = rows.select("host", "page", F.explode(hashed).alias("line")).distinct().groupBy("host", "line").agg(F.count("*").alias("held"))
+    lines = rows.select("host", "page", F.explode("lines").alias("line")).distinct().groupBy("host", "line").agg(F.count("*").alias("held"))
     often = lines.filter(F.col("held") >= least_pages)
     often = often.join(pages, F.col("host").eqNullSafe(F.col("__dedup_host"))).filter(F.col("held") > F.col("pages") * ratio)
     boilerplate = written(often.groupBy("__dedup_host").agg(F.sort_array(F.collect_list("line")).alias("__dedup_lines")))

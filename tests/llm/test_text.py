@@ -182,6 +182,25 @@ def test_line_dedup(spark, docs):
     assert line_dedup(docs).columns == docs.columns + ["n_lines", "n_dropped"]
 
 
+@pytest.mark.parametrize("pages, copies", [(20, 3), (90, 30)])
+def test_line_dedup_near_copies(spark, pages, copies):
+    """A group of near copies keeps its text; a menu of the same host goes."""
+    rng = np.random.default_rng(3)
+    prose = lambda n: [" ".join(f"w{x}" for x in rng.integers(0, 9999, 12)) for _ in range(n)]
+    menu, base = ["home about contact", "all rights reserved"], prose(6)
+    rows = [(k, "\n".join(menu + prose(6))) for k in range(copies, pages)]
+    for k in range(copies):
+        words = [line.split() for line in base]
+        words[k % 6][k % 12] = f"edit{k}"
+        rows.append((k, "\n".join(map(" ".join, words))))
+    df = spark.createDataFrame([(i, text, "a") for i, text in rows], "doc_id long, text string, source string")
+    out = {r.doc_id: r for r in line_dedup(df, near=True).collect()}
+    for k, text in rows:
+        assert out[k].text == (text if k < copies else text.split("\n", 2)[2])
+    lost = [r for r in line_dedup(df).collect() if r.doc_id < copies and r.n_dropped]
+    assert len(lost) == copies
+
+
 @pytest.mark.parametrize("compressed", ["true", "false"])
 def test_warc_filters(spark, tmp_path, compressed):
     payload = b"<p>\r\n\r\nWARC/1.1\r\n" + bytes(range(256)) * 9000
