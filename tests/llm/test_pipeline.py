@@ -5,7 +5,7 @@ import pytest
 import __spark_entry__
 import corpus_pipeline
 from oracle import connect, difference
-from tabkit.llm import queries
+from tabkit.llm import language, queries
 
 from .test_pairs import contaminated_rows, grouped
 
@@ -56,3 +56,20 @@ def test_stages_on_edges(spark, docs):
             rows = stage(spark, rows, "/root/testdata/sf0.001")
         ids = sorted(r.doc_id for r in rows.collect() if r.doc_id is not None)
         assert ids == ([] if start is not docs else [1, 7, 8, 10, 11])
+
+
+@pytest.mark.parametrize("above", [True, False])
+def test_language_share(spark, monkeypatch, above):
+    """The score rule at the shares 4/13 and 3/11, above and below LEAST_SCORE, of five scripts counted by hand."""
+    words = {"en": "abcd", "el": "αβγδ", "ru": "абвг", "he": "אבגד", "hy": "աբգդ"}
+    model = language.train(spark.createDataFrame([(k, f"{w} {w}", n) for k, (n, w) in enumerate(words.items())], "doc_id long, text string, lang string"))
+    monkeypatch.setattr(corpus_pipeline, "train", lambda docs: model)
+    monkeypatch.setattr(corpus_pipeline, "predict", lambda *a, **k: language.predict(*a, **k, penalty=0.0))
+    counts = [4, 3, 2, 2, 2] if above else [3, 2, 2, 2, 2]
+    text = " ".join(w[:n] for w, n in zip(words.values(), counts))
+    letters = [sum(c in w for c in text) for w in words.values()]
+    share = max(letters) / sum(letters)
+    assert letters == counts and abs(share - corpus_pipeline.LEAST_SCORE) < 0.03
+    docs = spark.createDataFrame([(1, text, "en", "a", len(text))], "doc_id long, text string, lang string, source string, n_chars long")
+    kept = corpus_pipeline.language(spark, docs, "")
+    assert kept.count() == int(share >= corpus_pipeline.LEAST_SCORE) == int(above)
