@@ -20,7 +20,7 @@ from pyspark.sql.types import ArrayType, StructType
 from .words import mixed, numbers
 
 UNKNOWN = "und"
-# Labelled rows that the counts are learned from, on average; rows are chosen by a hash of the id.
+# Labelled rows of each language that the counts are learned from, on average; rows are chosen by a hash of the id.
 SAMPLE_ROWS = 8_000
 BUCKETS = 1 << 18
 SWITCH_PENALTY = 20.0
@@ -187,10 +187,11 @@ def _counts(scripts: np.ndarray):
 
 
 def train(docs: DataFrame, text: str = "text", lang: str = "lang", id: str = "doc_id", sample_rows: int = SAMPLE_ROWS) -> Model:
-    """Learn from about ``sample_rows`` of the rows with a label; without any, the model knows no language."""
+    """Learn from about ``sample_rows`` rows of each label, all where there are fewer; without any, the model knows no language."""
     rows = docs.filter(F.col(lang).isNotNull() & F.col(text).isNotNull()).select(F.col(text).alias("text"), F.col(lang).alias("lang"), F.col(id).alias("id"))
-    n = max(1, rows.count())
-    chosen = rows.filter(F.pmod(F.xxhash64("id"), F.lit(n)) < sample_rows).select("text", "lang")
+    # One row a language, of which the model holds a column each.
+    sizes = F.broadcast(rows.groupBy("lang").agg(F.count("*").alias("n")))
+    chosen = rows.join(sizes, "lang").filter(F.pmod(F.xxhash64("id"), F.col("n")) < sample_rows).select("text", "lang")
     scripts = letter_scripts()
     counted = chosen.mapInArrow(_counts(scripts), "lang string, bucket long, count long").groupBy("lang", "bucket").agg(F.sum("count").alias("count")).toArrow()
     langs = sorted(set(counted["lang"].to_pylist()))

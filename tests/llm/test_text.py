@@ -37,6 +37,15 @@ def test_language_edges(spark, docs):
     assert language.predict(model, docs, whole_rows=True).columns == [c for c in docs.columns if c != "score"] + ["lang_pred", "score", "spans"]
 
 
+def test_language_rare(spark):
+    """A rare language is learned however many rows the others have, and the sample stays bounded."""
+    rows = [(k, "the house and the garden", "en") for k in range(4000)] + [(4000 + k, "das haus und der garten", "de") for k in range(5)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = language.train(df, sample_rows=50)
+    assert model.langs == ["de", "en"]
+    assert language.predict(model, df).filter("doc_id >= 4000 and lang_pred = 'de'").count() == 5
+
+
 def test_viterbi():
     rng = np.random.default_rng(3)
     for _ in range(200):
