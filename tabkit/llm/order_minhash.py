@@ -45,12 +45,16 @@ def fingerprint(text: str) -> np.ndarray:
     hashes = np.zeros(n, np.uint64)
     for k in range(K):
         hashes += padded[k : k + n] * _POWERS[k]
-    # Equal k-mers lie together, in the order of the text; the place is kept in the low bits as far as it fits.
+    # Equal k-mers lie together, in the order of the text; the place is kept in the low bits where it fits.
     place = np.arange(n, dtype=np.uint64)
-    bits = np.uint64(max(_PLACE_BITS, n.bit_length()))
-    mask = (np.uint64(1) << bits) - np.uint64(1)
-    packed = np.sort(mixed(hashes) & ~mask | place)
-    kmer, place = packed & ~mask, packed & mask
+    mask = np.uint64((1 << _PLACE_BITS) - 1)
+    kmer = mixed(hashes) & ~mask  # the same in texts of any length
+    if n <= 1 << _PLACE_BITS:
+        packed = np.sort(kmer | place)
+        kmer, place = packed & ~mask, packed & mask
+    else:
+        order = np.lexsort((place, kmer))
+        kmer, place = kmer[order], place[order]
     begin = np.concatenate(([True], kmer[1:] != kmer[:-1]))
     at = np.arange(n)
     occurrence = at - np.maximum.accumulate(np.where(begin, at, 0))

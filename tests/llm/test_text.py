@@ -127,6 +127,16 @@ def test_fingerprint_definition():
             assert int(found[group]) == value
 
 
+def test_fingerprint_across_place_bits(monkeypatch):
+    """Texts on either side of the length whose places fit beside a hash stay alike."""
+    rng = np.random.default_rng(9)
+    text = "".join(chr(97 + c) for c in rng.integers(0, 26, 5000))
+    monkeypatch.setattr(order_minhash, "_PLACE_BITS", 12)
+    short = order_minhash.fingerprint(text[: 4095 + order_minhash.K - 1])
+    long = order_minhash.fingerprint(text[: 4096 + order_minhash.K + 20])
+    assert order_minhash.likeness(short, long) > 0.9
+
+
 def test_html(spark):
     tree = html_blocks.train(spark)
     assert all(html_blocks.classify(tree, row[:-1]) == row[-1] for row in html_blocks.LABELLED)
