@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from .block_names import SQL as EXACT_DEDUP_SQL, exact_dedup
 from .bpe import bpe_encode
 from .decontaminate import contamination
 from .html_blocks import extract
@@ -90,3 +91,11 @@ def op6_warc(spark: SparkSession, folder: str) -> DataFrame:
 @_query
 def op4_html_blocks(spark: SparkSession, folder: str) -> DataFrame:
     return extract(_table(spark, folder, "pages"))
+
+
+@_query
+def op11_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return exact_dedup(_table(spark, folder, "documents"))
+
+
+SQL["op11_exact_dedup"] = EXACT_DEDUP_SQL
