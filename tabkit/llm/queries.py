@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from .alignment import align
 from .block_names import SQL as EXACT_DEDUP_SQL, exact_dedup
 from .bpe import bpe_encode
 from .decontaminate import contamination
@@ -14,6 +15,7 @@ from .jaccard_join import jaccard_join
 from .language import held_out, predict, train
 from .line_dedup import SQL as LINE_DEDUP_SQL, line_dedup
 from .order_minhash import fingerprints
+from .resample import resample
 from .secrets import SQL as SECRETS_SQL, secret_report
 from .unigram import token_counts
 from .warc import warc_round_trip
@@ -99,3 +101,13 @@ def op11_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
 
 SQL["op11_exact_dedup"] = EXACT_DEDUP_SQL
+
+
+@_query
+def op12_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    return align(_table(spark, folder, "documents"))
+
+
+@_query
+def op13_resample(spark: SparkSession, folder: str) -> DataFrame:
+    return resample(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"))
