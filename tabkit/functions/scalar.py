@@ -10,10 +10,11 @@ US_TIMESTAMP = "MM/dd/yyyy hh:mm:ss a"
 
 
 def parse_us_timestamp(text: Column) -> Column:
-    """Epoch seconds of ``MM/dd/yyyy hh:mm:ss AM|PM`` text read as UTC; NULL if unparsable."""
-    ts = F.try_to_timestamp(text, F.lit(US_TIMESTAMP))
-    day = F.unix_date(F.to_date(ts)).cast("bigint")
-    return day * 86400 + F.hour(ts) * 3600 + F.minute(ts) * 60 + F.second(ts)
+    """Epoch seconds of ``MM/dd/yyyy hh:mm:ss AM|PM`` text read as UTC; NULL if unparsable.
+
+    The offset is part of what is parsed, so the session zone plays no part and the text is read once.
+    """
+    return F.unix_seconds(F.try_to_timestamp(F.concat(text, F.lit(" Z")), F.lit(US_TIMESTAMP + " X")))
 
 
 def iso_timestamp(text: Column) -> Column:

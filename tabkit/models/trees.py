@@ -1,18 +1,17 @@
-"""Boosted-tree regression and its grid search on a sample."""
+"""Boosted-tree regression and its grid search on a sample: fitted by Spark, searched by ``boosting``."""
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
 from pyspark.ml import PipelineModel
-from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.regression import GBTRegressionModel, GBTRegressor
-from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import DataFrame
 
 from ..operators.columns import assembler
 from ..operators.splits import Key, folds, sample_fraction
 from ..session import ensure_checkpoint_dir, spread
+from .boosting import search
 
 # The searched settings.
 TREE_GRID = {
@@ -63,35 +62,14 @@ def tune_gbt(
     fraction: float = 0.01,
     k: int = 3,
     seed: int = 42,
-    parallelism: int = 4,
 ) -> tuple[PipelineModel, list[tuple[dict[str, float], float]]]:
     """Search on a sample, refit on all rows.
 
-    Returns the model refitted with the best setting and ``(setting, rmse)``
-    for every setting tried.
+    Returns the model refitted with the best setting, the first of equal ones, and ``(setting, rmse)``
+    for every setting tried. The search gives the same scores on any number of cores.
     """
-    stage = assembler(features)
     sample = folds(sample_fraction(df, key, fraction, seed), key, k, seed)
-    data = spread(stage.transform(sample).select(label, "features", "fold"))
-    estimator = _estimator(label, seed)
-    builder = ParamGridBuilder()
-    for name, values in grid.items():
-        builder = builder.addGrid(estimator.getParam(name), list(values))
-    search = CrossValidator(
-        estimator=estimator,
-        estimatorParamMaps=builder.build(),
-        evaluator=RegressionEvaluator(labelCol=label, metricName="rmse"),
-        numFolds=k,
-        foldCol="fold",
-        parallelism=parallelism,
-    )
-    try:
-        result = search.fit(data)
-    finally:
-        data.unpersist()
-    tried = [
-        ({param.name: value for param, value in setting.items()}, score)
-        for setting, score in zip(search.getEstimatorParamMaps(), result.avgMetrics)
-    ]
-    best = {p.name: v for p, v in result.bestModel.extractParamMap().items() if p.name in grid}
+    names = [key] if isinstance(key, str) else list(key)
+    tried = search(sample, features, label, names, grid, k, seed=seed)
+    best = min(tried, key=lambda pair: pair[1])[0]
     return fit_gbt(df, features, label, best, seed), tried

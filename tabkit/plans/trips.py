@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions.scalar import parse_us_timestamp
 from ..models.mlp import MLPModel, MLPRegressor
+from ..operators.columns import computed_once
 from ..operators.rules import clean_trips
 from ..operators.scale import Scaler, ScalerModel
 from ..operators.splits import Key, hash_split
@@ -27,13 +28,16 @@ LABEL = TRIP_COLUMNS[-1]
 def typed_trips(raw: DataFrame) -> DataFrame:
     """Cleaned trips with the times as epoch seconds and every other used column a double.
 
-    Text is parsed first and the parsed values are tested, so a time or number that cannot be read drops its
-    row. Limits on columns that are numbers already still reach a Parquet scan.
+    Text is parsed first, once a row, and the parsed values are tested, so a time or number that cannot be read drops
+    its row. Limits on columns that are numbers already still reach a Parquet scan.
     """
     kinds = dict(raw.dtypes)
     parsed = {c: parse_us_timestamp(F.col(c)).cast("double") for c in TIME_COLUMNS if kinds[c] == "string"}
     parsed |= {c: F.col(c).try_cast("double") for c in TRIP_COLUMNS if c not in TIME_COLUMNS and kinds[c] == "string"}
-    return clean_trips(raw.withColumns(parsed) if parsed else raw, TRIP_COLUMNS)
+    if parsed:
+        columns = [value.alias(c) for c, value in parsed.items()]
+        raw = computed_once(raw, columns, [c for c in raw.columns if c not in parsed])
+    return clean_trips(raw, TRIP_COLUMNS)
 
 
 @dataclass(frozen=True)

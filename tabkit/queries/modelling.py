@@ -225,7 +225,8 @@ def fold_comparison(spark: SparkSession, folder: str) -> DataFrame:
     return exploration.fold_spread(exploration.compare_by_fold(train, OBS_KEY))
 
 
-SHALLOW_TREES = {"maxDepth": 3, "maxIter": 20, "stepSize": 0.2, "subsamplingRate": 1.0, "minInstancesPerNode": 2}
+# A setting of the searched grid.
+SHALLOW_TREES = {"maxDepth": 2, "maxIter": 20, "stepSize": 0.2, "subsamplingRate": 1.0, "minInstancesPerNode": 2}
 
 
 @query("gbt_fit")

@@ -90,9 +90,9 @@ def impute_window(spark: SparkSession, folder: str) -> DataFrame:
 )
 def standardise(spark: SparkSession, folder: str) -> DataFrame:
     table = _features(spark, folder).select("obs_id", "split", *KEYS, "WND_3", "DEW_0")
-    filled = impute.GroupMeanImputer(KEYS, plan.IMPUTED).fit(_train(table)).transform(table)
-    scaler = Scaler(plan.STANDARDISED, ddof=1).fit(_train(filled))
-    return rounded_rows(scaler.transform(filled).select("obs_id", "split", *plan.STANDARDISED))
+    imputer = impute.GroupMeanImputer(KEYS, plan.IMPUTED).fit(_train(table))
+    scaler = imputer.imputed_scaler(plan.STANDARDISED, ddof=1)
+    return rounded_rows(scaler.transform(imputer.transform(table)).select("obs_id", "split", *plan.STANDARDISED))
 
 
 @query(

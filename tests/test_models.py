@@ -1,13 +1,12 @@
 """Properties of the models that SQL cannot check."""
 
 from itertools import product
-from types import SimpleNamespace
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tabkit.models import evaluate, linear, mlp, trees
+from tabkit.models import boosting, evaluate, linear, mlp, trees
 from tabkit.operators.splits import folds
 from tabkit.plans import training
 from tabkit.queries import modelling
@@ -163,20 +162,52 @@ def test_tree_search_refits_the_best_setting(data):
     assert len(tried) == 2
 
 
-def test_registered_search_tries_the_whole_grid(spark, monkeypatch):
-    """Every setting is scored by its distance from a cheap one, in place of 216 fits."""
-    best = {"maxDepth": 2, "maxIter": 20, "stepSize": 0.1, "subsamplingRate": 0.8, "minInstancesPerNode": 5}
-
-    def scored(search, data):
-        assert data.count() > 0
-        settings = [{p.name: v for p, v in s.items()} for s in search.getEstimatorParamMaps()]
-        chosen = search.getEstimator().copy(search.getEstimatorParamMaps()[settings.index(best)])
-        return SimpleNamespace(avgMetrics=[float(s != best) for s in settings], bestModel=chosen)
-
-    monkeypatch.setattr(trees.CrossValidator, "fit", scored)
+def test_registered_search_tries_the_whole_grid(spark):
     rows = modelling.gbt_cv(spark, "/root/testdata/sf0.001").collect()
     assert {tuple(r)[:5] for r in rows} == set(product(*trees.TREE_GRID.values())) and len(rows) == 72
-    assert [tuple(r)[:6] for r in rows if r.chosen] == [(*best.values(), 0.0)]
+    assert [r.rmse for r in rows if r.chosen] == [min(r.rmse for r in rows)]
+
+
+@pytest.fixture(scope="module")
+def twice(spark, data):
+    """Every row in fold 0 and in fold 1, so that a model of one fold has the same cuts as one of all rows."""
+    coarse = data.withColumn("c", F.round("c")).withColumn("y", F.col("y") + F.pow("b", 2) + F.col("c") * F.col("a"))
+    return coarse.withColumn("fold", F.explode(F.array(F.lit(0), F.lit(1)))).cache()
+
+
+@pytest.mark.parametrize("setting", [
+    {"maxDepth": 1, "maxIter": 1},
+    {"maxDepth": 3, "maxIter": 6, "stepSize": 0.2},
+    {"maxDepth": 5, "maxIter": 10, "minInstancesPerNode": 5},
+])
+@pytest.mark.parametrize("sent_rows", [0, 10_000])
+def test_searched_trees_are_those_of_spark(twice, setting, sent_rows):
+    ((_, found),) = boosting.search(twice, NAMES, "y", ["id"], {k: (v,) for k, v in setting.items()}, 2, sent_rows=sent_rows)
+    model = trees.fit_gbt(twice.filter("fold = 0"), NAMES, "y", setting)
+    want = evaluate.regression_metrics(model.transform(twice.filter("fold = 1")), "y", "prediction").first().rmse
+    assert found == pytest.approx(want, rel=1e-6)
+
+
+def test_search_does_not_depend_on_the_partitioning(data):
+    marked = folds(data.withColumn("b", F.when(F.col("id") % 50 != 0, F.col("b"))), "id", 3)
+    grid = {"maxDepth": (2, 4), "maxIter": (2, 12), "subsamplingRate": (0.7, 1.0)}
+    one = boosting.search(marked.coalesce(1), NAMES, "y", ["id"], grid)
+    assert one == boosting.search(marked.repartition(7), NAMES, "y", ["id"], grid)
+    spread = boosting.search(marked.repartition(5), NAMES, "y", ["id"], grid, sent_rows=0)
+    assert [s for s, _ in spread] == [s for s, _ in one] == [dict(zip(grid, v)) for v in product(*grid.values())]
+    assert [e for _, e in spread] == pytest.approx([e for _, e in one], rel=1e-12)
+
+
+def test_thresholds():
+    assert boosting.thresholds(np.array([3.0, 1.0, 2.0, 2.0])).tolist() == [1.5, 2.5]
+    assert boosting.thresholds(np.array([5.0, 5.0])).tolist() == []
+    cuts = boosting.thresholds(np.arange(1000.0))
+    assert len(cuts) == 31 and np.allclose(np.diff(cuts), 31.25, atol=1)
+
+
+def test_search_without_rows(data):
+    with pytest.raises(ValueError):
+        boosting.search(folds(data.limit(0), "id", 2), NAMES, "y", ["id"], {"maxDepth": (1,)}, 2)
 
 
 def test_metrics_by_hand(spark):
