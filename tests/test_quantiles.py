@@ -1,4 +1,4 @@
-"""Exact quantiles against numpy, on both ways of computing them."""
+"""Exact quantiles against numpy, with and without counting rounds."""
 
 import numpy as np
 import pytest
@@ -32,10 +32,10 @@ def expected(rows, q):
 
 
 @pytest.mark.parametrize("q", [0.0, 0.25, 0.5, 0.999, 1.0])
-@pytest.mark.parametrize("small", [0, 60, quantiles.SMALL_GROUP_VALUES])
-def test_chunk_quantiles(spark, rows, q, small):
+@pytest.mark.parametrize("few", [2, 60, quantiles.FEW_VALUES])
+def test_chunk_quantiles(spark, rows, q, few):
     df = spark.createDataFrame(rows, "k int, a double, b double")
-    found = quantiles.chunk_quantiles(df, ["a", "b"], q, F.col("k"), small=small).collect()
+    found = quantiles.chunk_quantiles(df, ["a", "b"], q, F.col("k"), few=few).collect()
     want = expected(rows, q)
     assert len(found) == len(want)
     for row in found:
@@ -46,13 +46,38 @@ def test_chunk_quantiles(spark, rows, q, small):
 
 
 @pytest.mark.parametrize("q", [0.01, 0.5, 0.999])
-def test_global_quantiles_with_a_dominant_value(spark, q):
-    values = [5.0] * 3000 + [float(i) / 7 for i in range(6000)]
+@pytest.mark.parametrize("few", [3, quantiles.FEW_VALUES])
+def test_global_quantiles_with_a_dominant_value(spark, q, few):
+    values = [5.0] * 3000 + [float(i) / 7 for i in range(6000)] + [1e300, -1e300]
     df = spark.createDataFrame([(v,) for v in values], "a double")
-    row = quantiles.global_quantiles(df, ["a"], q).first()
+    row = quantiles.global_quantiles(df, ["a"], q, few).first()
     assert row.a == pytest.approx(float(np.quantile(values, q)), rel=1e-12)
 
 
+def test_sketched_intervals_of_many_values(spark):
+    """Enough values that the sketch is not exact, of several distributions, at ranks between two values."""
+    rng = np.random.default_rng(3)
+    columns = {"a": rng.normal(size=60_000), "b": rng.lognormal(0, 4, 60_000), "c": rng.integers(0, 50, 60_000).astype(float)}
+    df = spark.createDataFrame([tuple(map(float, r)) for r in zip(*columns.values())], "a double, b double, c double").repartition(7)
+    qs = [0.0, 0.00001, 0.123456, 0.5, 0.99, 0.9999, 1.0]
+    for r in quantiles.exact_quantiles(df, list(columns), qs).collect():
+        assert r.quantile == pytest.approx(float(np.quantile(columns[r.column], r.q)), rel=1e-12)
+
+
+def test_values_are_not_shuffled(spark):
+    """What meets a shuffle are sketches and counts: far fewer rows than values."""
+    df = spark.range(200_000).select(F.expr("cast(hash(id) as double)").alias("a"), (F.col("id") % 3).alias("k"))
+    quantiles.exact_quantiles(df, ["a"], [0.999], ["k"]).collect()
+    counts = quantiles._places(quantiles._joined(df.withColumnRenamed("a", "__v0"), quantiles._sketched(df.withColumnRenamed("a", "__v0"), ["k"], ["__v0"], [0.999]), ["k"], 6), ["k"], ["__v0"], lambda v, s: v)
+    assert counts.groupBy("k", "i", "q", "place").count().count() < 1_000
+
+
+def test_empty_table(spark):
+    df = spark.createDataFrame([], "k int, a double")
+    assert quantiles.chunk_quantiles(df, ["a"], 0.5, F.col("k")).count() == 0
+    assert quantiles.global_quantiles(df, ["a"], 0.5).first().a is None
+
+
 def test_five_number(spark):
     df = spark.createDataFrame([(float(v),) for v in (1, 2, 3, 4, 10)], "s double")
     row = quantiles.five_number(df, "s").first()
