@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import time
 from collections.abc import Sequence
+from functools import reduce
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -161,23 +162,21 @@ class MLPModel:
     converged: bool = False
 
     def transform(self, df: DataFrame, output: str = "prediction") -> DataFrame:
-        """``df`` with the network's output, computed batch by batch in the tasks."""
+        """``df`` with the network's output, computed batch by batch in the tasks; NULL where a feature is missing."""
         net, width = self.net, len(self.features)
-        marked = df.withColumn("__x", F.array(*[F.col(c).cast("double") for c in self.features]))
-        kept = marked.na.drop(subset=list(self.features))
+        values = [F.col(c).cast("double") for c in self.features]
+        present = reduce(lambda a, b: a & b, [v.isNotNull() & ~F.isnan(v) for v in values])
+        marked = df.withColumn("__x", F.array(*[F.coalesce(v, F.lit(0.0)) for v in values])).withColumn("__present", present)
         schema = ", ".join(f"`{n}` {t}" for n, t in [*df.dtypes, (output, "double")])
 
         def run(batches):
             for batch in batches:
-                x = as_matrix(batch.column("__x"), width)
-                at = batch.schema.get_field_index("__x")
-                arrays = [c for i, c in enumerate(batch.columns) if i != at]
-                names = [n for i, n in enumerate(batch.schema.names) if i != at]
-                yield pa.RecordBatch.from_arrays(
-                    [*arrays, pa.array(net.predict(x), pa.float64())], names=[*names, output]
-                )
-
-        return kept.mapInArrow(run, schema)
+                x, known = as_matrix(batch.column("__x"), width), batch.column("__present").to_numpy(zero_copy_only=False)
+                out = pa.array(net.predict(x), pa.float64(), mask=~known)
+                kept = [i for i, n in enumerate(batch.schema.names) if n not in ("__x", "__present")]
+                yield pa.RecordBatch.from_arrays([*[batch.column(i) for i in kept], out], names=[*[batch.schema.names[i] for i in kept], output])
+
+        return marked.mapInArrow(run, schema)
 
     def rmse(self, df: DataFrame) -> float:
         return rmse(packed(df, self.features, self.label), self.net)

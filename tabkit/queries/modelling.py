@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
+from uuid import uuid4
+
 import numpy as np
+from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ..models import evaluate, linear, mlp, trees
+from ..models import evaluate, linear, mlp, stages, trees
 from ..operators import quantiles, splits
 from ..plans import exploration, observations as plan, training
 from ..plans.trips import typed_trips, train_trips
+from ..session import ensure_checkpoint_dir
+from ..sources import reports
 from .fixtures import OBS_KEY, TRIP_KEY, obs, timed_trips
 from .oracle import OBS_ID, TRIP_ID, digest, hex4, using
 from .registry import query, r6, rounded, rounded_rows
@@ -146,6 +151,29 @@ def ridge_two_features(spark: SparkSession, folder: str) -> DataFrame:
     return rounded(spark.createDataFrame(found, schema))
 
 
+@query(
+    "model_round_trip",
+    using(
+        "typed_trips",
+        body=f"""
+, net AS ({_FORWARD}), line AS (SELECT *, cxy / (vx * (1 + 0.3 / sy)) AS slope FROM ({_RIDGE_MOMENTS}))
+SELECT l_orderkey, l_linenumber, {r6('my + slope * (trip_distance - mx)')} AS ridge, {r6('p')} AS network FROM net, line""",
+    ),
+)
+def model_round_trip(spark: SparkSession, folder: str) -> DataFrame:
+    """Predictions of a ridge pipeline and of a network after both were saved and loaded."""
+    df = typed_trips(timed_trips(spark, folder)).select("l_orderkey", "l_linenumber", *NET_INPUTS, "total_amount")
+    ridge = linear.fit_ridge(df, ["trip_distance"], "total_amount", 0.3)
+    network = PipelineModel([stages.NetworkModel.of(mlp.MLPModel(LITERAL_NET, NET_INPUTS, "total_amount"), "network")])
+    ensure_checkpoint_dir(spark)
+    for name, model in (("ridge", ridge), ("network", network)):
+        path = f"{spark.sparkContext.getCheckpointDir()}/model-{uuid4()}"
+        reports.save_model(model, path)
+        df = reports.load_model(path).transform(df)
+        df = df.withColumnRenamed("prediction", name).drop("features")
+    return rounded_rows(df.select("l_orderkey", "l_linenumber", "ridge", "network"))
+
+
 # Ridge on one feature for every fold and penalty, from the moments of each fold.
 _CV_SQL = f"""
 , d AS (SELECT {hex4(digest('fold', TRIP_ID))} % 5 AS fold, trip_distance AS x, total_amount AS y FROM typed_trips),

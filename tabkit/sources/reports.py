@@ -34,7 +34,7 @@ def write_json(df: DataFrame, path: str) -> None:
 
 
 def save_model(model: PipelineModel, path: str) -> None:
-    """The whole pipeline, so the feature list travels with the model."""
+    """The whole pipeline, so the feature list travels with the model; a network is a stage of it (``models.stages``)."""
     model.write().overwrite().save(path)
 
 

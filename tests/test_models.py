@@ -4,9 +4,10 @@ from itertools import product
 
 import numpy as np
 import pytest
+from pyspark.ml import Pipeline
 from pyspark.sql import functions as F
 
-from tabkit.models import boosting, evaluate, linear, mlp, trees
+from tabkit.models import boosting, evaluate, linear, mlp, stages, trees
 from tabkit.operators.splits import folds
 from tabkit.plans import training
 from tabkit.queries import modelling
@@ -96,11 +97,13 @@ def test_training_stops_when_the_loss_stands_still(data):
     assert model.converged and model.losses[-1][0] == 1
 
 
-def test_rows_with_a_missing_feature_are_left_out(spark):
+def test_rows_with_a_missing_feature(spark):
+    """Left out of training, and without a prediction."""
     df = spark.createDataFrame([(1, 1.0, 2.0), (2, None, 3.0)], "id int, a double, y double")
     net = mlp.Network(np.array([[1.0], [0.0]]), np.array([[1.0], [0.0]]), "relu")
     assert mlp.sse(mlp.packed(df, ["a"], "y"), net) == (1.0, 1.0)
-    assert [r.id for r in mlp.MLPModel(net, ["a"], "y").transform(df).collect()] == [1]
+    found = mlp.MLPModel(net, ["a"], "y").transform(df).collect()
+    assert {r.id: r.prediction for r in found} == {1: 1.0, 2: None}
 
 
 def test_one_pass_ridge_search_equals_the_cross_validator(data):
@@ -131,6 +134,16 @@ def test_saved_ridge_predicts_the_same(data, tmp_path):
     assert (left == right).all()
 
 
+def test_saved_network_predicts_the_same(data, tmp_path):
+    trainer = stages.NetworkRegressor(NAMES, "y", "id", kind="tanh", units=4, rate=0.05, maxSteps=6, checkEvery=3)
+    trainer.write().overwrite().save(str(tmp_path / "trainer"))
+    model = Pipeline(stages=[stages.NetworkRegressor.load(str(tmp_path / "trainer"))]).fit(data)
+    save_model(model, str(tmp_path / "network"))
+    again = load_model(str(tmp_path / "network"))
+    left, right = (m.transform(data).orderBy("id").toPandas().prediction for m in (model, again))
+    assert (left == right).all() and again.stages[0].net.kind == "tanh"
+
+
 def test_rankings(data):
     model = linear.fit_ridge(data, NAMES, "y", 0.01)
     ranked = [r.feature for r in evaluate.coefficient_ranking(model.stages[-1], NAMES).collect()]
