@@ -2,23 +2,27 @@
 
 The penalty follows Spark's scale: with ``regParam`` r and n rows, coefficient
 j is penalised by ``n * r / sigma(y) * var(x_j)``, population moments, the
-label spread entering because Spark solves in standardised units.
+label spread entering because Spark solves in standardised units. An absolute penalty is added to the
+summed squares of each feature as it is.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Iterable, Iterator, Sequence
+from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
+import pyarrow as pa
 from pyspark.ml import PipelineModel
 from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.regression import LinearRegression, LinearRegressionModel
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from ..operators.columns import assembler
 from ..session import spread
-from .partials import as_matrix, summed
+from .partials import as_matrix
 
 # The searched penalties.
 RIDGE_GRID = (0.001, 0.01, 0.1, 0.3, 1.0, 3.0, 10.0)
@@ -39,47 +43,108 @@ def fitted(model: PipelineModel) -> LinearRegressionModel:
     return model.stages[-1]
 
 
-def _moments(df: DataFrame, features: Sequence[str], label: str, fold: str) -> dict[int, np.ndarray]:
-    """Per fold the matrix of summed products of ``[1, features, label]``."""
+@dataclass(frozen=True)
+class Moments:
+    """Rows, means, and summed products around the means, of the features and, last, the label.
+
+    Two of them merge into those of all rows without large sums that cancel.
+    """
+
+    n: float
+    mean: np.ndarray
+    products: np.ndarray
+
+    @classmethod
+    def of(cls, rows: np.ndarray) -> Moments:
+        mean = rows.mean(axis=0)
+        around = rows - mean
+        return cls(float(len(rows)), mean, around.T @ around)
+
+    def merged(self, other: Moments) -> Moments:
+        n, apart = self.n + other.n, other.mean - self.mean
+        products = self.products + other.products + np.outer(apart, apart) * (self.n * other.n / n)
+        return Moments(n, self.mean + apart * (other.n / n), products)
+
+    def mean_square(self, weights: np.ndarray) -> float:
+        """Mean squared error of predicting with ``weights``, intercept first."""
+        direction = np.append(weights[1:], -1.0)
+        offset = weights[0] + self.mean @ direction
+        return max(direction @ self.products @ direction, 0.0) / self.n + offset * offset
+
+
+_PARTIAL = "grp int, n double, mean array<double>, products array<double>"
+
+
+def _merged(rows: Iterable[tuple[int, float, list, list]]) -> dict[int, Moments]:
+    found: dict[int, Moments] = {}
+    for group, n, mean, products in rows:
+        one = Moments(n, np.array(mean), np.array(products).reshape(len(mean), -1))
+        found[group] = found[group].merged(one) if group in found else one
+    return found
+
+
+def _batch_of(found: dict[int, Moments]) -> pa.RecordBatch:
+    kinds = (pa.int32(), pa.float64(), pa.list_(pa.float64()), pa.list_(pa.float64()))
+    rows = [(group, m.n, m.mean.tolist(), m.products.ravel().tolist()) for group, m in found.items()]
+    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], ["grp", "n", "mean", "products"])
+
+
+def moments(df: DataFrame, features: Sequence[str], label: str, fold: str | None = None) -> dict[int, Moments]:
+    """Per fold, or for all rows as fold 0, the moments of complete rows; a task sends one row a fold."""
     width = len(features) + 1
-    side = width + 1
     values = F.array(*[F.col(c).cast("double") for c in [*features, label]])
-    complete = df.na.drop(subset=[*features, label])
+    group = F.col(fold).cast("int") if fold else F.lit(0)
 
-    def part(batch):
-        rows = as_matrix(batch.column("v"), width)
-        groups = batch.column("f").to_numpy(zero_copy_only=False)
-        design = np.hstack([np.ones((len(rows), 1)), rows])
-        for group in np.unique(groups):
-            mine = design[groups == group]
-            yield int(group), (mine.T @ mine).ravel()
+    def partial(batches):
+        found: dict[int, Moments] = {}
+        for batch in batches:
+            rows, groups = as_matrix(batch.column("v"), width), batch.column("f").to_numpy(zero_copy_only=False)
+            for g in np.unique(groups):
+                one = Moments.of(rows[groups == g])
+                found[int(g)] = found[int(g)].merged(one) if int(g) in found else one
+        if found:
+            yield _batch_of(found)
 
-    sums = summed(
-        complete.select(F.col(fold).cast("int").alias("f"), values.alias("v")), side * side, part
-    )
-    return {group: total.reshape(side, side) for group, total in sums.items()}
+    def whole(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = (tuple(row.values()) for batch in batches for row in batch.to_pylist())
+        yield _batch_of(_merged(rows))
 
+    complete = df.na.drop(subset=[*features, label]).select(group.alias("f"), values.alias("v"))
+    sums = complete.mapInArrow(partial, _PARTIAL).groupBy("grp").applyInArrow(whole, _PARTIAL)
+    return _merged(map(tuple, sums.collect()))
 
-def _solve(moments: np.ndarray, reg: float) -> np.ndarray:
-    """Intercept and coefficients from a matrix of summed products."""
-    n = moments[0, 0]
-    means = moments[0] / n
-    centred = moments / n - np.outer(means, means)
-    xx, xy, yy = centred[1:-1, 1:-1], centred[1:-1, -1], centred[-1, -1]
-    sigma = np.sqrt(max(yy, 0.0))
-    if sigma == 0.0:
-        return np.concatenate([[means[-1]], np.zeros(len(xy))])
-    spread = np.diag(xx).copy()
-    used = spread > 0.0
-    slopes = np.zeros(len(xy))
-    penalised = xx[np.ix_(used, used)] + np.diag(reg / sigma * spread[used])
-    slopes[used] = np.linalg.solve(penalised, xy[used])
-    return np.concatenate([[means[-1] - means[1:-1] @ slopes], slopes])
 
+def _solver(m: Moments, absolute: bool) -> Callable[[float], np.ndarray]:
+    """Intercept and coefficients for any penalty, from one decomposition.
 
-def _rmse(moments: np.ndarray, weights: np.ndarray) -> float:
-    direction = np.concatenate([weights, [-1.0]])
-    return float(np.sqrt(max(direction @ moments @ direction, 0.0) / moments[0, 0]))
+    On Spark's scale the features are standardised first; ``absolute`` adds the penalty to the summed squares of each.
+    """
+    xx, xy, yy = m.products[:-1, :-1], m.products[:-1, -1], m.products[-1, -1]
+    used = np.diag(xx) > 0.0
+    size = np.ones(used.sum()) if absolute else np.sqrt(np.diag(xx)[used])
+    values, vectors = np.linalg.eigh(xx[np.ix_(used, used)] / np.outer(size, size))
+    turned = vectors.T @ (xy[used] / size)
+    sigma = np.sqrt(max(yy, 0.0) / m.n)
+
+    def solve(penalty: float) -> np.ndarray:
+        slopes = np.zeros(len(xy))
+        if sigma > 0.0:
+            below = values + (penalty if absolute else penalty / sigma)
+            some = below > 1e-12 * max(1.0, values.max(initial=0.0))
+            slopes[used] = vectors @ np.where(some, turned / np.where(some, below, 1.0), 0.0) / size
+        return np.append(m.mean[-1] - m.mean[:-1] @ slopes, slopes)
+
+    return solve
+
+
+def ridge_weights(df: DataFrame, features: Sequence[str], label: str, penalties: Sequence[float], absolute: bool = False) -> DataFrame:
+    """``(penalty, feature, weight)`` for every penalty from one pass; the intercept is a feature of that name."""
+    found = moments(df, features, label)
+    if not found:
+        raise ValueError("no complete row to fit")
+    solve = _solver(found[0], absolute)
+    rows = [(float(p), name, float(w)) for p in penalties for name, w in zip(["intercept", *features], solve(p))]
+    return df.sparkSession.createDataFrame(rows, "penalty double, feature string, weight double")
 
 
 def ridge_fold_scores(
@@ -88,20 +153,21 @@ def ridge_fold_scores(
     label: str,
     grid: Sequence[float] = RIDGE_GRID,
     fold: str = "fold",
+    absolute: bool = False,
 ) -> DataFrame:
     """``(regParam, fold, rmse)`` for every penalty and fold from a single pass.
 
-    Summed products per fold are enough for all fits and all held-out errors:
-    the training side of a fold is the total minus that fold.
+    The moments of each fold are enough for all fits and all held-out errors: the training side of a fold are the
+    other folds merged.
     """
-    sums = _moments(df, features, label, fold)
-    total = sum(sums.values())
-    rows = [
-        (float(reg), group, _rmse(held, _solve(total - held, reg)))
-        for reg in grid
-        for group, held in sorted(sums.items())
-    ]
-    return SparkSession.active().createDataFrame(rows, "regParam double, fold int, rmse double")
+    found = moments(df, features, label, fold)
+    rows = []
+    for group, held in sorted(found.items()):
+        others = [m for g, m in sorted(found.items()) if g != group]
+        if others:
+            solve = _solver(reduce(Moments.merged, others), absolute)
+            rows += [(float(reg), group, float(np.sqrt(held.mean_square(solve(reg))))) for reg in grid]
+    return df.sparkSession.createDataFrame(rows, "regParam double, fold int, rmse double")
 
 
 def tune_ridge(
@@ -150,12 +216,12 @@ def cross_validate_ridge(
 
 
 def fold_ridge_nrmse(
-    df: DataFrame, features: Sequence[str], label: str, reg: float, fold: str = "fold"
+    df: DataFrame, features: Sequence[str], label: str, reg: float, fold: str = "fold", absolute: bool = False
 ) -> DataFrame:
     """``(fold, nrmse)`` of ridge on each held-out fold, by that fold's label range."""
     complete = df.na.drop(subset=[*features, label])
     spreads = complete.groupBy(fold).agg((F.max(label) - F.min(label)).alias("spread"))
-    scores = ridge_fold_scores(complete, features, label, [reg], fold)
+    scores = ridge_fold_scores(complete, features, label, [reg], fold, absolute)
     return scores.join(spreads, scores["fold"] == spreads[fold]).select(
         scores["fold"], F.try_divide(F.col("rmse"), F.col("spread")).alias("nrmse")
     )

@@ -83,12 +83,12 @@ def explore_observations(raw: DataFrame, key: Key, test_fraction: float = 0.2) -
 
 
 def compare_by_fold(
-    train: DataFrame, key: Key = ROW_KEY, reg: float = 0.1, k: int = 5, features: Sequence[str] = FEATURES
+    train: DataFrame, key: Key = ROW_KEY, penalty: float = 1.0, k: int = 5, features: Sequence[str] = FEATURES
 ) -> DataFrame:
-    """``(model, fold, nrmse)`` of ridge and of the mean, each on every held-out fold."""
+    """``(model, fold, nrmse)`` of ridge with an absolute penalty and of the mean, each on every held-out fold."""
     marked = folds(train, key, k)
     naive = fold_naive_nrmse(marked, LABEL).select(F.lit("naive").alias("model"), "fold", "nrmse")
-    ridge = fold_ridge_nrmse(marked, features, LABEL, reg).select(
+    ridge = fold_ridge_nrmse(marked, features, LABEL, penalty, absolute=True).select(
         F.lit("ridge").alias("model"), "fold", "nrmse"
     )
     return ridge.unionByName(naive)

@@ -174,6 +174,45 @@ def model_round_trip(spark: SparkSession, folder: str) -> DataFrame:
     return rounded_rows(df.select("l_orderkey", "l_linenumber", "ridge", "network"))
 
 
+@query(
+    "ridge_absolute_single",
+    using(
+        "typed_trips",
+        body=f"""
+, a AS (SELECT unnest([0.0, 1.0, 5000.0])::DOUBLE AS penalty),
+s AS (SELECT penalty, (SELECT covar_pop(total_amount, trip_distance) * count(*) / (var_pop(trip_distance) * count(*) + penalty) FROM typed_trips) AS slope,
+  (SELECT avg(trip_distance) FROM typed_trips) AS mx, (SELECT avg(total_amount) FROM typed_trips) AS my FROM a)
+SELECT penalty, 'trip_distance' AS feature, {r6('slope')} AS weight FROM s
+UNION ALL SELECT penalty, 'intercept', {r6('my - slope * mx')} FROM s""",
+    ),
+)
+def ridge_absolute_single(spark: SparkSession, folder: str) -> DataFrame:
+    df = typed_trips(timed_trips(spark, folder))
+    return rounded(linear.ridge_weights(df, ["trip_distance"], "total_amount", [0.0, 1.0, 5000.0], absolute=True))
+
+
+_MOMENT_NAMES = [*NET_INPUTS, "passenger_count", "total_amount"]
+
+
+@query(
+    "ridge_moments",
+    using(
+        "typed_trips",
+        body=" UNION ALL ".join(
+            f"SELECT '{a}' AS a, '{b}' AS b, {r6(f'covar_pop({a}, {b})')} AS covariance, {r6(f'avg({a})')} AS mean FROM typed_trips"
+            for a in _MOMENT_NAMES
+            for b in _MOMENT_NAMES
+        ),
+    ),
+)
+def ridge_moments(spark: SparkSession, folder: str) -> DataFrame:
+    m = linear.moments(typed_trips(timed_trips(spark, folder)), _MOMENT_NAMES[:-1], _MOMENT_NAMES[-1])[0]
+    rows = [
+        (a, b, float(m.products[i, j] / m.n), float(m.mean[i])) for i, a in enumerate(_MOMENT_NAMES) for j, b in enumerate(_MOMENT_NAMES)
+    ]
+    return rounded(spark.createDataFrame(rows, "a string, b string, covariance double, mean double"))
+
+
 # Ridge on one feature for every fold and penalty, from the moments of each fold.
 _CV_SQL = f"""
 , d AS (SELECT {hex4(digest('fold', TRIP_ID))} % 5 AS fold, trip_distance AS x, total_amount AS y FROM typed_trips),

@@ -125,6 +125,24 @@ def test_ridge_search_with_a_constant_feature(data):
     assert all(np.isfinite(r.rmse) for r in scores.collect())
 
 
+def test_ridge_scores_at_large_means(data):
+    """Moments around the mean keep their digits when a feature is far from zero."""
+    marked = folds(data, "id", 3)
+    far = marked.withColumn("a", F.col("a") + 1e8)
+    near, moved = ({(r.regParam, r.fold): r.rmse for r in linear.ridge_fold_scores(df, NAMES, "y", (0.1, 1.0)).collect()} for df in (marked, far))
+    assert moved == pytest.approx(near, rel=1e-6)
+
+
+def test_absolute_penalty(data):
+    x = data.select(*NAMES, "y").toPandas().to_numpy()
+    around = x - x.mean(axis=0)
+    found = {(r.penalty, r.feature): r.weight for r in linear.ridge_weights(data, NAMES, "y", (0.0, 7.0), absolute=True).collect()}
+    for penalty in (0.0, 7.0):
+        slopes = np.linalg.solve(around[:, :3].T @ around[:, :3] + penalty * np.eye(3), around[:, :3].T @ around[:, 3])
+        assert [found[penalty, n] for n in NAMES] == pytest.approx(slopes, rel=1e-9)
+        assert found[penalty, "intercept"] == pytest.approx(x[:, 3].mean() - x[:, :3].mean(axis=0) @ slopes, rel=1e-9)
+
+
 def test_saved_ridge_predicts_the_same(data, tmp_path):
     model = linear.fit_ridge(data, NAMES, "y", 0.1)
     save_model(model, str(tmp_path / "ridge"))
