@@ -49,6 +49,8 @@ KINDS = (
     Kind("key", "secret", "[A-Za-z0-9+/]{32,}", must=("[0-9]", "[A-Z]", "[a-z]"), weak=True),
     Kind("endpoint", "endpoint", "[a-z][a-z0-9+.-]{0,15}://[^\\x00-\\x20\"'<>]+|[0-9]{1,3}(?:\\.[0-9]{1,3}){3}(?::[0-9]+)?", weak=True),
 )
+# Matches of a text that are placed one after the other.
+RUN = 256
 # By the role of a weak part: the roles that must all be in its scope.
 NEEDS = {"id": ("secret",), "secret": ("id",), "endpoint": ("id", "secret")}
 
@@ -60,7 +62,6 @@ def _matches(text: Column, kind: Kind, rank: int) -> Column:
     """
     between, found = F.split(text, kind.pattern, -1), F.regexp_extract_all(text, F.lit(kind.pattern), F.lit(0))
     empty = F.array().cast("array<struct<start:bigint,rank:int,kind:string,end:bigint>>")
-    start = F.struct(F.lit(0).cast("bigint").alias("at"), empty.alias("out"))
 
     def step(state: Column, pair: Column) -> Column:
         begin = state["at"] + F.length(pair["between"])
@@ -73,8 +74,23 @@ def _matches(text: Column, kind: Kind, rank: int) -> Column:
         span = F.struct(begin.alias("start"), F.lit(rank).alias("rank"), F.lit(kind.name).alias("kind"), end.alias("end"))
         return F.struct(end.alias("at"), F.when(good, F.concat(state["out"], F.array(span))).otherwise(state["out"]).alias("out"))
 
+    def length(pairs: Column) -> Column:
+        return F.aggregate(pairs, F.lit(0).cast("bigint"), lambda a, p: a + F.length(p["between"]) + F.length(p["match"]))
+
+    def placed(runs: Column) -> Column:
+        """Each run of pairs with the place in the text where it begins."""
+        lengths = F.transform(runs, length)
+        return F.flatten(F.transform(F.array(lengths), lambda n: F.transform(
+            runs, lambda run, i: F.struct(run.alias("run"), F.aggregate(F.slice(n, F.lit(1), i), F.lit(0).cast("bigint"), lambda a, x: a + x).alias("at"))
+        )))
+
     pairs = F.arrays_zip(F.slice(between, F.lit(1), F.size(found)).alias("between"), found.alias("match"))
-    spans = F.aggregate(pairs, start, step, lambda s: s["out"])
+    # An appended array is copied, so no array grows beyond a run.
+    cut = lambda p: F.transform(F.sequence(F.lit(0), F.floor((F.size(p) - 1) / RUN).cast("int")), lambda i: F.slice(p, i * RUN + 1, RUN))
+    runs = F.flatten(F.transform(F.array(pairs), cut))
+    spans = F.flatten(F.transform(F.flatten(F.transform(F.array(runs), placed)), lambda x: F.aggregate(
+        x["run"], F.struct(x["at"].alias("at"), empty.alias("out")), step, lambda s: s["out"]
+    )))
     return F.when(text.rlike(kind.pattern), spans).otherwise(empty)
 
 
