@@ -38,6 +38,8 @@ CHUNK = 1 << 20
 COLUMNS = "record_type string, record_id string, target_uri string, payload_digest string, refers_to string, payload_bytes long, payload binary"
 # The names of the header fields behind the columns, and the profile of a revisit.
 HEADERS = {"record_type": "warc-type", "record_id": "warc-record-id", "target_uri": "warc-target-uri", "payload_digest": "warc-payload-digest", "refers_to": "warc-refers-to"}
+# What stands before the id in a record id.
+PREFIX = "urn:record:"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
 
@@ -60,40 +62,45 @@ def record(kind: str, id: str, uri: str | None, digest: str, size: int, payload:
 
 
 class _Plain:
-    """A file read forward."""
+    """A file read forward. What has been read and not used begins at a place in one buffer."""
 
     def __init__(self, file):
-        self.file, self.held = file, b""
+        self.file, self.held, self.at = file, bytearray(), 0
 
     def more(self) -> bool:
         data = self.file.read(CHUNK)
         self.held += data
         return bool(data)
 
+    def used(self, n: int) -> None:
+        self.at += n
+        if self.at > len(self.held) // 2:  # each byte is moved about once
+            del self.held[: self.at]
+            self.at = 0
+
     def until(self, end: bytes) -> bytes | None:
-        at = self.held.find(end)
-        while at < 0:
-            begin = max(0, len(self.held) - len(end))
+        begin = self.at
+        while (found := self.held.find(end, begin)) < 0:
+            begin = max(self.at, len(self.held) - len(end))
             if not self.more():
                 return None
-            at = self.held.find(end, begin)
-        out, self.held = self.held[:at], self.held[at + len(end) :]
+        out = bytes(self.held[self.at : found])
+        self.used(len(out) + len(end))
         return out
 
     def take(self, n: int) -> bytes:
-        while len(self.held) < n and self.more():
-            pass
-        if len(self.held) < n:
-            raise ValueError("the archive ends within a record")
-        out, self.held = self.held[:n], self.held[n:]
+        while len(self.held) - self.at < n:
+            if not self.more():
+                raise ValueError("the archive ends within a record")
+        out = bytes(memoryview(self.held)[self.at : self.at + n])
+        self.used(n)
         return out
 
     def skip(self, n: int) -> None:
-        if n <= len(self.held):
-            self.held = self.held[n:]
-        else:
-            self.file.seek(n - len(self.held), 1)
-            self.held = b""
+        held = len(self.held) - self.at
+        if n > held:
+            self.file.seek(n - held, 1)
+        self.used(min(n, held))
 
 
 class _Inflated(_Plain):
@@ -117,12 +124,12 @@ class _Inflated(_Plain):
                 return True
 
     def skip(self, n: int) -> None:
-        while len(self.held) < n:
-            n -= len(self.held)
-            self.held = b""
+        while (held := len(self.held) - self.at) < n:
+            n -= held
+            self.used(held)
             if not self.more():
                 raise ValueError("the archive ends within a record")
-        self.held = self.held[n:]
+        self.used(n)
 
 
 def _fields(data: bytes) -> dict[str, str]:
@@ -277,8 +284,8 @@ def archive(pages: DataFrame, path: str, id: str = "page_id", url: str = "url",
     """Write a record per row of ``pages`` under ``path``; the payload is the html in UTF-8.
 
     Of rows with equal payloads of at least ``revisit_bytes``, the one with the largest id is the response and
-    the others are revisits of it; smaller payloads are all responses. A null html is an empty payload. A null
-    id has an empty record id and is the response only if all equal rows have null ids; rows that repeat the
+    the others are revisits of it; smaller payloads are all responses. A null html is an empty payload. An id that is
+    text is percent-encoded in its record id; a null or empty one has an empty record id and is the response only if all equal rows have null ids; rows that repeat the
     largest id are all responses. Other columns are not read, whatever their names.
 
     Digests are grouped after partial aggregation. Only revisits are joined back to the rows: broadcast if
@@ -299,7 +306,7 @@ def archive(pages: DataFrame, path: str, id: str = "page_id", url: str = "url",
         "left",
     )
     again = F.col("r_digest").isNotNull()
-    named = lambda c: F.concat(F.lit("urn:record:"), F.coalesce(F.col(c).cast("string"), F.lit("")))
+    named = lambda c: F.concat(F.lit(PREFIX), F.coalesce(F.url_encode(F.col(c).cast("string")), F.lit("")))
     out = found.select(
         F.when(again, "revisit").otherwise("response").alias("record_type"),
         named("id").alias("record_id"),
@@ -329,13 +336,20 @@ def warc_round_trip(pages: DataFrame, id: str = "page_id", url: str = "url", htm
     path = f"{spark.sparkContext.getCheckpointDir()}/warc-{uuid4()}"
     archive(pages, path, id, url, html)
     kind = pages.schema[id].dataType
-    number = lambda c: F.nullif(F.substring_index(F.col(c), ":", -1), F.lit("")).cast(kind)
-    found = read_archive(spark, path)
-    held = F.col("payload").isNotNull()
-    return found.select(
-        number("record_id").alias(id),
-        F.when(held, F.octet_length("payload").cast("long")).otherwise(F.col("payload_bytes")).alias("payload_bytes"),
-        F.when(held, F.sha1("payload")).otherwise(F.col("payload_digest")).alias("payload_digest"),
-        "record_type",
-        number("refers_to").alias("refers_to"),
-    )
+    given = lambda c: F.url_decode(F.substr(F.col(c), F.lit(len(PREFIX) + 1)))
+    number = lambda c: F.nullif(given(c), F.lit("")).cast(kind)
+    # A scan that reads payloads, and one that passes over them.
+    responses = read_archive(spark, path).filter("record_type = 'response'")
+    others = read_archive(spark, path, payload=False).filter("record_type = 'revisit'")
+    size, digest = F.octet_length("payload").cast("long"), F.sha1("payload")
+
+    def rows(found: DataFrame, payload_bytes, payload_digest) -> DataFrame:
+        return found.select(
+            number("record_id").alias(id),
+            payload_bytes.alias("payload_bytes"),
+            payload_digest.alias("payload_digest"),
+            "record_type",
+            number("refers_to").alias("refers_to"),
+        )
+
+    return rows(responses, size, digest).unionByName(rows(others, F.col("payload_bytes"), F.col("payload_digest")))
