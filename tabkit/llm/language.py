@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import ArrayType, StructType
 
+from ..session import fits_broadcast, written
 from .words import mixed, numbers
 
 UNKNOWN = "und"
@@ -189,9 +190,11 @@ def _counts(scripts: np.ndarray):
 def train(docs: DataFrame, text: str = "text", lang: str = "lang", id: str = "doc_id", sample_rows: int = SAMPLE_ROWS) -> Model:
     """Learn from about ``sample_rows`` rows of each label, all where there are fewer; without any, the model knows no language."""
     rows = docs.filter(F.col(lang).isNotNull() & F.col(text).isNotNull()).select(F.col(text).alias("text"), F.col(lang).alias("lang"), F.col(id).alias("id"))
-    # One row a language, of which the model holds a column each.
-    sizes = F.broadcast(rows.groupBy("lang").agg(F.count("*").alias("n")))
-    chosen = rows.join(sizes, "lang").filter(F.pmod(F.xxhash64("id"), F.col("n")) < sample_rows).select("text", "lang")
+    # One row a language, of which the model holds a column each. Rows without an id are told apart by their texts.
+    sizes = written(rows.groupBy("lang").agg(F.count("*").alias("n")))
+    sizes = F.broadcast(sizes) if fits_broadcast(sizes.count(), 2) else sizes
+    mark = F.when(F.col("id").isNull(), F.xxhash64("text")).otherwise(F.xxhash64("id"))
+    chosen = rows.join(sizes, "lang").filter(F.pmod(mark, F.col("n")) < sample_rows).select("text", "lang")
     scripts = letter_scripts()
     counted = chosen.mapInArrow(_counts(scripts), "lang string, bucket long, count long").groupBy("lang", "bucket").agg(F.sum("count").alias("count")).toArrow()
     langs = sorted(set(counted["lang"].to_pylist()))
@@ -206,7 +209,7 @@ def train(docs: DataFrame, text: str = "text", lang: str = "lang", id: str = "do
 
 def _labelled(model, scripts, penalty: float, schema: pa.Schema):
     def rows_of(texts: list[str]) -> Iterator[tuple]:
-        held, table = model.value, scripts.value
+        held, table = Model(*model.value), scripts.value
         for _, group in _groups(texts):
             words = read(group, table)
             if held.langs:
@@ -258,7 +261,9 @@ def predict(
     for k, c in enumerate(carried):
         schema = schema.add(f"c{k}", docs.schema[c].dataType)
     schema = StructType(schema.fields + added.fields)
-    run = _labelled(context.broadcast(model), context.broadcast(letter_scripts()), penalty, to_arrow_schema(schema))
+    # Only strings and arrays are sent, so that executors need not have the package.
+    sent = context.broadcast((model.langs, model.weights, model.written_in))
+    run = _labelled(sent, context.broadcast(letter_scripts()), penalty, to_arrow_schema(schema))
     rows = docs.select(F.col(text).alias("text"), *[F.col(f"`{c}`").alias(f"c{k}") for k, c in enumerate(carried)])
     return rows.mapInArrow(run, schema).toDF(*carried, *added.names)
 
