@@ -161,5 +161,5 @@ def fingerprints(docs: DataFrame, id: str = "doc_id", text: str = "text") -> Dat
     # A guest row is any with the head's id; sorting puts the right one first and the others are not read.
     sent = rows.join(F.broadcast(guests), rows["id"].eqNullSafe(guests["id"])).select("part", F.lit(True).alias("guest"), rows["id"], "text")
     both = rows.select(part.alias("part"), F.lit(False).alias("guest"), "id", "text").unionByName(sent)
-    dealt = both.repartition(ranges, "part").sortWithinPartitions("part", "guest", F.desc_nulls_last("id"), F.desc("text"))
+    dealt = both.repartitionById(len(cuts) + 2, F.col("part") + 1).sortWithinPartitions("part", "guest", F.desc_nulls_last("id"), F.desc("text"))
     return dealt.mapInArrow(_streamed(to_arrow_schema(schema)), schema).withColumnRenamed("id", id)
