@@ -19,10 +19,10 @@ def test_agrees_with_sql(spark, name):
 
 def test_registered():
     names = __spark_entry__.queries()
-    assert "pipeline" in names and [n for k in range(1, 11) for n in names if n.startswith(f"op{k}_")] == list(sorted(queries.QUERIES, key=lambda n: int(n[2:].split("_")[0])))
+    assert "pipeline" in names and [n for k in range(1, 14) for n in names if n.startswith(f"op{k}_")] == list(sorted(queries.QUERIES, key=lambda n: int(n[2:].split("_")[0])))
 
 
-@pytest.mark.parametrize("name", ["op3_decontamination", "op5_bpe", "op8_jaccard_join", "op9_language_id", "op10_order_minhash"])
+@pytest.mark.parametrize("name", ["op3_decontamination", "op5_bpe", "op8_jaccard_join", "op9_language_id", "op10_order_minhash", "op11_exact_dedup", "op12_alignment", "op13_resample"])
 def test_one_row_a_document(spark, name):
     folder = "/root/testdata/sf0.001"
     assert queries.QUERIES[name](spark, folder).select("doc_id").distinct().count() == 200
@@ -58,6 +58,18 @@ def test_stages_on_edges(spark, docs):
         assert ids == ([] if start is not docs else [1, 7, 8, 10, 11])
 
 
+def test_texts_that_share_an_id(spark):
+    """A row goes only if its text is linked to one that stays; empty texts are linked with nothing."""
+    a, b, c = (" ".join(f"{x}{i}" for i in range(40)) for x in "abc")
+    rows = [(3, a), (5, a), (5, b), (7, c), (7, a + " x"), (7, c), (None, b), (None, "new text of a null id here"), (9, None), (9, None), (9, " ")]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t or "")) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    kept = corpus_pipeline.near_duplicates(spark, docs, "")
+    assert kept.columns == docs.columns
+    assert sorted(((r.doc_id, r.text) for r in kept.collect()), key=str) == sorted(
+        [(3, a), (5, b), (7, c), (None, "new text of a null id here"), (9, None), (9, None), (9, " ")], key=str
+    )
+
+
 @pytest.mark.parametrize("above", [True, False])
 def test_language_share(spark, monkeypatch, above):
     """The score rule at the shares 4/13 and 3/11, above and below LEAST_SCORE, of five scripts counted by hand."""

@@ -258,3 +258,37 @@ def test_warc_round_trip(spark):
         expected.append((id_, len(data), hashlib.sha1(data).hexdigest(), "revisit" if again else "response", largest[html] if again else None))
     assert got == sorted(expected, key=str)
     assert warc.warc_round_trip(pages.limit(0)).count() == 0
+
+
+def test_warc_ids_that_are_text(spark):
+    page = "x" * 2000
+    rows = [("a:b", page), ("c", page), ("d:e é", "y"), (None, "z"), ("s p/%", "w")]
+    pages = spark.createDataFrame(rows, "page_id string, html string").withColumn("url", F.lit("http://x"))
+    found = warc.warc_round_trip(pages).select("page_id", "payload_bytes", "record_type", "refers_to").collect()
+    assert sorted(map(tuple, found), key=str) == sorted(
+        [("a:b", 2000, "revisit", "c"), ("c", 2000, "response", None), ("d:e é", 1, "response", None), (None, 1, "response", None), ("s p/%", 1, "response", None)], key=str
+    )
+
+
+def test_warc_records_of_any_size():
+    import io
+
+    payloads = [b"", b"a", b"b" * 3_000_000, b"c" * 10, b"d" * (1 << 20)]
+    data = b"".join(warc.record("response", f"urn:record:{k}", "http://a", hashlib.sha1(p).hexdigest(), len(p), p, None) for k, p in enumerate(payloads))
+    whole = list(warc.records(io.BytesIO(data), False, lambda row: True, True))
+    assert [r[-1] for r in whole] == payloads
+    some = list(warc.records(io.BytesIO(data), False, lambda row: row["record_id"] == "urn:record:3", True))
+    assert [r[-1] for r in some] == [payloads[3]]
+
+
+def test_many_secrets_in_one_text(spark):
+    """More matches than a run holds, some of which fail, at places counted here one by one."""
+    import random
+
+    from tabkit.llm.secrets import secret_spans
+
+    rnd = random.Random(2)
+    text = " ".join(rnd.choice(("é", "漢字 ")) + f"{rnd.getrandbits(64):0{rnd.choice((12, 15, 16, 20))}x}" for _ in range(2000))
+    want = [(m.start(), m.end()) for m in re.finditer("[0-9a-f]+", text) if len(m[0]) >= 16]
+    (row,) = secret_spans(spark.createDataFrame([(1, text)], "doc_id long, text string")).collect()
+    assert [(s.start, s.end) for s in row.base if s.kind == "hex"] == want and len(want) > 1000
