@@ -122,6 +122,25 @@ def test_a_file_that_breaks_off_is_noticed(spark, tmp_path):
     rnd = random.Random(1)
     data = gzip.compress(("a,b\n" + "".join(f"{rnd.random()},{k}\n" for k in range(200_000))).encode())
     (tmp_path / "cut.csv.gz").write_bytes(data[: len(data) // 2])
+    (tmp_path / "whole.csv.gz").write_bytes(gzip.compress(b"a,b\n1,2\n") + gzip.compress(b"3,4\n"))
+    (tmp_path / "plain.csv").write_text("b,a\n5,6\n")
+    wrong = bytearray(gzip.compress(b"a,b\n" + b"7,8\n" * 1000))
+    wrong[-6] ^= 255
+    (tmp_path / "wrong.csv.gz").write_bytes(bytes(wrong))
     with pytest.raises(Exception):
         read_drifting(spark, str(tmp_path)).count()
-    assert 0 < read_drifting(spark, str(tmp_path), skip_damaged=True).count() < 200_000
+    assert sorted(map(tuple, read_drifting(spark, str(tmp_path), ["a", "b"], skip_damaged=True).collect())) == [("1", "2"), ("3", "4"), ("6", "5")]
+    reasons = {r.file_path.rsplit("/", 1)[1]: r.reason for r in drifting.drift_report(spark, str(tmp_path)).collect()}
+    assert reasons["cut.csv.gz"] == "it breaks off" and reasons["wrong.csv.gz"] and reasons["whole.csv.gz"] is reasons["plain.csv"] is None
+
+
+def test_a_folder_of_many_small_files(spark, tmp_path):
+    import bz2
+    import gzip
+
+    for k in range(300):
+        data = gzip.compress(b"a\n%d\n" % k)
+        (tmp_path / f"f{k}.csv.gz").write_bytes(data[:-9] if k % 100 == 0 else data)
+    (tmp_path / "x.csv.bz2").write_bytes(bz2.compress(b"a\n1000\n"))
+    found = {int(r.a) for r in drifting.read_folder(spark, str(tmp_path), ["a"], skip_damaged=True).collect()}
+    assert found == {k for k in range(300) if k % 100} | {1000}
