@@ -9,6 +9,7 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..models import evaluate, linear, mlp, stages, trees
+from ..models.stumps import boosted_stumps
 from ..operators import quantiles, splits
 from ..plans import exploration, observations as plan, training
 from ..plans.trips import typed_trips, train_trips
@@ -321,6 +322,49 @@ def gbt_cv(spark: SparkSession, folder: str) -> DataFrame:
     return spark.createDataFrame(found, schema)
 
 
+STUMP_INPUTS = ["trip_distance", "extra", "passenger_count", "payment_type"]
+
+
+def _stump_sql(name: str, target: str) -> str:
+    """One round over ``typed_trips``: the best of all midpoints of all features."""
+    each = " UNION ALL ".join(f"SELECT {i} AS i, '{c}' AS feature, {c} AS v, t FROM {name}_t" for i, c in enumerate(STUMP_INPUTS))
+    return f"""
+{name}_t AS (SELECT *, {target} AS t FROM typed_trips),
+{name}_g AS (SELECT i, feature, v, count(*) AS n, sum(t) AS s FROM ({each}) GROUP BY ALL),
+{name}_c AS (SELECT *, sum(n) OVER w AS ln, sum(s) OVER w AS ls, sum(n) OVER (PARTITION BY i) AS na, sum(s) OVER (PARTITION BY i) AS sa,
+  lead(v) OVER (PARTITION BY i ORDER BY v) AS nv FROM {name}_g WINDOW w AS (PARTITION BY i ORDER BY v)),
+{name} AS (SELECT feature, (v + nv) / 2 AS threshold, ln::BIGINT AS left_rows, (na - ln)::BIGINT AS right_rows, ls / ln AS left_value,
+    (sa - ls) / (na - ln) AS right_value, (ls * ls / ln + (sa - ls) * (sa - ls) / (na - ln) - sa * sa / na) / na AS gain
+  FROM {name}_c WHERE nv IS NOT NULL AND ln >= 2 AND na - ln >= 2 ORDER BY gain DESC, i, v LIMIT 1)"""
+
+
+def _stump_row(name: str, k: int) -> str:
+    return (
+        f"SELECT {k}::INT AS round, feature, threshold, left_rows, right_rows, {r6('left_value')} AS left_value, "
+        f"{r6('right_value')} AS right_value, {r6('gain')} AS \"drop\" FROM {name}"
+    )
+
+
+_SPLIT_VALUE = "CASE (SELECT feature FROM a) " + " ".join(f"WHEN '{c}' THEN {c}" for c in STUMP_INPUTS) + " END"
+_RESIDUAL = f"2 * (total_amount - (SELECT CASE WHEN {_SPLIT_VALUE} <= threshold THEN left_value ELSE right_value END FROM a))"
+
+
+@query("gbt_stump", using("typed_trips", body="," + _stump_sql("a", "total_amount") + _stump_row("a", 1)))
+def gbt_stump(spark: SparkSession, folder: str) -> DataFrame:
+    return rounded(boosted_stumps(typed_trips(timed_trips(spark, folder)), STUMP_INPUTS, "total_amount", rounds=1, least=2))
+
+
+@query(
+    "gbt_two_rounds",
+    using(
+        "typed_trips",
+        body="," + _stump_sql("a", "total_amount") + "," + _stump_sql("b", _RESIDUAL) + _stump_row("a", 1) + " UNION ALL " + _stump_row("b", 2),
+    ),
+)
+def gbt_two_rounds(spark: SparkSession, folder: str) -> DataFrame:
+    return rounded(boosted_stumps(typed_trips(timed_trips(spark, folder)), STUMP_INPUTS, "total_amount", rounds=2, least=2))
+
+
 @query("importance_ranking")
 def importance_ranking(spark: SparkSession, folder: str) -> DataFrame:
     model = trees.fit_gbt(_prepared(spark, folder).train, plan.FEATURES, plan.LABEL, SHALLOW_TREES)

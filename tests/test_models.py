@@ -7,7 +7,7 @@ import pytest
 from pyspark.ml import Pipeline
 from pyspark.sql import functions as F
 
-from tabkit.models import boosting, evaluate, linear, mlp, stages, trees
+from tabkit.models import boosting, evaluate, linear, mlp, stages, stumps, trees
 from tabkit.operators.splits import folds
 from tabkit.plans import training
 from tabkit.queries import modelling
@@ -229,6 +229,24 @@ def test_search_does_not_depend_on_the_partitioning(data):
     assert [e for _, e in spread] == pytest.approx([e for _, e in one], rel=1e-12)
 
 
+def test_stumps_are_those_of_spark(data):
+    """On features of few values, where every midpoint is a threshold of Spark's too."""
+    coarse = data.withColumn("a", F.round("a")).withColumn("b", F.round(F.col("b") * 2))
+    found = stumps.boosted_stumps(coarse.repartition(5), ["a", "b"], "y", rounds=3, step=0.3)
+    model = trees.fit_gbt(coarse, ["a", "b"], "y", {"maxDepth": 1, "maxIter": 3, "stepSize": 0.3, "minInstancesPerNode": 1}).stages[-1]
+    for row, tree in zip(found.orderBy("round").collect(), model.trees):
+        text = tree.toDebugString
+        assert f"feature {['a', 'b'].index(row.feature)} <= {row.threshold}" in text
+        values = [float(line.split("Predict:")[1]) for line in text.splitlines() if "Predict:" in line]
+        assert values == pytest.approx([row.left_value, row.right_value], rel=1e-6)
+
+
+def test_stumps_without_a_split(spark):
+    df = spark.createDataFrame([(1.0, 2.0), (1.0, 3.0), (None, 4.0)], "a double, y double")
+    assert stumps.boosted_stumps(df, ["a"], "y").count() == 0
+    assert stumps.boosted_stumps(df.limit(0), ["a"], "y").count() == 0
+
+
 def test_thresholds():
     assert boosting.thresholds(np.array([3.0, 1.0, 2.0, 2.0])).tolist() == [1.5, 2.5]
     assert boosting.thresholds(np.array([5.0, 5.0])).tolist() == []
