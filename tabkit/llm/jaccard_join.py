@@ -7,13 +7,16 @@ that what many documents share comes last.
 * *Light* sets enumerate every subset of two shingles of that prefix (c = 2); two light sets are compared
   only if they share such a subset.
 * *Heavy* sets, too long to enumerate, scan the inverted lists of single prefix shingles (c = 1).
-* The boundary is the size at which the enumerated subsets plus the scanned list entries are fewest.
+* The boundary is the size at which the enumerated subsets plus the scanned list entries cost least.
 
 Before that, equal sets become one node, and a node is left out when fewer of its first shingles than
 the bound demands occur in any other node: an exact test at a tenth of ``n``, in hash order, that most
-texts without a partner fail. After it, nodes are compared with one leader per list, round by round, and a
-list whose members are all connected already is closed. What is still open in the end is compared in
-full, a pair once, at its first common key; so no link between different components is lost and no list is expanded into all its pairs.
+texts without a partner fail. Then the lists of single shingles are closed as far as possible: every node is
+compared with a leader of its lists, round by round, and a list whose members are all connected needs nothing more.
+A subset's list is part of the lists of its shingles, so only shingles whose lists are still open are
+enumerated or scanned. Members of such lists that are in different components are compared in full, a pair once, at its
+first common key; long lists are cut into blocks and compared pair of blocks by pair of blocks. So no link between
+different components is lost, and no list is expanded into all its pairs.
 """
 
 from __future__ import annotations
@@ -23,21 +26,25 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
-from pyspark.sql.types import LongType, StructField, StructType
+from pyspark.sql.types import ArrayType, LongType, StructType
 
 from ..session import fits_broadcast, written
 from .components import components
 from .words import NOT_SPACE, SHINGLE_WORDS, mixed, shingles, slices, words
 
 THRESHOLD_PERCENT = 80
-POSTINGS_A_BUCKET = 4_000_000
+POSTINGS_A_BUCKET = 2_000_000
+# Parts of a bucket that are sorted one after the other.
+_PARTS = 16
 # An enumerated subset is a row that is written and shuffled, a scanned list entry is only counted.
 ROW_COST = 10
 LEADER_ROUNDS = 3
 # Leaders that a node is compared with in a round after the first.
 LEADERS = 16
-# What is open is compared in full once that takes at most this many pairs for each open list entry.
-PAIRS_AN_ENTRY = 4
+# Least number of buckets, so that a node's credits come from as many of them in a small table as in a large one.
+LEAST_BUCKETS = 32
+# Members of an open list that one task compares with as many others.
+BLOCK_MEMBERS = 512
 _SUFFIX_BYTES = 5
 
 
@@ -46,9 +53,27 @@ def _needed(n, percent: int):
     return -(-percent * n // 100)
 
 
-def _spare(n):
-    """Shared shingles, beyond the first, that the test in hash order demands."""
-    return np.maximum(1, n // 10)
+def _shared_by(n: int, m: int, percent: int) -> int:
+    """Shingles that linked sets of the sizes ``n`` and ``m`` share at least."""
+    return -(-percent * (n + m) // (100 + percent))
+
+
+def _spare(n: int) -> int:
+    """Shared shingles that the test in hash order demands of a set."""
+    return max(1, n // 10)
+
+
+def _sent(n: int, percent: int) -> int:
+    """How many first shingles in hash order a set of size ``n`` sends for that test.
+
+    Of the shingles it shares with a partner, as many must be among them as the larger of the two demands. A partner's demand
+    grows by one in ten sizes, and what is shared by more, so partners up to ten sizes larger decide. Below a
+    quarter that no longer holds; there all are sent.
+    """
+    if percent < 25:
+        return n
+    larger = range(n, min(n + 10, n * 100 // percent) + 1)
+    return min(n, max(n - _needed(n, percent) + _spare(n), *[n - _shared_by(n, m, percent) + _spare(m) for m in larger]))
 
 
 def _sets(column, width: int) -> Iterator[tuple[int, np.ndarray]]:
@@ -84,17 +109,17 @@ def _postings(nodes: np.ndarray, prefixes: list[np.ndarray], buckets: int) -> It
     by, to = tokens % np.uint64(buckets), credited % np.uint64(buckets)
     order = np.lexsort((owner, by))  # equal owners lie together, which compresses
     tokens, owner, by = tokens[order], owner[order], by[order]
-    edge = np.searchsorted(by, np.arange(buckets + 1, dtype=np.uint64))
-    for b in range(buckets):
-        at, own = slice(edge[b], edge[b + 1]), to == b
-        if edge[b] < edge[b + 1] or own.any():
-            yield {
-                "bucket": b,
-                "tokens": tokens[at].view(np.uint8).reshape(-1, 8)[:, 8 - _SUFFIX_BYTES :].tobytes(),
-                "owners": owner[at].tobytes(),
-                "credited": credited[own].tobytes(),
-                "credits": credits[own].astype(np.int64).tobytes(),
-            }
+    order = np.argsort(to, kind="stable")
+    credited, credits, to = credited[order], credits[order], to[order]
+    for b in np.union1d(by, to):
+        at, own = (slice(*np.searchsorted(x, [b, b + np.uint64(1)])) for x in (by, to))
+        yield {
+            "bucket": int(b),
+            "tokens": tokens[at].view(np.uint8).reshape(-1, 8)[:, 8 - _SUFFIX_BYTES :].tobytes(),
+            "owners": owner[at].tobytes(),
+            "credited": credited[own].tobytes(),
+            "credits": credits[own].astype(np.int64).tobytes(),
+        }
 
 
 def _signatures(percent: int, width: int, buckets: int, schema: pa.Schema):
@@ -106,7 +131,7 @@ def _signatures(percent: int, width: int, buckets: int, schema: pa.Schema):
                 n = sizes[row] = len(tokens)
                 if n:
                     nodes[row] = _node(tokens)
-                    prefixes[row] = tokens[: n - _needed(n, percent) + _spare(n)]
+                    prefixes[row] = tokens[: _sent(n, percent)]
             held = [nodes[i].tobytes() if n else None for i, n in enumerate(sizes)]
             empty = {name: pa.nulls(batch.num_rows, schema.field(name).type) for name in schema.names}
             docs = {"id": batch["id"], "key": batch["key"], "node": held, "n": sizes, "mark": nodes[:, 0].view(np.int64)}
@@ -118,29 +143,46 @@ def _signatures(percent: int, width: int, buckets: int, schema: pa.Schema):
     return run
 
 
-def _shared(table: pa.Table) -> pa.Table:
-    """Of one bucket: how many shingles of a node occur in another node."""
+def _values(column: pa.Array, kind) -> np.ndarray:
+    """The bytes of all rows of a binary column, one after the other, without a copy."""
+    data = column.buffers()[2]
+    if data is None:
+        return np.zeros(0, kind)
+    edge = np.frombuffer(column.buffers()[1], np.int32)[[column.offset, column.offset + len(column)]]
+    return np.frombuffer(data, np.uint8)[edge[0] : edge[1]].view(kind)
 
-    def joined(name: str, kind) -> np.ndarray:
-        return np.frombuffer(b"".join(table[name].to_pylist()), kind)
 
-    raw = joined("tokens", np.uint8).reshape(-1, _SUFFIX_BYTES)
+def _repeated(raw: np.ndarray, owner: np.ndarray) -> np.ndarray:
+    """The owner of each shingle that has another owner too, 0 standing for several of them."""
     padded = np.zeros((len(raw), 8), np.uint8)
     padded[:, :_SUFFIX_BYTES] = raw
-    tokens, owner = padded.reshape(-1).view(np.uint64), joined("owners", np.uint64)
+    tokens = padded.reshape(-1).view(np.uint64)
     order = np.lexsort((owner, tokens))
     tokens, owner = tokens[order], owner[order]
-    if len(tokens):
-        new = np.concatenate(([True], (tokens[1:] != tokens[:-1]) | (owner[1:] != owner[:-1])))
-        tokens, owner = tokens[new], owner[new]
-        begin = np.flatnonzero(np.concatenate(([True], tokens[1:] != tokens[:-1])))
-        count = np.diff(np.append(begin, len(tokens)))
-        owner = owner[(np.repeat(count, count) > 1) & (owner != 0)]
-    marks = np.concatenate((owner, joined("credited", np.uint64)))
-    credits = np.concatenate((np.ones(len(owner), np.int64), joined("credits", np.int64)))
-    out, which = np.unique(marks, return_inverse=True)
-    total = np.bincount(which, credits, len(out)).astype(np.int64)
-    return pa.table({"mark": out.view(np.int64), "credits": total})
+    new = np.concatenate(([True], (tokens[1:] != tokens[:-1]) | (owner[1:] != owner[:-1])))
+    tokens, owner = tokens[new], owner[new]
+    begin = np.flatnonzero(np.concatenate(([True], tokens[1:] != tokens[:-1])))
+    count = np.diff(np.append(begin, len(tokens)))
+    return owner[(np.repeat(count, count) > 1) & (owner != 0)]
+
+
+def _summed(marks: list[np.ndarray], credits: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    out, which = np.unique(np.concatenate(marks), return_inverse=True)
+    return out, np.bincount(which, np.concatenate(credits), len(out)).astype(np.int64)
+
+
+def _shared(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of one bucket: how many shingles of a node occur in another node. A part of the bucket is sorted at a time."""
+    held = [[_values(batch[name], kind) for name, kind in (("tokens", np.uint8), ("owners", np.uint64), ("credited", np.uint64), ("credits", np.int64))] for batch in batches]
+    tokens = [h[0].reshape(-1, _SUFFIX_BYTES) for h in held]
+    marks, credits = _summed([h[2] for h in held], [h[3] for h in held])
+    for part in range(_PARTS):
+        inside = [t[:, -1] % _PARTS == part for t in tokens]
+        if not any(x.any() for x in inside):
+            continue
+        owner = _repeated(np.concatenate([t[x] for t, x in zip(tokens, inside)]), np.concatenate([h[1][x] for h, x in zip(held, inside)]))
+        marks, credits = _summed([marks, owner], [credits, np.ones(len(owner), np.int64)])
+    yield pa.RecordBatch.from_pydict({"mark": marks.view(np.int64), "credits": credits})
 
 
 def _token_sets(width: int):
@@ -158,17 +200,32 @@ def _token_sets(width: int):
     return run
 
 
-def _boundary(sets: DataFrame, percent: int) -> int:
-    """The size up to which enumerating pairs costs less than scanning lists.
+def _prefix(percent: int, c: int, n="n", unique="unique"):
+    """How many of a set's shared shingles are among its first ``n - needed + c``."""
+    need = F.ceil(F.lit(percent) * F.col(n) / 100)
+    return F.greatest(F.lit(0), F.col(n) - need + c - F.col(unique)).cast("int")
+
+
+def _entries(sets: DataFrame, percent: int) -> DataFrame:
+    """A row for each prefix shingle of each node: ``node``, ``n``, ``unique``, ``at``, ``key`` and ``reach``.
+
+    The ``unique`` shingles, that no other node has, come before all. The prefix is that of the subsets of two, for every node.
+    """
+    first = F.slice("tokens", F.lit(1), F.least(F.size("tokens"), _prefix(percent, 2)))
+    rows = sets.select("node", "n", "unique", F.posexplode(first).alias("at", "key"))
+    return rows.withColumn("reach", F.col("n") - F.col("unique") - F.col("at"))
+
+
+def _boundary(left: DataFrame, percent: int) -> int:
+    """The size up to which enumerating pairs of open shingles costs less than scanning their lists.
 
     Costs are summed per class of sizes, eight classes a doubling, so a few hundred rows come back.
     """
-    need = F.ceil(F.lit(percent) * F.col("n") / 100)
-    unique = F.col("n") - F.size("tokens")
-    held = F.greatest(F.lit(0), F.least(F.size("tokens"), F.col("n") - need + 2 - unique))
-    scanned = F.aggregate(F.slice("counts", 1, F.greatest(held - 1, F.lit(0)).cast("int")), F.lit(0).cast("bigint"), lambda a, x: a + x)
+    held = F.size("open")
+    single = F.filter("open", lambda x: x["at"] < _prefix(percent, 1))
+    scanned = F.aggregate(single, F.lit(0).cast("bigint"), lambda a, x: a + x["entries"])
     costs = (
-        sets.groupBy(F.floor(F.log2("n") * 8).alias("class"))
+        left.groupBy(F.floor(F.log2("n") * 8).alias("class"))
         .agg(F.sum(held * (held - 1) / 2).alias("pairs"), F.sum(scanned).alias("scanned"), F.max("n").alias("size"))
         .orderBy("class")
         .collect()
@@ -183,10 +240,10 @@ def _boundary(sets: DataFrame, percent: int) -> int:
 
 
 def _keys(percent: int, boundary: int, schema: pa.Schema):
-    """Subsets of two shingles of light sets, single shingles of heavy sets and of those they may meet.
+    """Subsets of two open shingles of light sets, single ones of heavy sets and of those they may meet.
 
-    ``reach`` is how many shingles a set can share with another whose first common key this is, ``common`` how
-    many of those before the key's last shingle belong to the key.
+    ``reach`` is how many shingles a set can share with another whose first common key this is, ``before`` how many open
+    shingles come before the key's last one, ``common`` how many of them belong to the key, and ``entries`` how long its list is at most.
     """
 
     def light(n: int) -> bool:
@@ -194,36 +251,31 @@ def _keys(percent: int, boundary: int, schema: pa.Schema):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keys, rows, reach, common = [], [], [], []
-            tokens = batch["tokens"]
-            values, bounds = tokens.flatten().to_numpy().view(np.uint64), np.append(0, np.cumsum(tokens.value_lengths().to_numpy()))
-            for row, n in enumerate(batch["n"].to_pylist()):
-                own = values[bounds[row] : bounds[row + 1]]
-                unique, need = n - len(own), _needed(n, percent)
+            numbers = {name: [] for name in ("key", "reach", "common", "entries", "before", "row")}
+
+            def add(row: int, **values):
+                for name, value in values.items():
+                    numbers[name].append(np.asarray(value).astype(np.uint64).view(np.int64))
+                numbers["row"].append(np.full(len(values["key"]), row))
+
+            opened = batch["open"]
+            values, bounds = opened.flatten(), np.append(0, np.cumsum(opened.value_lengths().to_numpy()))
+            tokens, at, entries = (values.field(name).to_numpy() for name in ("key", "at", "entries"))
+            for row, (n, unique) in enumerate(zip(batch["n"].to_pylist(), batch["unique"].to_pylist())):
+                cut = slice(bounds[row], bounds[row + 1])
+                own, place, held = tokens[cut].view(np.uint64), unique + at[cut], entries[cut]
                 if light(n):
-                    head = own[: max(0, n - need + 2 - unique)]
-                    first, second = np.triu_indices(len(head), 1)
-                    keys.append(mixed(mixed(head[first]) + head[second]))
-                    reach.append(n - (unique + second) + 1)
-                    rows.append(np.full(len(first), row))
-                    common.append(np.ones(len(first), np.int64))
+                    first, second = np.triu_indices(len(own), 1)
+                    key = mixed(mixed(own[first]) + own[second])
+                    add(row, key=key, reach=n - place[second] + 1, common=np.ones(len(key)), entries=np.minimum(held[first], held[second]), before=second)
                 if not light(n) or n * 100 > percent * boundary or _needed(-(-percent * n // 100), percent) < 2:
-                    head = own[: max(0, n - need + 1 - unique)]
-                    keys.append(head)
-                    reach.append(n - (unique + np.arange(len(head))))
-                    rows.append(np.full(len(head), row))
-                    common.append(np.zeros(len(head), np.int64))
-            rows = np.concatenate(rows) if rows else np.zeros(0, np.int64)
-            yield pa.RecordBatch.from_pydict(
-                {
-                    "key": np.concatenate(keys).view(np.int64) if keys else np.zeros(0, np.int64),
-                    "node": batch["node"].take(pa.array(rows)),
-                    "n": batch["n"].take(pa.array(rows)),
-                    "reach": np.concatenate(reach).astype(np.int64) if reach else np.zeros(0, np.int64),
-                    "common": np.concatenate(common) if common else np.zeros(0, np.int64),
-                },
-                schema=schema,
-            )
+                    head = place < n - _needed(n, percent) + 1
+                    add(row, key=own[head], reach=n - place[head], common=np.zeros(head.sum()), entries=held[head], before=np.arange(head.sum()))
+            found = {name: np.concatenate(x) if x else np.zeros(0, np.int64) for name, x in numbers.items()}
+            row = pa.array(found.pop("row"))
+            lists = pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(tokens))
+            out = found | {"open": lists.take(row)} | {name: batch[name].take(row) for name in ("node", "n", "root")}
+            yield pa.RecordBatch.from_pydict(out, schema=schema)
 
     return run
 
@@ -252,60 +304,86 @@ def _side(df: DataFrame, s: str) -> DataFrame:
     return df.select(*[F.col(c) if c == "key" else F.col(c).alias(s if c == "node" else f"{s}_{c}") for c in df.columns])
 
 
-def _open_pairs(rooted: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """All pairs that may still bring a link between two components, each at its first common key only."""
-    before = F.slice("tokens", F.lit(1), (F.size("tokens") - F.col("reach") + F.col("common")).cast("int"))
-    members = rooted.join(sets.select("node", "tokens"), "node").select("key", "node", "n", "reach", "root", "common", before.alias("before"))
-    met = _side(members, "a").join(_side(members, "b"), "key").filter("a < b and a_root != b_root").filter(_possible(percent))
-    first = F.size(F.array_intersect("a_before", "b_before")) == F.col("a_common")
-    return met.filter((F.col("a_common") == F.col("b_common")) & first).select("a", "b").distinct()
+def _open_pairs(left: DataFrame, percent: int) -> DataFrame:
+    """All pairs that may still bring a link between two components, each at its first common key only.
 
+    A list of many members is dealt to blocks, and every pair of blocks is a group of its own.
+    """
+    from pyspark.sql.pandas.types import to_arrow_schema
 
-def _leader_pairs(rooted: DataFrame, open_: DataFrame, several: int, percent: int) -> DataFrame:
-    met = _side(rooted, "b").join(_side(open_, "a"), "key").filter("a_root != b_root").filter(_possible(percent))
+    kind = left.schema["node"].dataType
+    schema = StructType().add("key", "long").add("node", kind).add("n", "long").add("root", kind)
+    for name in ("reach", "common", "entries", "before"):
+        schema = schema.add(name, "long")
+    schema = schema.add("open", ArrayType(LongType()))
+    keys = left.mapInArrow(_keys(percent, _boundary(left, percent), to_arrow_schema(schema)), schema)
+    blocks = F.ceil(F.col("entries") / BLOCK_MEMBERS)
+    members = keys.withColumn("block", F.pmod(F.xxhash64("node"), blocks))
+    cells = members.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)))
+    low, high = F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high")
+    cells = cells.select("key", low, high, "node", "n", "reach", "root", "common", "block", "before", "open")
+    a, b = (cells.select("key", "low", "high", *[F.col(c).alias(s if c == "node" else f"{s}_{c}") for c in cells.columns[3:]]) for s in "ab")
+    met = a.join(b, ["key", "low", "high"]).filter("a < b and a_root != b_root and (low = high or a_block != b_block)").filter(_possible(percent))
+    ahead = [F.slice(f"{s}_open", F.lit(1), F.col(f"{s}_before").cast("int")) for s in "ab"]
+    first = (F.col("a_common") == F.col("b_common")) & (F.size(F.array_intersect(*ahead)) == F.col("a_common"))
+    # What two sets share is in both prefixes, where it is open, or behind the prefix that ends first.
+    behind = [F.least(F.col(f"{s}_n"), F.ceil(F.lit(percent) * F.col(f"{s}_n") / 100) - 2) for s in "ab"]
+    most = F.size(F.array_intersect("a_open", "b_open")) + F.greatest(F.lit(0), *behind)
+    enough = most * (100 + percent) >= (F.col("a_n") + F.col("b_n")) * percent
+    return met.filter(first & enough).select("a", "b").distinct()
+
+
+def _leader_pairs(rows: DataFrame, lists: DataFrame, several: int, percent: int) -> DataFrame:
+    """Every member with its list's leader, or, of the lists it is in, with the leaders of ``several`` at most."""
+    met = _side(rows, "b").join(_side(lists, "a"), "key").filter("a_root != b_root").filter(_possible(percent))
     part = F.pmod(F.xxhash64("key"), F.lit(several)).alias("part")
     return met.groupBy("b", part).agg(F.min("a").alias("a")).select("a", "b").distinct()
 
 
-def _connected(keys: DataFrame, sets: DataFrame, percent: int) -> DataFrame | None:
+def _open_lists(rows: DataFrame, round_: int) -> DataFrame:
+    """Lists with members of more than one component, and a leader of each.
+
+    At first one leader for all lists that hold it, so that large groups become one star; then another one for each list.
+    """
+    order = F.xxhash64("node", "key", F.lit(round_)) if round_ else F.xxhash64("node")
+    leader = F.min_by(F.struct("node", "n", "reach", "root"), order).alias("leader")
+    lists = rows.groupBy("key").agg(F.count("*").alias("entries"), F.min("root").alias("low"), F.max("root").alias("high"), leader)
+    return written(lists.filter("low != high").select("key", "entries", "leader.*"))
+
+
+def _joined(roots: DataFrame | None, found: DataFrame) -> DataFrame:
+    """``roots`` with the links ``found`` (a, b) between nodes added."""
+    if roots is None:
+        return components(found)
+    for s in ("a", "b"):
+        found = found.join(roots.select(F.col("node").alias(s), F.col("root").alias("to")), s, "left")
+        found = found.withColumn(s, F.coalesce("to", s)).drop("to")
+    merged = components(found)
+    moved = merged.select(F.col("node").alias("root"), F.col("root").alias("top"))
+    known = roots.join(moved, "root", "left").select("node", F.coalesce("top", "root").alias("root"))
+    return written(known.unionByName(merged.join(roots.select("node"), "node", "left_anti")))
+
+
+def _connected(sets: DataFrame, percent: int) -> DataFrame | None:
     """(node, root) of the nodes that are linked with another, None if none is."""
-    roots = None
+    roots, rows = None, _entries(sets, percent)
     for round_ in range(LEADER_ROUNDS + 1):
         if roots is None:
-            rooted = keys.withColumn("root", F.col("node"))
-        else:
-            rooted = keys.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-            rooted = rooted.select("key", "node", "n", "reach", "common", "root")
-        # One leader for all lists that hold it at first, so that large groups become one star; then
-        # another one for each list.
-        order = F.xxhash64("node", "key", F.lit(round_)) if round_ else F.xxhash64("node")
-        leader = F.min_by(F.struct("node", "n", "reach", "root"), order).alias("leader")
-        lists = rooted.groupBy("key").agg(F.count("*").alias("entries"), F.min("root").alias("low"), F.max("root").alias("high"), leader)
-        open_ = written(lists.filter("low != high").select("key", "entries", "leader.*"))
-        entries, most = open_.agg(F.sum("entries"), F.sum(F.expr("entries * (entries - 1) / 2"))).first()
-        if not entries:
-            return roots
-        rooted = written(rooted.join(open_.select("key"), "key", "left_semi"))
-        keys = rooted.drop("root")  # a list whose members are all connected stays so
-        last = round_ == LEADER_ROUNDS or most <= PAIRS_AN_ENTRY * entries
-        if last:
-            pairs = _open_pairs(rooted, sets, percent)
-        else:
-            pairs = _leader_pairs(rooted.drop("common"), open_.drop("entries"), LEADERS if round_ else 1, percent)
-        found = written(_linked(pairs, sets, percent))
-        if roots is None:
-            roots = components(found)
+            rooted = rows.withColumn("root", F.col("node"))
         else:
-            for s in ("a", "b"):
-                found = found.join(roots.select(F.col("node").alias(s), F.col("root").alias("to")), s, "left")
-                found = found.withColumn(s, F.coalesce("to", s)).drop("to")
-            merged = components(found)
-            moved = merged.select(F.col("node").alias("root"), F.col("root").alias("top"))
-            known = roots.join(moved, "root", "left").select("node", F.coalesce("top", "root").alias("root"))
-            roots = written(known.unionByName(merged.join(roots.select("node"), "node", "left_anti")))
-        if last:
+            rooted = rows.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+        lists = _open_lists(rooted, round_)
+        if lists.isEmpty():
             return roots
-    return roots
+        if round_ == 1:  # by now most lists are closed, and they stay so
+            rows = written(rows.join(lists.select("key"), "key"))
+            rooted = rows.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+        if round_ < LEADER_ROUNDS:
+            found = _leader_pairs(rooted.drop("unique", "at"), lists.drop("entries"), LEADERS if round_ else 1, percent)
+            roots = _joined(roots, written(_linked(found, sets, percent)))
+    opened = F.sort_array(F.collect_list(F.struct("at", "key", "entries"))).alias("open")
+    left = rooted.join(lists.select("key", "entries"), "key").groupBy("node", "n", "unique", "root").agg(opened)
+    return _joined(roots, written(_linked(_open_pairs(written(left), percent), sets, percent)))
 
 
 def jaccard_join(
@@ -328,7 +406,7 @@ def jaccard_join(
     kind = docs.schema[id].dataType
     rows = docs.select(F.col(id).alias("id"), F.col(text).alias("text"), F.unhex(F.md5(text)).alias("key"))
     letters = docs.agg(F.sum(F.octet_length(text))).first()[0] or 0
-    buckets = 1 + letters // 20 // POSTINGS_A_BUCKET  # a shingle is about six bytes, its prefix a third of a set
+    buckets = LEAST_BUCKETS + letters // 20 // POSTINGS_A_BUCKET  # a shingle is about six bytes, its prefix a third of a set
     schema = StructType().add("id", kind).add("key", "binary").add("node", "binary").add("n", "long").add("mark", "long")
     schema = schema.add("bucket", "long").add("tokens", "binary").add("owners", "binary").add("credited", "binary").add("credits", "binary")
     from pyspark.sql.pandas.types import to_arrow_schema
@@ -339,7 +417,8 @@ def jaccard_join(
     credits = postings.groupBy("bucket").applyInArrow(_shared, "mark long, credits long").groupBy("mark").agg(F.sum("credits").alias("credits"))
     nodes = found.filter("n > 0").groupBy("node", "mark", "n").agg(F.min("key").alias("key"))
     spare = F.greatest(F.lit(1), F.floor(F.col("n") / 10))
-    wanted = written(nodes.filter("n > 1").join(credits, "mark").filter(F.col("credits") >= spare).select("key"))
+    may = nodes if percent <= 50 else nodes.filter("n > 1")  # above a half, a set of one shingle has no partner but itself
+    wanted = written(may.join(credits, "mark").filter(F.col("credits") >= spare).select("key"))
     few = wanted.distinct()
     few = F.broadcast(few) if fits_broadcast(wanted.count(), 1) else few
     texts = rows.select("text", "key").join(few, "key", "left_semi")
@@ -348,11 +427,8 @@ def jaccard_join(
     single = raw.select("node", "n", F.explode("tokens").alias("token"))
     counts = single.groupBy("token").agg(F.count("*").alias("held")).filter("held > 1")
     ranked = single.join(counts, "token").groupBy("node", "n").agg(F.sort_array(F.collect_list(F.struct("held", "token"))).alias("t"))
-    sets = written(ranked.select("node", "n", F.col("t.token").alias("tokens"), F.col("t.held").alias("counts")))
-    key_schema = StructType([StructField("key", LongType()), StructField("node", schema["node"].dataType), StructField("n", LongType()), StructField("reach", LongType()), StructField("common", LongType())])
-    make = _keys(percent, _boundary(sets, percent), to_arrow_schema(key_schema))
-    keys = written(sets.select("node", "n", "tokens").mapInArrow(make, key_schema))
-    roots = _connected(keys, sets.select("node", "n", "tokens"), percent)
+    sets = written(ranked.select("node", "n", (F.col("n") - F.size("t")).alias("unique"), F.col("t.token").alias("tokens")))
+    roots = _connected(sets, percent)
     classes = found.filter("n > 0").groupBy("node").agg(F.min("id").alias("least"))
     if roots is None:
         named = classes.select("node", F.col("least").alias("component_id"))

@@ -20,7 +20,7 @@ def shingle_set(text, width=5):
     return frozenset(tuple(found[i : i + width]) for i in range(len(found) - width + 1))
 
 
-def grouped(rows):
+def grouped(rows, percent=80):
     """By row: size of the set and smallest id of its group, all pairs compared."""
     sets, group = [shingle_set(t) for _, t in rows], list(range(len(rows)))
 
@@ -31,7 +31,7 @@ def grouped(rows):
 
     for i in range(len(rows)):
         for j in range(i):
-            if sets[i] and sets[j] and 100 * len(sets[i] & sets[j]) >= 80 * len(sets[i] | sets[j]):
+            if sets[i] and sets[j] and 100 * len(sets[i] & sets[j]) >= percent * len(sets[i] | sets[j]):
                 group[top(i)] = top(j)
     out = []
     for i, (id_, _) in enumerate(rows):
@@ -40,8 +40,8 @@ def grouped(rows):
     return sorted(out, key=str)
 
 
-def result(df):
-    return sorted(((r.doc_id, r.n_shingles, r.component_id) for r in join.jaccard_join(df).collect()), key=str)
+def result(df, percent=80):
+    return sorted(((r.doc_id, r.n_shingles, r.component_id) for r in join.jaccard_join(df, percent=percent).collect()), key=str)
 
 
 def test_edge_cases(spark, docs):
@@ -56,7 +56,6 @@ def test_edge_cases(spark, docs):
 def test_near_copies(spark, monkeypatch, light):
     """A group whose members are not all linked with each other, chains, and passages in common."""
     monkeypatch.setattr(join, "ROW_COST", 0 if light else 10**9)
-    monkeypatch.setattr(join, "PAIRS_AN_ENTRY", 0)
     rnd = random.Random(5)
     base, passage = [f"w{rnd.randint(0, 10**6)}" for _ in range(120)], [f"p{i}" for i in range(30)]
     rows = []
@@ -73,6 +72,41 @@ def test_near_copies(spark, monkeypatch, light):
     assert result(df) == grouped(rows)
 
 
+@pytest.mark.parametrize("percent", [20, 50, 80, 90, 95, 99])
+def test_other_thresholds(spark, monkeypatch, percent):
+    """Pairs of sets just at and just below the threshold, of many sizes; lists larger than a block."""
+    monkeypatch.setattr(join, "BLOCK_MEMBERS", 3)
+    rnd, rows = random.Random(percent), []
+
+    def new(k):
+        return [f"n{rnd.randint(0, 10**9)}" for _ in range(k)]
+
+    for n in [*range(2, 44), 60, 99, 100, 101, 140]:
+        common = new(n + 4)
+        least = -(-percent * n // 100)
+        for cut in {n, least, least + 1, least - 1}:
+            if 0 < cut <= n:  # sets of n and cut shingles, one in the other
+                rows += [" ".join(common), " ".join(common[n - cut :])]
+        ends = rnd.randint(1, 3)
+        rows += [" ".join(common[:-ends] + new(ends)), " ".join(new(ends) + common[ends:])]
+    rnd.shuffle(rows)
+    rows = [*enumerate(rows)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert result(df, percent) == grouped(rows, percent)
+
+
+def test_demands_are_covered():
+    """What a set sends holds as many shared shingles as the larger demand, for all linked sizes."""
+    for percent in (25, 30, 50, 67, 80, 90, 95, 99, 100):
+        sent = [join._sent(n, percent) if n else 0 for n in range(700)]
+        for n in range(1, 400):
+            for m in range(n, min(len(sent), n * 100 // percent + 1)):
+                shared = max(join._shared_by(n, m, percent), join._needed(m, percent))
+                for a, b in ((n, m), (m, n)):
+                    met = min(shared, sent[a] - (a - shared), sent[b] - (b - shared))
+                    assert met >= min(shared, join._spare(a)), (percent, n, m)
+
+
 def test_many_texts(spark):
     df = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text")
     assert result(df) == grouped([(r.doc_id, r.text) for r in df.collect()])
