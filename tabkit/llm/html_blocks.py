@@ -1,83 +1,36 @@
 """Main text of HTML pages: flat text blocks, classified by a decision tree.
 
-A page becomes a flat list of text blocks. Each is described by its number of words and its link density,
-by those of the blocks before and after it, and by what encloses it: an article, page furniture (menus,
-footers, forms) or an element whose name or class speaks of adverts, notices or comments. The tree is
-trained on ``LABELLED``, a small table of blocks with a hand-given label.
+A page becomes a flat list of text blocks. Each is described by its number of words and its link density and by
+those of the two blocks before and after it. A tree is trained on these numbers of the blocks of
+``labelled_pages``. Where blocks of one leaf differ in their label, numbers do not tell them apart, and a second
+tree decides there, which also knows what encloses a block: an article, page furniture (menus, footers, forms)
+or an element whose name or class speaks of adverts, notices or comments.
 """
 
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 from html import unescape
 
 import pyarrow as pa
-from pyspark.ml.classification import DecisionTreeClassifier
+from pyspark.ml.regression import DecisionTreeRegressor
 from pyspark.ml.linalg import Vectors
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
-FEATURES = ("words", "density", "words_before", "density_before", "words_after", "density_after", "article", "furniture", "hint")
-DEPTH = 5
+from .labelled_pages import MARK, PAGES
 
-# Blocks and their label: features in the order of FEATURES, then 1 for main text.
-LABELLED = (
-    # menus and lists of links
-    (1, 1.0, 0, 0.0, 1, 1.0, 0, 1, 0, 0),
-    (2, 1.0, 1, 1.0, 1, 1.0, 0, 1, 0, 0),
-    (1, 1.0, 2, 1.0, 8, 0.0, 0, 1, 0, 0),
-    (3, 1.0, 3, 1.0, 3, 1.0, 0, 0, 0, 0),
-    (2, 1.0, 40, 0.0, 2, 1.0, 0, 0, 0, 0),
-    (4, 0.8, 4, 0.8, 5, 1.0, 0, 0, 0, 0),
-    (6, 1.0, 120, 0.0, 6, 1.0, 0, 0, 1, 0),
-    (3, 1.0, 60, 0.1, 4, 1.0, 1, 1, 0, 0),
-    # adverts, notices, comments, inside and outside an article
-    (7, 0.0, 1, 1.0, 9, 0.0, 0, 0, 1, 0),
-    (13, 0.0, 1, 1.0, 11, 0.0, 0, 0, 1, 0),
-    (25, 0.0, 0, 0.0, 8, 0.0, 0, 0, 1, 0),
-    (40, 0.1, 70, 0.0, 30, 0.0, 0, 0, 1, 0),
-    (60, 0.0, 40, 0.0, 20, 0.0, 1, 0, 1, 0),
-    (12, 0.3, 90, 0.0, 80, 0.0, 1, 0, 1, 0),
-    (150, 0.0, 30, 0.0, 90, 0.0, 0, 0, 1, 0),
-    (5, 1.0, 60, 0.0, 70, 0.0, 1, 0, 1, 0),
-    # footers, headers, forms, sidebars
-    (9, 0.0, 60, 0.0, 0, 0.0, 0, 1, 0, 0),
-    (14, 0.0, 8, 0.0, 0, 0.0, 0, 1, 0, 0),
-    (30, 0.2, 100, 0.0, 12, 0.5, 0, 1, 0, 0),
-    (80, 0.0, 200, 0.0, 10, 0.0, 0, 1, 0, 0),
-    (4, 0.0, 0, 0.0, 1, 1.0, 0, 1, 0, 0),
-    (6, 0.0, 90, 0.0, 2, 0.0, 1, 1, 0, 0),
-    (45, 0.0, 90, 0.0, 60, 0.0, 1, 1, 0, 0),
-    # short blocks of a page without an article
-    (2, 0.0, 1, 1.0, 2, 0.0, 0, 0, 0, 0),
-    (3, 0.0, 50, 0.0, 2, 1.0, 0, 0, 0, 0),
-    (5, 0.0, 2, 1.0, 3, 1.0, 0, 0, 0, 0),
-    # headings and paragraphs of an article
-    (1, 0.0, 8, 0.0, 50, 0.0, 1, 0, 0, 1),
-    (9, 0.0, 6, 0.0, 70, 0.0, 1, 0, 0, 1),
-    (3, 0.0, 13, 0.0, 2, 0.0, 1, 0, 0, 1),
-    (70, 0.0, 9, 0.0, 60, 0.0, 1, 0, 0, 1),
-    (140, 0.0, 70, 0.0, 8, 0.0, 1, 0, 0, 1),
-    (2, 0.0, 90, 0.0, 12, 0.0, 1, 0, 0, 1),
-    (1, 0.0, 1, 0.0, 9, 0.0, 1, 0, 0, 1),
-    (18, 0.2, 40, 0.0, 35, 0.1, 1, 0, 0, 1),
-    (25, 0.6, 40, 0.0, 30, 0.0, 1, 0, 0, 1),
-    (4, 1.0, 60, 0.0, 55, 0.0, 1, 0, 0, 1),
-    (1, 1.0, 80, 0.0, 40, 0.0, 1, 0, 0, 1),
-    (12, 1.0, 30, 0.2, 10, 0.0, 1, 0, 0, 1),
-    (3, 0.0, 1, 1.0, 1, 0.0, 1, 0, 0, 1),
-    (400, 0.0, 9, 0.0, 14, 0.0, 1, 0, 0, 1),
-    (6, 0.0, 5, 0.0, 7, 0.0, 1, 0, 0, 1),
-    # paragraphs of a page without an article
-    (40, 0.0, 3, 1.0, 50, 0.0, 0, 0, 0, 1),
-    (90, 0.1, 40, 0.0, 70, 0.0, 0, 0, 0, 1),
-    (60, 0.0, 90, 0.0, 2, 1.0, 0, 0, 0, 1),
-    (30, 0.0, 60, 0.0, 45, 0.0, 0, 0, 0, 1),
-    (25, 0.1, 30, 0.0, 28, 0.0, 0, 0, 0, 1),
-    (200, 0.0, 5, 0.0, 9, 0.0, 0, 0, 0, 1),
-)
+# Places of the blocks whose words and link density describe a block.
+AROUND = (0, -1, 1, -2, 2)
+NUMBERS = tuple(f"{name}{k:+d}" for k in AROUND for name in ("words", "density"))
+# Inside an article 1, outside on a page that has one -1, else 0; then 0 or 1 for furniture and for a telling name.
+MARKUP = ("place", "furniture", "hint")
+DEPTH = 5
+# A leaf of the first tree decides if all its blocks agree and it has so many.
+LEAST_BLOCKS = 12
 
 # Elements by their part in a page.
 RAW = ("script", "style", "noscript", "template", "title", "textarea", "iframe", "svg", "math", "object", "canvas")
@@ -96,6 +49,10 @@ HINTS = (
 ).split()
 
 _TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<(?P<close>/?)(?P<name>[a-zA-Z][a-zA-Z0-9:-]*)(?P<rest>(?:"[^"]*"|'[^']*'|[^'"<>])*)>|<[!?/a-zA-Z][^<>]*>""", re.DOTALL)
+# A slash that closes an element at once, and not the end of an unquoted value.
+_CLOSED = re.compile(r"""(?:\A|[\s"'])/\Z""")
+# Where a page breaks off inside a tag.
+_CUT = re.compile(r"<(?:[!?/a-zA-Z]|\Z)")
 _NAMED = re.compile(r"""(?:^|\s)(?:class|id|role)\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)""", re.IGNORECASE)
 _PARTS = re.compile("[A-Za-z]+")
 
@@ -107,6 +64,7 @@ def blocks(html: str) -> list[tuple[str, int, float, int, int, int]]:
     linked: list[str] = []
     open_: list[tuple[str, int]] = []  # element and what it adds: 1 article, 2 furniture, 4 hint, 8 link
     held = {1: 0, 2: 0, 4: 0, 8: 0}
+    names = Counter()  # how many elements of a name are open, so that a stray end tag need not look for one
 
     def flush() -> None:
         joined = " ".join(unescape("".join(text)).split())
@@ -126,11 +84,17 @@ def blocks(html: str) -> list[tuple[str, int, float, int, int, int]]:
             if flags & flag:
                 held[flag] += by
 
+    def close() -> str:
+        gone, flags = open_.pop()
+        names[gone] -= 1
+        count(flags, -1)
+        return gone
+
     at, n = 0, len(html)
     while at < n:
         match = _TAG.search(html, at)
         if match is None:
-            add(html[at:])
+            add(_CUT.split(html[at:], maxsplit=1)[0])
             break
         if match.start() > at:
             add(html[at : match.start()])
@@ -145,18 +109,17 @@ def blocks(html: str) -> list[tuple[str, int, float, int, int, int]]:
             if linked:
                 linked.append(" ")
         if match["close"]:
-            if any(name == o for o, _ in open_):
-                while True:
-                    gone, flags = open_.pop()
-                    count(flags, -1)
-                    if gone == name:
-                        break
+            while names[name]:
+                if close() == name:
+                    break
             continue
+        closed = _CLOSED.search(match["rest"])
         if name in RAW:
-            end = re.compile(f"</{name}[^>]*>", re.IGNORECASE).search(html, at)
-            at = end.end() if end and not match["rest"].endswith("/") else (at if match["rest"].endswith("/") else n)
+            if not closed:
+                end = re.compile(f"</{name}[^>]*>", re.IGNORECASE).search(html, at)
+                at = end.end() if end else n
             continue
-        if name in VOID or match["rest"].endswith("/"):
+        if name in VOID or closed:
             continue
         flags = (1 if name in ARTICLE else 0) | (2 if name in FURNITURE else 0) | (8 if name == "a" else 0)
         if match["rest"] and name not in ("html", "body"):
@@ -164,32 +127,59 @@ def blocks(html: str) -> list[tuple[str, int, float, int, int, int]]:
             flags |= 4 if named.intersection(HINTS) and name not in ARTICLE else 0
         if name in ("p", "li", "b", "i"):  # a new one ends the last one of its kind, if nothing else is open inside
             if open_ and open_[-1][0] == name:
-                count(open_.pop()[1], -1)
+                close()
         open_.append((name, flags))
+        names[name] += 1
         count(flags, 1)
     flush()
     return out
 
 
 def features(found: list[tuple]) -> list[tuple[float, ...]]:
-    sizes = [(0, 0.0)] + [(b[1], b[2]) for b in found] + [(0, 0.0)]
-    return [(*sizes[k + 1], *sizes[k], *sizes[k + 2], *b[3:]) for k, b in enumerate(found)]
+    """Numbers and markup of every block, in the order of ``NUMBERS`` and ``MARKUP``; nothing is around the page."""
+    nothing = [(0, 0.0)] * max(AROUND)
+    sizes = nothing + [(b[1], b[2]) for b in found] + nothing
+    outside = -1 if any(b[3] for b in found) else 0
+    at = [k + len(nothing) for k in range(len(found))]
+    return [(*[x for near in AROUND for x in sizes[k + near]], 1 if b[3] else outside, *b[4:]) for k, b in zip(at, found)]
 
 
-def train(spark: SparkSession, labelled=LABELLED, depth: int = DEPTH) -> tuple:
-    """A tree as nested (feature, threshold, left, right), leaves as 0 or 1."""
-    table = spark.createDataFrame([(Vectors.dense(row[:-1]), float(row[-1])) for row in labelled], ["features", "label"])
-    model = DecisionTreeClassifier(maxDepth=depth, minInstancesPerNode=1, maxBins=64, seed=1).fit(table.coalesce(1))
+def labelled(pages=PAGES) -> list[tuple[tuple[float, ...], int]]:
+    """Features and label (1 for main text) of every block of ``pages``; the mark is no word of its own."""
+    return [(row, int(b[0].startswith(MARK))) for found in map(blocks, pages) for b, row in zip(found, features(found))]
+
+
+def _grown(spark: SparkSession, rows, depth: int, least: int, mixed=None) -> tuple | int:
+    """A tree as nested (feature, threshold, left, right).
+
+    A leaf is the label of its blocks, 0 or 1; where they differ it is ``mixed``, or without that the commoner label.
+    """
+    table = spark.createDataFrame([(Vectors.dense(row), float(label)) for row, label in rows], ["features", "label"])
+    model = DecisionTreeRegressor(maxDepth=depth, minInstancesPerNode=least, maxBins=256, seed=1).fit(table.coalesce(1))
 
     def taken(node) -> tuple | int:
         if node.getClass().getSimpleName() == "LeafNode":
-            return int(node.prediction())
+            share = node.prediction()
+            return int(share > 0.5) if mixed is None or share in (0.0, 1.0) else mixed
         split = node.split()
         return (split.featureIndex(), split.threshold(), taken(node.leftChild()), taken(node.rightChild()))
 
     return taken(model._call_java("rootNode"))
 
 
+def train(spark: SparkSession, pages=PAGES, depth: int = DEPTH, markup: bool = True) -> tuple | int:
+    """A tree over words and link density; its mixed leaves ask the markup, and mixed leaves of that the numbers more finely.
+
+    Without ``markup`` mixed leaves go straight to the finer tree of numbers.
+    """
+    rows = labelled(pages)
+    numbers = [(row[: len(NUMBERS)], label) for row, label in rows]
+    tree = _grown(spark, numbers, depth, 1)
+    if markup:
+        tree = _grown(spark, [((0.0,) * len(NUMBERS) + row[len(NUMBERS) :], label) for row, label in rows], len(MARKUP), 1, tree)
+    return _grown(spark, numbers, depth, LEAST_BLOCKS, tree)
+
+
 def classify(tree, row: tuple[float, ...]) -> int:
     while isinstance(tree, tuple):
         tree = tree[2] if row[tree[0]] <= tree[1] else tree[3]
@@ -215,7 +205,7 @@ def extract(pages: DataFrame, id: str = "page_id", url: str = "url", html: str =
 
     ``text`` joins the blocks that the tree takes for main text with one \\n; white space in a block becomes one
     space, character references are decoded. A null or empty html, or one without main text, gives an empty text.
-    Broken markup is read as far as it goes. One row comes out per row, repeated or not; other columns are
+    Broken markup is read as far as it goes; a tag cut off by the end of the page is no text. One row comes out per row, repeated or not; other columns are
     not read, whatever their names. Nothing is shuffled.
     """
     tree = train(pages.sparkSession) if tree is None else tree
