@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..session import fits_broadcast, written
+from .components import components
 
 RATIO = 0.1
 # A line must be on this many pages of its host, so that a host of few pages keeps its text.
@@ -54,7 +55,7 @@ def _near_pages(rows: DataFrame, ratio: float) -> DataFrame:
     """``rows`` (host, page, marks, lines) with one number for the pages of a host that are near copies.
 
     Pages that have a signature in common are one group, if the signature is on enough of the host's pages;
-    groups that a page has signatures of are one. Fewer than ``SIGNATURES / (ratio * GROUP_SHARE)``
+    groups that a page has signatures of are one, along chains of any length. Fewer than ``SIGNATURES / (ratio * GROUP_SHARE)``
     signatures remain for a host.
     """
     host = F.col("host").alias("__dedup_host")
@@ -68,8 +69,11 @@ def _near_pages(rows: DataFrame, ratio: float) -> DataFrame:
 
     found = joined(*_by_host(common.select("__dedup_host", "mark"), F.col("mark"), "__dedup_marks"))
     own = found.select(host, F.array_intersect("marks", "__dedup_marks").alias("own")).filter(F.size("own") > 0)
-    least = own.select("__dedup_host", F.explode("own").alias("mark"), F.array_min("own").alias("least"))
-    linked = least.groupBy("__dedup_host", "mark").agg(F.min("least").alias("least"))
+    ties = own.select("__dedup_host", F.explode("own").alias("mark"), F.array_min("own").alias("least")).distinct()
+    node = lambda mark: F.xxhash64("__dedup_host", mark)
+    ties = written(ties.select("__dedup_host", "mark", node("mark").alias("node"), node("least").alias("other")))
+    roots = components(ties.select(F.col("node").alias("a"), F.col("other").alias("b")))
+    linked = ties.select("__dedup_host", "mark", "node").distinct().join(roots, "node").select("__dedup_host", "mark", F.col("root").alias("least"))
     found = joined(*_by_host(linked, F.struct("mark", "least"), "__dedup_marks"))
     mine = F.filter("__dedup_marks", lambda x: F.array_contains("marks", x["mark"]))
     group = F.array_min(F.transform(mine, lambda x: x["least"]))

@@ -11,7 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tabkit.llm import html_blocks, language, order_minhash, warc
-from tabkit.llm.line_dedup import line_dedup
+from tabkit.llm.line_dedup import _near_pages, line_dedup
 from tabkit.llm.secrets import secret_report
 
 FOLDER = "/root/testdata/sf0.01"
@@ -309,6 +309,19 @@ def test_line_dedup(spark, docs):
     assert line_dedup(docs).columns == docs.columns + ["n_lines", "n_dropped"]
 
 
+def test_line_dedup_chain_of_near_copies(spark):
+    """Pages joined by a chain of shared signatures are one page; another host and a host without name stay apart."""
+    marks = {1: [10, 11], 2: [11, 12], 3: [12, 13], 4: [13, 14], 5: [14, 15], 6: [20, 21], 7: [21, 22], 8: [30]}
+    rows = [(host, k, held, []) for host in ("a", "b", None) for k, held in marks.items() if host != "b" or k != 3]
+    df = spark.createDataFrame(rows, "host string, page long, marks array<long>, lines array<long>")
+    groups = {}
+    for host, page in _near_pages(df, 0.1).select("host", "page").collect():
+        groups.setdefault(host, []).append(page)
+    found = {host: sorted(pages.count(p) for p in set(pages)) for host, pages in groups.items()}
+    assert found == {"a": [1, 2, 5], None: [1, 2, 5], "b": [1, 2, 2, 2]}
+    assert len({p for pages in groups.values() for p in pages if p != 8}) == 7
+
+
 @pytest.mark.parametrize("pages, copies", [(20, 3), (90, 30)])
 def test_line_dedup_near_copies(spark, pages, copies):
     """A group of near copies keeps its text; a menu of the same host goes."""
