@@ -190,7 +190,8 @@ class MLPRegressor:
     consecutive steps take consecutive slot ranges, so all rows are visited in
     turn. Rows are kept sorted by slot, so that a step skips the blocks outside its
     range; only a checked step reads all of them. The gradient is divided by the
-    rows actually used.
+    rows actually used. With ``start`` training goes on from these weights, and ``kind``,
+    ``hidden`` and ``seed`` do not choose them.
     """
 
     features: Sequence[str]
@@ -204,6 +205,7 @@ class MLPRegressor:
     max_steps: int = 100_000
     check_every: int = 10
     seed: int = 42
+    start: Network | None = None
 
     def fit(self, df: DataFrame) -> MLPModel:
         """``df`` is packed, laid out by slot and persisted once; lost blocks are recomputed from ``df``."""
@@ -216,7 +218,7 @@ class MLPRegressor:
             data.unpersist()
 
     def _descend(self, data: DataFrame) -> MLPModel:
-        net = Network(*init_weights(len(self.features), self.hidden, self.seed), self.kind)
+        net = self.start or Network(*init_weights(len(self.features), self.hidden, self.seed), self.kind)
         started = time.monotonic()
         squares, rows = sse(data, net)
         if not rows:

@@ -99,6 +99,42 @@ def mlp_gradient(spark: SparkSession, folder: str) -> DataFrame:
     return rounded(spark.createDataFrame(list(pairs), "weight string, gradient double"))
 
 
+_NET_NAMES = [f"hidden[{i},{j}]" for i in range(3) for j in range(2)] + [f"output[{i}]" for i in range(3)]
+_NET_COLUMNS = "h00 h01 h10 h11 h20 h21 o0 o1 o2".split()
+_NET_SLOPES = [f"{x}e * o{j} * (1 - a{j} * a{j})" for x in ("trip_distance * ", "extra * ", "") for j in range(2)] + ["a0 * e", "a1 * e", "e"]
+_STEP_RATE = 0.001
+
+
+def _steps_sql(steps: int) -> str:
+    """The weights ``w0`` of the literal network, and those after each step of gradient descent over all rows."""
+    first = [*LITERAL_NET.w1.ravel().tolist(), *LITERAL_NET.w2.ravel().tolist()]
+    parts = ["w0 AS (SELECT " + ", ".join(f"CAST({v!r} AS DOUBLE) AS {c}" for v, c in zip(first, _NET_COLUMNS)) + ")"]
+    for k in range(steps):
+        moved = ", ".join(f"{c} - {_STEP_RATE} * avg({g}) AS {c}" for c, g in zip(_NET_COLUMNS, _NET_SLOPES))
+        parts.append(f"""f{k} AS (SELECT *, a0 * o0 + a1 * o1 + o2 - total_amount AS e FROM (SELECT *,
+  tanh(trip_distance * h00 + extra * h10 + h20) AS a0, tanh(trip_distance * h01 + extra * h11 + h21) AS a1
+  FROM typed_trips, w{k} WHERE trip_distance IS NOT NULL AND extra IS NOT NULL AND total_amount IS NOT NULL))""")
+        parts.append(f"w{k + 1} AS (SELECT {moved} FROM f{k} GROUP BY {', '.join(_NET_COLUMNS)})")
+    return ", " + ", ".join(parts)
+
+
+@query(
+    "mlp_two_steps",
+    using(
+        "typed_trips",
+        body=_steps_sql(2) + " UNION ALL ".join(f" SELECT '{n}' AS weight, {r6(c)} AS after FROM w2" for n, c in zip(_NET_NAMES, _NET_COLUMNS)),
+    ),
+)
+def mlp_two_steps(spark: SparkSession, folder: str) -> DataFrame:
+    """Weights after two steps of training over all trips, from given ones."""
+    trainer = mlp.MLPRegressor(
+        NET_INPUTS, "total_amount", TRIP_KEY, batch_rows=1 << 62, rate=_STEP_RATE, max_steps=2, check_every=100, start=LITERAL_NET
+    )
+    net = trainer.fit(typed_trips(timed_trips(spark, folder))).net
+    found = zip(_NET_NAMES, [*net.w1.ravel().tolist(), *net.w2.ravel().tolist()])
+    return rounded(spark.createDataFrame(list(found), "weight string, after double"))
+
+
 @query("mlp_train")
 def mlp_train(spark: SparkSession, folder: str) -> DataFrame:
     """Training and test errors after 20 steps, each over all training trips."""
