@@ -3,13 +3,16 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.hashing import fraction_bound, hash_number, hash_prefix, row_hash
+from .columns import computed_once
 
 Key = str | list[str]
 
+KEY_DIGITS = 32  # of the digest of a key; that of its ties has as many
 LEVEL_DIGITS = 4  # one counting level distinguishes 16**4 hash buckets
 
 
@@ -36,23 +39,25 @@ def sample_fraction(df: DataFrame, key: Key, fraction: float, seed: int = 42) ->
     return df.filter(in_fraction(key, fraction, "sample", seed))
 
 
-def _order(df: DataFrame, key: Key, ties: Key | None, purpose: str, seed: int) -> Column:
-    """The digest that rows are taken by: of the key, then of ``ties`` (all columns), for rows that share a key."""
-    return F.concat(row_hash(key, purpose, seed), row_hash(df.columns if ties is None else ties, "ties", seed))
+def _order(df: DataFrame, key: Key, ties: Key | None, purpose: str, seed: int, digits: int) -> Column:
+    """At least the first ``digits`` of the digest that rows are taken by: of the key, then of ``ties`` (all columns), for rows that share a key."""
+    first = row_hash(key, purpose, seed)
+    return first if digits <= KEY_DIGITS else F.concat(first, row_hash(df.columns if ties is None else ties, "ties", seed))
 
 
-def _cut(hashed: DataFrame, wanted) -> tuple[str, int, int]:
+def _cut(hashed: Callable[[int], DataFrame], wanted) -> tuple[str, int, int]:
     """``(prefix, taken, held)``: to take exactly ``wanted(total)`` rows by digest, take all rows below
     ``prefix`` and ``taken`` of the ``held`` rows that begin with it.
 
-    Rows are counted per leading hex digits, at most 65,536 counts a level, and only the bucket holding the
-    cut is looked at further, so no task and no driver ever ranks the table. A bucket that is taken whole ends
-    the search; so do all digits, when the rows left are equal in key and ties.
+    ``hashed(digits)`` has so many digits of each row's digest as ``h``. Rows are counted per leading hex digits, at most
+    65,536 counts a level, and only the bucket holding the cut is looked at further, so no task and no driver ever ranks
+    the table. A bucket that is taken whole ends the search; so do all digits, when the rows left are equal in key and ties.
     """
     prefix, left = "", None
     while True:
         at = len(prefix) + 1
-        inside = hashed.filter(F.col("h").startswith(prefix)) if prefix else hashed
+        held = hashed(len(prefix) + LEVEL_DIGITS)
+        inside = held.filter(F.col("h").startswith(prefix)) if prefix else held
         bucket = F.substring("h", at, LEVEL_DIGITS).alias("b")
         counts = sorted((row.b, row.n) for row in inside.groupBy(bucket).agg(F.count("*").alias("n")).collect())
         if left is None:
@@ -66,7 +71,7 @@ def _cut(hashed: DataFrame, wanted) -> tuple[str, int, int]:
         else:
             return "g", 0, 0  # more rows wanted than exist: all of them
         prefix += digits
-        if left == n or len(prefix) == 64:
+        if left == n or len(prefix) == 2 * KEY_DIGITS:
             return prefix, left, n
 
 
@@ -74,22 +79,32 @@ def _parted(df: DataFrame, key: Key, ties: Key | None, purpose: str, seed: int,
     """The first ``wanted(total)`` rows by digest, and the others.
 
     Rows of the same key and ties that the cut runs through are told apart by nothing: with the default
-    ties they are equal, and the counted number of them is made from one.
+    ties they are equal, and the counted number of them is made from one. The digest of the ties is worked out only where
+    that of the key does not decide, and each digest once a row.
     """
-    order = _order(df, key, ties, purpose, seed)
-    prefix, taken, held = _cut(df.select(order.alias("h")), wanted)
+
+    def hashed(digits: int, keep: Sequence[str] = ()) -> DataFrame:
+        return computed_once(df, [_order(df, key, ties, purpose, seed, digits).alias("__h" if keep else "h")], keep)
+
+    prefix, taken, held = _cut(hashed, wanted)
+    rows = hashed(len(prefix), df.columns)
+    order = F.col("__h")
     below, above = order < prefix, order >= prefix
+
+    def where(test: Column) -> DataFrame:
+        return rows.filter(test).drop("__h")
+
     if not held:
-        return df.filter(below), df.filter(above)
+        return where(below), where(above)
     at = order.startswith(prefix)
     if taken == held:
-        return df.filter(below | at), df.filter(above & ~at)
+        return where(below | at), where(above & ~at)
 
     def copies(n: int) -> DataFrame:
-        counted = df.filter(at).limit(1).withColumn("__copy", F.explode(F.sequence(F.lit(1), F.lit(n))))
+        counted = where(at).limit(1).withColumn("__copy", F.explode(F.sequence(F.lit(1), F.lit(n))))
         return counted.drop("__copy")
 
-    return df.filter(below).unionByName(copies(taken)), df.filter(above & ~at).unionByName(copies(held - taken))
+    return where(below).unionByName(copies(taken)), where(above & ~at).unionByName(copies(held - taken))
 
 
 def exact_split(

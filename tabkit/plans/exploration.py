@@ -67,11 +67,11 @@ class Explored:
 
 
 def explore_observations(raw: DataFrame, key: Key, test_fraction: float = 0.2) -> Explored:
-    """Cleaned rows are written once; the split, the shares and the features read that table."""
+    """Cleaned rows are written once; the split, the shares and the features read that table. The features are written too."""
     target = clean_target(wide_fields(raw, key))
     clean = written(with_row_key(clean_observations(target, EXPLORE_RULES), key))
     train, test = exact_split(clean, key, test_fraction)
-    features = observation_features(drop_columns(train, RULE_ONLY))
+    features = written(observation_features(drop_columns(train, RULE_ONLY)))
     imputer = GroupMeanImputer(GROUP_KEYS, IMPUTED).fit(features)
     scaler = imputer.imputed_scaler(STANDARDISED, ddof=0)
     return Explored(
@@ -85,13 +85,16 @@ def explore_observations(raw: DataFrame, key: Key, test_fraction: float = 0.2) -
 def compare_by_fold(
     train: DataFrame, key: Key = ROW_KEY, penalty: float = 1.0, k: int = 5, features: Sequence[str] = FEATURES
 ) -> DataFrame:
-    """``(model, fold, nrmse)`` of ridge with an absolute penalty and of the mean, each on every held-out fold."""
-    marked = folds(train, key, k)
+    """``(model, fold, nrmse)`` of ridge with an absolute penalty and of the mean, each on every held-out fold.
+
+    The rows are written once, and so are the few scores, as every reader of either would work out ``train`` again.
+    """
+    marked = written(folds(train, key, k).select("fold", *features, LABEL))
     naive = fold_naive_nrmse(marked, LABEL).select(F.lit("naive").alias("model"), "fold", "nrmse")
     ridge = fold_ridge_nrmse(marked, features, LABEL, penalty, absolute=True).select(
         F.lit("ridge").alias("model"), "fold", "nrmse"
     )
-    return ridge.unionByName(naive)
+    return written(ridge.unionByName(naive))
 
 
 def fold_spread(scores: DataFrame) -> DataFrame:

@@ -116,6 +116,20 @@ def test_exploration(spark, observation_folder, tmp_path):
     assert {r.column for r in found.missing.collect()} == set(exploration.SENTINELS)
 
 
+def test_fold_scores_read_the_rows_once(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    rows = spark.range(200).select(F.col("id").alias("obs_id"), *[(F.rand(i) * 9).alias(c) for i, c in enumerate((*plan.FEATURES, plan.LABEL))])
+    scores = exploration.compare_by_fold(rows.mapInArrow(count, rows.schema), "obs_id")
+    assert exploration.fold_spread(scores).count() == 2
+    assert seen.value == 200
+
+
 def test_a_run_is_written(spark, observation_folder, tmp_path):
     raw = read_folder(spark, observation_folder, ["obs_id", *plan.RAW_COLUMNS])
     prepared = plan.prepare_observations(raw, "obs_id").kept()
