@@ -4,8 +4,10 @@ A search over a grid boosts one sequence of trees for every setting and fold. Al
 so they grow together: the features are binned once, a block of rows keeps the running prediction of every
 sequence, and one aggregate a level sums residuals per (sequence, node, feature, bin). The job count is trees times
 levels, whatever the size of the grid. A setting that differs only in its number of trees is a look at a
-longer sequence half way. Rows of a bounded number go to the tasks whole, and the sequences are dealt to the tasks
-instead: a level's aggregate is then complete in its task, and the search is one job. The trees are the same.
+longer sequence half way. Up to a bounded number of rows, every task gets a copy of them by a shuffle, and the sequences are dealt
+to the tasks instead: a level's aggregate is then complete in its task, and the search is one job. There only the smaller
+child of a node is summed, its sibling being the rest, and features are joined into codes that are summed together. The trees
+are the same.
 
 The trees are those of Spark's ``GBTRegressor``: the first is fitted to the label, the others to twice the residual
 and added with the step size; a split has the largest drop in variance over the thresholds between bins. Rows
@@ -31,8 +33,10 @@ SAMPLE_ROWS = 10_000
 BLOCK_ROWS = 2_048
 # Nodes whose splits are chosen together: their histograms must fit a task.
 NODES_A_PART = 256
-# Up to so many rows, each a few bytes a feature, are sent to every task.
-SENT_ROWS = 100_000
+# Up to so many rows, each a byte a feature and 20 more, are copied to every task.
+SENT_ROWS = 4_000_000
+# Codes at most of features that are summed together.
+CODES = 512
 # Trees after which the running predictions are written, so that a lost executor replays no more than these.
 WRITTEN_EVERY = 10
 # Histogram entries that a task holds before equal ones are added up.
@@ -160,9 +164,17 @@ class Growth:
         s, row = np.nonzero((node >= 0) & (fold != own_fold[None, :]) & self.drawn(mark, tree, which))
         residual = y[row] if tree == 0 else 2 * (y[row] - f[which[s], row])
         residual = np.rint(residual * self.scale)
-        first = node[s, row].astype(np.int64) * (self.features * BINS)
-        size, found = (int(trees.open.max()) + 1) * self.features * BINS, []
-        if size <= 4 * self.features * len(row):
+        return self.listed(node[s, row], int(trees.open.max()) + 1, bins, row, residual)
+
+    def dense(self, nodes: int, rows: int) -> bool:
+        """Whether the places of so many nodes are few enough, by the rows in them, to be held all."""
+        return nodes * BINS <= 4 * rows
+
+    def listed(self, node: np.ndarray, nodes: int, bins: np.ndarray, row: np.ndarray, residual: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The same for the rows ``row`` of ``bins``, each in an open node."""
+        first = node.astype(np.int64) * (self.features * BINS)
+        size, found = nodes * self.features * BINS, []
+        if self.dense(nodes, len(row)):
             rows, total = np.zeros(size), np.zeros(size)
             for k in range(self.features):
                 at = first + k * BINS + bins[k, row]
@@ -313,29 +325,121 @@ def _errors(growth: Growth):
     return run
 
 
-def _whole(sent, growth: Growth, looks: Sequence[int]):
-    """Grow the sequences of a batch over all rows, and give their errors at each look."""
+class Bundles:
+    """Features joined, in their order, into codes of the combinations that occur, so that one sum serves several."""
+
+    def __init__(self, bins: np.ndarray):
+        self.bins, self.held = bins, []
+        code, size, own = np.zeros(bins.shape[1], np.int64), 1, []
+        for k in range(len(bins)):
+            together = code * BINS + bins[k]
+            seen = np.flatnonzero(np.bincount(together, minlength=size * BINS))
+            if own and len(seen) > CODES:
+                self._hold(own, code, size)
+                together, own = bins[k].astype(np.int64), []
+                seen = np.flatnonzero(np.bincount(together, minlength=BINS))
+            number = np.zeros(int(seen[-1]) + 1, np.int64)
+            number[seen] = np.arange(len(seen))
+            code, size, own = number[together], len(seen), [*own, k]
+        self._hold(own, code, size)
+
+    def _hold(self, features: list[int], code: np.ndarray, size: int) -> None:
+        spread = np.zeros((size, len(features), BINS))
+        for i, k in enumerate(features):
+            spread[code, i, self.bins[k]] = 1.0
+        self.held.append((features, code.astype(np.uint16), size, spread.reshape(size, -1)))
+
+    def sums(self, node: np.ndarray, nodes: int, row: np.ndarray, residual: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Rows and summed residuals by node, feature and bin. All are whole numbers, so that any order gives the same."""
+        rows, total = np.zeros((nodes, len(self.bins), BINS)), np.zeros((nodes, len(self.bins), BINS))
+        for features, code, size, spread in self.held:
+            if len(features) > 1 and nodes * size <= 4 * len(row):
+                at = node * size + code[row]
+                for out, weight in ((rows, None), (total, residual)):
+                    out[:, features] = (np.bincount(at, weight, nodes * size).reshape(nodes, size) @ spread).reshape(nodes, -1, BINS)
+                continue
+            for k in features:
+                at = node * BINS + self.bins[k, row]
+                for out, weight in ((rows, None), (total, residual)):
+                    out[:, k] = np.bincount(at, weight, nodes * BINS).reshape(nodes, BINS)
+        return rows, total
+
+
+def _tree(own: Growth, bundles: Bundles, row: np.ndarray, residual: np.ndarray) -> np.ndarray:
+    """A tree of the only sequence of ``own``, fitted to the scaled residuals of the rows ``row``: its value for each row of the table.
+
+    The sums of a node's smaller child are taken from the rows, those of the other one are the node's less these.
+    """
+    bins, trees, above = bundles.bins, own.started(), None
+    node, every = np.zeros(bins.shape[1], np.int64), np.arange(bins.shape[1])
+    values = bins.reshape(-1)
+    for level in range(own.sequences[0].depth):
+        owner, place, least = own.opened(trees)
+        if not len(place) or not len(row):
+            break
+        here, number = node[row], np.full(trees.open.shape[1], -1)
+        if own.dense(len(place), len(row)):
+            parent = (place - 1) // 2
+            parents, which = np.unique(parent, return_inverse=True)
+            if above is None:
+                wanted = place
+            else:
+                held = np.bincount(here, minlength=len(number))
+                wanted = 2 * parents + 1 + (held[2 * parents + 1] > held[2 * parents + 2])
+            number[wanted] = np.arange(len(wanted))
+            at = number[here]
+            inside = np.flatnonzero(at >= 0)
+            sums = bundles.sums(at[inside], len(wanted), row[inside], residual[inside])
+            if above is not None:
+                before, whole = above
+                first = np.searchsorted(before, parents)
+                smaller = (number[place] >= 0)[:, None, None]
+                sums = tuple(np.where(smaller, x[which], (w[first] - x)[which]) for x, w in zip(sums, whole))
+            order = np.argsort(place)
+            above = place[order], tuple(x[order] for x in sums)
+            rows, total = (x.ravel() for x in sums)
+            at = np.flatnonzero(rows)
+            entries = at, rows[at], total[at]
+        else:
+            number[place] = np.arange(len(place))
+            inside = np.flatnonzero(number[here] >= 0)
+            above, entries = None, own.listed(number[here[inside]], len(place), bins, row[inside], residual[inside])
+        own.split(trees, level, owner, place, own.best(*entries, least))
+        feature, place = trees.feature[0].astype(np.int64), np.arange(len(number))
+        split = feature >= 0
+        first, last, child = np.where(split, feature, 0) * len(every), np.where(split, trees.bin[0], BINS), np.where(split, 2 * place + 1, place)
+        node = child.take(node) + (values.take(first.take(node) + every) > last.take(node))
+    return trees.value[0, node]
+
+
+def _whole(growth: Growth, dealt: list[list[int]], looks: Sequence[int]):
+    """Grow the sequences dealt to a task over all rows, and give their errors at each look."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bins, y, fold, mark = sent.value
+        task, blocks = None, []
         for batch in batches:
-            numbers = batch["id"].to_numpy()
-            own = Growth([growth.sequences[s] for s in numbers], growth.features, growth.seed, growth.scale)
-            f = np.zeros((len(numbers), len(y)))
-            for tree in range(looks[-1]):
-                trees = own.started()
-                for level in range(max(q.depth for q in own.sequences)):
-                    owner, place, least = own.opened(trees)
-                    if not len(owner):
-                        break
-                    entries = own.entries(trees, level, tree, (bins, y, fold, mark, f))
-                    if not len(entries[0]):
-                        break
-                    own.split(trees, level, owner, place, own.best(*entries, least))
-                f = own.moved(trees, tree, bins, f)
-                if tree + 1 in looks:
-                    rows, total = own.errors((bins, y, fold, mark, f))
-                    yield pa.RecordBatch.from_pydict({"look": np.full(len(rows), tree + 1), "sequence": numbers, "rows": rows, "total": total})
+            for i in range(batch.num_rows):
+                task = batch["task"][i].as_py()
+                blocks.append([np.frombuffer(batch[name][i].as_buffer(), kind) for name, kind in (("bins", np.uint8), ("y", np.float64), ("fold", np.int32), ("mark", np.uint64))])
+        if task is None:
+            return
+        bins = np.concatenate([b[0].reshape(growth.features, -1) for b in blocks], axis=1)
+        y, fold, mark = (np.concatenate([b[k] for b in blocks]) for k in (1, 2, 3))
+        blocks.clear()
+        order = np.argsort(mark.view(np.int64), kind="stable")
+        y, fold, mark = y[order], fold[order], mark[order]
+        bundles = Bundles(bins[:, order])
+        own = [(s, Growth([growth.sequences[s]], growth.features, growth.seed, growth.scale), np.zeros(len(y))) for s in dealt[task]]
+        for tree in range(looks[-1]):
+            for s, one, f in own:
+                row = np.flatnonzero((fold != one.sequences[0].fold) & one.drawn(mark, tree, [0])[0])
+                residual = y[row] if tree == 0 else 2 * (y[row] - f[row])
+                value = _tree(one, bundles, row, np.rint(residual * one.scale))
+                f += (1.0 if tree == 0 else one.sequences[0].step) * value
+            if tree + 1 in looks:
+                for s, one, f in own:
+                    rows, total = one.errors((None, y, fold, mark, f[None, :]))
+                    yield pa.RecordBatch.from_pydict({"look": [tree + 1], "sequence": [s], "rows": rows, "total": total})
 
     return run
 
@@ -365,12 +469,6 @@ class Binned:
         # Sums of scaled residuals stay below 2 ** 52, so that they are exact.
         self.scale = 2.0 ** np.floor(52 - np.log2(self.count * 4 * max(1e-300, high - low, abs(low), abs(high))))
 
-    def together(self) -> tuple[np.ndarray, ...]:
-        """All rows, in the order of their marks: bins, label, fold and mark."""
-        table = self.rows.toArrow().sort_by("mark")
-        bins = [np.searchsorted(c, table[f"x{k}"].to_numpy(), "left") for k, c in enumerate(self.cuts)]
-        return np.array(bins, np.uint8).reshape(len(self.cuts), -1), table["y"].to_numpy(), table["fold"].to_numpy(), table["mark"].to_numpy().view(np.uint64)
-
 
 class Boosting:
     """All sequences over rows that are spread over the tasks, a tree at a time."""
@@ -441,15 +539,14 @@ def _looked(data: Binned, sequences: list[Sequence_], looks: list[int], seed: in
             state.close()
         return found
     spark = data.rows.sparkSession
-    sent = spark.sparkContext.broadcast(data.together())
     growth = Growth(sequences, len(data.cuts), seed, data.scale)
-    # Deep trees take longest, so they are dealt first, and the sequences of a task share its passes over the rows.
+    # Deep trees take longest, so they are dealt first.
     tasks = max(1, min(len(sequences), spark.sparkContext.defaultParallelism))
     order = sorted(range(len(sequences)), key=lambda s: -sequences[s].depth)
-    dealt = spark.createDataFrame([(k % tasks, s) for k, s in enumerate(order)], "task int, id long")
-    grown = dealt.repartitionById(tasks, "task").select("id").mapInArrow(_whole(sent, growth, looks), "look long, sequence long, rows long, total double")
+    blocks = data.rows.mapInArrow(_packed(data.cuts, 0), _STATE).drop("f")
+    copies = blocks.withColumn("task", F.explode(F.sequence(F.lit(0), F.lit(tasks - 1)))).repartitionById(tasks, "task")
+    grown = copies.mapInArrow(_whole(growth, [order[k::tasks] for k in range(tasks)], looks), "look long, sequence long, rows long, total double")
     held = grown.collect()  # a row for each sequence and look
-    sent.destroy()
     return {look: _rmse({r.sequence: (r.rows, r.total) for r in held if r.look == look}, len(sequences)) for look in looks}
 
 

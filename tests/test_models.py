@@ -219,6 +219,31 @@ def test_searched_trees_are_those_of_spark(twice, setting, sent_rows):
     assert found == pytest.approx(want, rel=1e-6)
 
 
+def test_sums_of_joined_features_and_of_siblings():
+    """Trees from sums of smaller children over joined features are those from the sums of all rows over each feature."""
+    rnd = np.random.default_rng(3)
+    bins = np.array([rnd.integers(0, n, 3000) for n in (9, 9, 32, 2, 32, 24)], np.uint8)
+    bins[1] = bins[0]
+    y, fold, mark = np.rint(rnd.normal(bins[2], 9)), rnd.integers(0, 3, 3000).astype(np.int32), rnd.integers(0, 1 << 62, 3000).astype(np.uint64)
+    one = boosting.Growth([boosting.Sequence_(8, 0.1, 0.8, 2, 1)], len(bins), 7, 2.0**20)
+    trees = one.started()
+    for level in range(8):
+        owner, place, least = one.opened(trees)
+        one.split(trees, level, owner, place, one.best(*one.entries(trees, level, 0, (bins, y, fold, mark, np.zeros((1, 3000)))), least))
+    row = np.flatnonzero((fold != 1) & one.drawn(mark, 0, [0])[0])
+    bundles = boosting.Bundles(bins)
+    assert [held[0] for held in bundles.held] == [[0, 1, 2], [3, 4], [5]]
+    found = boosting._tree(one, bundles, row, np.rint(y[row] * one.scale))
+    assert found.tolist() == one.moved(trees, 0, bins, np.zeros((1, 3000)))[0].tolist()
+
+
+def test_a_search_over_many_rows_is_one_job(spark, data, monkeypatch):
+    """Beyond 100,000 rows a level of a tree was a job."""
+    monkeypatch.setattr(boosting, "Boosting", None)
+    many = data.withColumn("copy", F.explode(F.sequence(F.lit(1), F.lit(100_001 // data.count() + 1)))).withColumn("fold", F.col("copy") % 2)
+    assert len(boosting.search(many, NAMES, "y", ["id", "copy"], {"maxDepth": (2,), "maxIter": (1, 2)}, 2)) == 2
+
+
 def test_search_does_not_depend_on_the_partitioning(data):
     marked = folds(data.withColumn("b", F.when(F.col("id") % 50 != 0, F.col("b"))), "id", 3)
     grid = {"maxDepth": (2, 4), "maxIter": (2, 12), "subsamplingRate": (0.7, 1.0)}
