@@ -12,10 +12,12 @@ import json
 import re
 from collections.abc import Iterator
 from hashlib import sha256
+from itertools import chain
 from unicodedata import category
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import ArrayType, IntegerType, StructType
 from tokenizers.pre_tokenizers import ByteLevel
@@ -24,6 +26,8 @@ from .automaton import Automaton
 
 # Words remembered per task before the memory is emptied.
 KNOWN_WORDS = 400_000
+# Texts are encoded together up to about this many bytes, as lists, ids and decoded texts take several times as much.
+TOGETHER_BYTES = 1_000_000
 
 # White space as the tokenizer's pattern sees it, and the endings split from words.
 _SPACE = "\t-\r \x85\xa0  -     　"
@@ -171,11 +175,19 @@ def vocabulary_path(path: str | None) -> str:
     return path
 
 
+def _bounded(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """Runs of rows whose texts, without the first, have fewer than ``TOGETHER_BYTES``."""
+    upto = np.cumsum(pc.fill_null(pc.binary_length(batch["text"]), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+    first = np.flatnonzero(np.diff(upto // TOGETHER_BYTES, prepend=-1))
+    for begin, end in zip(first, np.append(first[1:], batch.num_rows)):
+        yield batch.slice(begin, end - begin)
+
+
 def _encoded(path: str | None, id_type: pa.DataType, full: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(vocabulary_path(path))
         known = _Known(encoder)
-        for batch in batches:
+        for batch in chain.from_iterable(map(_bounded, batches)):
             count, ids, decoded = [], [], []
             for text in batch["text"]:
                 found = []

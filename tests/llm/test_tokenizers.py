@@ -4,9 +4,11 @@ import random
 from hashlib import sha256
 
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer, models, normalizers
 
+from tabkit.llm import bpe as bpe_module
 from tabkit.llm.bpe import Encoder, bpe_encode
 from tabkit.llm.unigram import SPACE, Counter, read_pieces, token_counts
 
@@ -76,3 +78,14 @@ def test_operators(docs, bpe):
     assert {(r.doc_id, r.n_tokens) for r in token_counts(docs).collect()} == {(i, len(library.encode(t).ids) if t else 0) for i, t in texts}
     for operator in (bpe_encode, token_counts):
         assert operator(docs.limit(0)).count() == 0
+
+
+def test_texts_are_encoded_in_bounded_runs(monkeypatch):
+    monkeypatch.setattr(bpe_module, "TOGETHER_BYTES", 100)
+    texts = ["a b " * 20, None, "", "c" * 30, "d" * 500, None, "e f"] * 3
+    batch = pa.RecordBatch.from_pydict({"id": pa.array(range(len(texts)), pa.int64()), "text": pa.array(texts, pa.string())})
+    out = list(bpe_module._encoded(None, pa.int64(), True)(iter([batch, batch.slice(0, 0), batch.slice(3, 2)])))
+    assert max(sum(len(text) for text in b["decoded"].to_pylist()[1:]) for b in out) < 100
+    rows = [r for b in out for r in b.to_pylist()]
+    assert [(r["id"], r["decoded"]) for r in rows] == [(i, t or "") for i, t in [*enumerate(texts), *list(enumerate(texts))[3:5]]]
+    assert all(len(r["ids"]) == r["n_tokens"] for r in rows)
