@@ -12,7 +12,8 @@ that what many documents share comes last.
 Before that, equal sets become one node, and a node is left out when fewer of its first shingles than
 the bound demands occur in any other node: an exact test at a tenth of ``n``, in hash order, that most
 texts without a partner fail. Then the lists of single shingles are closed as far as possible: every node is
-compared with a leader of its lists, round by round, and a list whose members are all connected needs nothing more.
+compared with a leader of its lists, round by round, and a list whose members are all connected needs nothing more. The
+rounds go on while they close much of what is open, so that few pairs of a large group are left to compare.
 A subset's list is part of the lists of its shingles, so only shingles whose lists are still open are
 enumerated or scanned. Members of such lists that are in different components are compared in full, a pair once, at its
 first common key; long lists are cut into blocks and compared pair of blocks by pair of blocks. So no link between
@@ -38,7 +39,9 @@ POSTINGS_A_BUCKET = 2_000_000
 _PARTS = 16
 # An enumerated subset is a row that is written and shuffled, a scanned list entry is only counted.
 ROW_COST = 10
+# Rounds of comparing with leaders: so many at least and at most, and in between as long as a round closes a tenth of what is open.
 LEADER_ROUNDS = 3
+MOST_ROUNDS = 12
 # Leaders that a node is compared with in a round after the first.
 LEADERS = 16
 # Least number of buckets, so that a node's credits come from as many of them in a small table as in a large one.
@@ -351,6 +354,13 @@ def _open_lists(rows: DataFrame, round_: int) -> DataFrame:
     return written(lists.filter("low != high").select("key", "entries", "leader.*"))
 
 
+def _open_work(rooted: DataFrame, lists: DataFrame) -> tuple[int, int]:
+    """Pairs of members of different components in the open lists, and members."""
+    held = rooted.join(lists.select("key"), "key").groupBy("key", "root").agg(F.count("*").alias("n"))
+    each = held.groupBy("key").agg(F.sum("n").alias("n"), F.sum(F.col("n") * F.col("n")).alias("inside"))
+    return each.agg(F.sum((F.col("n") * F.col("n") - F.col("inside")) / 2), F.sum("n")).first()
+
+
 def _joined(roots: DataFrame | None, found: DataFrame) -> DataFrame:
     """``roots`` with the links ``found`` (a, b) between nodes added."""
     if roots is None:
@@ -366,8 +376,8 @@ def _joined(roots: DataFrame | None, found: DataFrame) -> DataFrame:
 
 def _connected(sets: DataFrame, percent: int) -> DataFrame | None:
     """(node, root) of the nodes that are linked with another, None if none is."""
-    roots, rows = None, _entries(sets, percent)
-    for round_ in range(LEADER_ROUNDS + 1):
+    roots, rows, before = None, _entries(sets, percent), None
+    for round_ in range(MOST_ROUNDS + 1):
         if roots is None:
             rooted = rows.withColumn("root", F.col("node"))
         else:
@@ -378,9 +388,13 @@ def _connected(sets: DataFrame, percent: int) -> DataFrame | None:
         if round_ == 1:  # by now most lists are closed, and they stay so
             rows = written(rows.join(lists.select("key"), "key"))
             rooted = rows.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-        if round_ < LEADER_ROUNDS:
-            found = _leader_pairs(rooted.drop("unique", "at"), lists.drop("entries"), LEADERS if round_ else 1, percent)
-            roots = _joined(roots, written(_linked(found, sets, percent)))
+        if round_ >= LEADER_ROUNDS:
+            pairs, members = _open_work(rooted, lists)
+            if pairs <= members or round_ == MOST_ROUNDS or (before is not None and pairs > 0.9 * before):
+                break
+            before = pairs
+        found = _leader_pairs(rooted.drop("unique", "at"), lists.drop("entries"), LEADERS if round_ else 1, percent)
+        roots = _joined(roots, written(_linked(found, sets, percent)))
     opened = F.sort_array(F.collect_list(F.struct("at", "key", "entries"))).alias("open")
     left = rooted.join(lists.select("key", "entries"), "key").groupBy("node", "n", "unique", "root").agg(opened)
     return _joined(roots, written(_linked(_open_pairs(written(left), percent), sets, percent)))
