@@ -183,7 +183,7 @@ def _bounded(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         yield batch.slice(begin, end - begin)
 
 
-def _encoded(path: str | None, id_type: pa.DataType, full: bool):
+def _encoded(path: str | None, id_type: pa.DataType, full: bool, decode: bool = True):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(vocabulary_path(path))
         known = _Known(encoder)
@@ -198,25 +198,29 @@ def _encoded(path: str | None, id_type: pa.DataType, full: bool):
                         found.append((str(special), 1, encoder.bytes[special]))
                 count.append(sum([f[1] for f in found]))
                 ids.append(",".join([f[0] for f in found]))
-                decoded.append(b"".join([f[2] for f in found]).decode("utf-8", "replace"))
+                if decode:
+                    decoded.append(b"".join([f[2] for f in found]).decode("utf-8", "replace"))
             out = {"id": batch["id"].cast(id_type), "n_tokens": pa.array(count, pa.int64())}
             if full:
                 numbers = np.fromstring(",".join([i for i in ids if i]), np.int32, sep=",") if any(count) else np.zeros(0, np.int32)
                 places = pa.array(np.cumsum([0, *count]), pa.int32())
-                out |= {"ids": pa.ListArray.from_arrays(places, pa.array(numbers)), "decoded": pa.array(decoded, pa.string())}
+                out["ids"] = pa.ListArray.from_arrays(places, pa.array(numbers))
+                if decode:
+                    out["decoded"] = pa.array(decoded, pa.string())
             else:
                 out["ids_sha256"] = pa.array([sha256(i.encode()).hexdigest() for i in ids], pa.string())
-                out["decoded_sha256"] = pa.array([sha256(d.encode()).hexdigest() for d in decoded], pa.string())
+                if decode:
+                    out["decoded_sha256"] = pa.array([sha256(d.encode()).hexdigest() for d in decoded], pa.string())
             yield pa.RecordBatch.from_pydict(out)
 
     return run
 
 
-def bpe_encode(docs: DataFrame, id: str = "doc_id", text: str = "text", path: str | None = None, digests: bool = False) -> DataFrame:
+def bpe_encode(docs: DataFrame, id: str = "doc_id", text: str = "text", path: str | None = None, digests: bool = False, decode: bool = True) -> DataFrame:
     """Encode and decode every text: ``id``, ``n_tokens``, ``ids`` and ``decoded``.
 
     With ``digests`` the last two are replaced by ``ids_sha256``, of the decimal ids joined by commas, and
-    ``decoded_sha256``, of the decoded text in UTF-8. ``path`` names a byte-level vocabulary file that every
+    ``decoded_sha256``, of the decoded text in UTF-8. Without ``decode`` the last is left out. ``path`` names a byte-level vocabulary file that every
     machine can read; special tokens in a text get their own ids.
 
     A null text is an empty one: no tokens, an empty text. One row comes out per row, repeated or not, with
@@ -226,9 +230,8 @@ def bpe_encode(docs: DataFrame, id: str = "doc_id", text: str = "text", path: st
 
     kind = docs.schema[id].dataType
     schema = StructType().add("id", kind).add("n_tokens", "long")
-    if digests:
-        schema = schema.add("ids_sha256", "string").add("decoded_sha256", "string")
-    else:
-        schema = schema.add("ids", ArrayType(IntegerType())).add("decoded", "string")
+    schema = schema.add("ids_sha256", "string") if digests else schema.add("ids", ArrayType(IntegerType()))
+    if decode:
+        schema = schema.add("decoded_sha256" if digests else "decoded", "string")
     rows = docs.select(F.col(id).alias("id"), F.col(text).alias("text"))
-    return rows.mapInArrow(_encoded(path, to_arrow_type(kind), not digests), schema).withColumnRenamed("id", id)
+    return rows.mapInArrow(_encoded(path, to_arrow_type(kind), not digests, decode), schema).withColumnRenamed("id", id)

@@ -1,6 +1,8 @@
 """The registered queries against their SQL, and the pipeline against its parts by brute force."""
 
+import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__
 import corpus_pipeline
@@ -85,3 +87,23 @@ def test_language_share(spark, monkeypatch, above):
     docs = spark.createDataFrame([(1, text, "en", "a", len(text))], "doc_id long, text string, lang string, source string, n_chars long")
     kept = corpus_pipeline.language(spark, docs, "")
     assert kept.count() == int(share >= corpus_pipeline.LEAST_SCORE) == int(above)
+
+
+def test_encoder_gets_few_rows_at_a_time(spark, monkeypatch):
+    """The stage alone sends small batches and no decoded texts; the session keeps its own setting."""
+    from tabkit.llm import bpe
+
+    def counted(*args):
+        def run(batches):
+            for batch in batches:
+                yield pa.RecordBatch.from_pydict({"id": batch["id"], "n_tokens": [batch.num_rows] * batch.num_rows, "ids": [[]] * batch.num_rows}, schema=schema)
+
+        schema = pa.schema([("id", pa.int64()), ("n_tokens", pa.int64()), ("ids", pa.list_(pa.int32()))])
+        return run
+
+    monkeypatch.setattr(bpe, "_encoded", counted)
+    before = spark.conf.get(corpus_pipeline.BATCH_ROWS)
+    docs = spark.range(2000).select(F.col("id").alias("doc_id"), F.lit("a").alias("text")).coalesce(1)
+    rows = corpus_pipeline.encode(spark, docs, "").collect()
+    assert len(rows) == 2000 and max(r.n_tokens for r in rows) <= corpus_pipeline.ENCODED_ROWS
+    assert spark.conf.get(corpus_pipeline.BATCH_ROWS) == before

@@ -89,3 +89,11 @@ def test_texts_are_encoded_in_bounded_runs(monkeypatch):
     rows = [r for b in out for r in b.to_pylist()]
     assert [(r["id"], r["decoded"]) for r in rows] == [(i, t or "") for i, t in [*enumerate(texts), *list(enumerate(texts))[3:5]]]
     assert all(len(r["ids"]) == r["n_tokens"] for r in rows)
+
+
+def test_ids_without_decoding(docs):
+    out = bpe_encode(docs, decode=False)
+    assert out.columns == ["doc_id", "n_tokens", "ids"]
+    key = lambda r: (r.doc_id is None, r.doc_id, r.n_tokens, r.ids)
+    assert sorted(map(key, out.collect()), key=str) == sorted(map(key, bpe_encode(docs).collect()), key=str)
+    assert bpe_encode(docs, digests=True, decode=False).columns == ["doc_id", "n_tokens", "ids_sha256"]
