@@ -15,9 +15,11 @@ texts without a partner fail. Then the lists of single shingles are closed as fa
 compared with a leader of its lists, round by round, and a list whose members are all connected needs nothing more. The
 rounds go on while they close much of what is open, so that few pairs of a large group are left to compare.
 A subset's list is part of the lists of its shingles, so only shingles whose lists are still open are
-enumerated or scanned. Members of such lists that are in different components are compared in full, a pair once, at its
-first common key; long lists are cut into blocks and compared pair of blocks by pair of blocks. So no link between
-different components is lost, and no list is expanded into all its pairs.
+enumerated or scanned, and of these only keys after which enough is left of the set for the smallest member of the list. Members of
+such lists that are in different components are compared in full, a pair once, at its first common key, unless the bitmaps of their sets
+differ in more bits than linked sets in shingles; long lists are cut into blocks and compared pair of blocks by pair of blocks.
+Where many pairs are open, nodes are first compared within parts of a hash of theirs only, which connects most of what
+has links at all. So no link between different components is lost, and no list is expanded into all its pairs.
 """
 
 from __future__ import annotations
@@ -48,6 +50,10 @@ LEADERS = 16
 LEAST_BUCKETS = 32
 # Members of an open list that one task compares with as many others.
 BLOCK_MEMBERS = 512
+# With more open pairs than so many times the members of lists, members are first compared within so many parts.
+SAMPLE_PARTS = 8
+# 64-bit words of the bitmap of a set. The generated code of the join grows with them; from 16 on the JVM no longer compiles it.
+BITMAP_WORDS = 8
 _SUFFIX_BYTES = 5
 
 
@@ -188,6 +194,12 @@ def _shared(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> It
     yield pa.RecordBatch.from_pydict({"mark": marks.view(np.int64), "credits": credits})
 
 
+def _bitmap(tokens: np.ndarray) -> np.ndarray:
+    """For each bit whether an odd number of shingles falls on it: two sets differ in as many shingles at least as their bitmaps in bits."""
+    odd = np.bincount((mixed(tokens) % np.uint64(64 * BITMAP_WORDS)).astype(np.int64), minlength=64 * BITMAP_WORDS) % 2
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
 def _token_sets(width: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -196,6 +208,7 @@ def _token_sets(width: int):
                 {
                     "node": pa.array([_node(t).tobytes() for t in found], pa.binary()),
                     "n": pa.array([len(t) for t in found], pa.int64()),
+                    "bits": pa.array([_bitmap(t) for t in found], pa.list_(pa.int64())),
                     "tokens": pa.array([t.view(np.int64) for t in found], pa.list_(pa.int64())),
                 }
             )
@@ -247,6 +260,7 @@ def _keys(percent: int, boundary: int, schema: pa.Schema):
 
     ``reach`` is how many shingles a set can share with another whose first common key this is, ``before`` how many open
     shingles come before the key's last one, ``common`` how many of them belong to the key, and ``entries`` how long its list is at most.
+    A key whose ``reach`` is too short for the smallest member of its list is left out.
     """
 
     def light(n: int) -> bool:
@@ -263,21 +277,25 @@ def _keys(percent: int, boundary: int, schema: pa.Schema):
 
             opened = batch["open"]
             values, bounds = opened.flatten(), np.append(0, np.cumsum(opened.value_lengths().to_numpy()))
-            tokens, at, entries = (values.field(name).to_numpy() for name in ("key", "at", "entries"))
+            tokens, at, entries, least = (values.field(name).to_numpy() for name in ("key", "at", "entries", "least"))
             for row, (n, unique) in enumerate(zip(batch["n"].to_pylist(), batch["unique"].to_pylist())):
                 cut = slice(bounds[row], bounds[row + 1])
-                own, place, held = tokens[cut].view(np.uint64), unique + at[cut], entries[cut]
+                own, place, held, smallest = tokens[cut].view(np.uint64), unique + at[cut], entries[cut], least[cut]
                 if light(n):
                     first, second = np.triu_indices(len(own), 1)
+                    reach = n - place[second] + 1
+                    may = reach * (100 + percent) >= (n + np.maximum(smallest[first], smallest[second])) * percent
+                    first, second, reach = first[may], second[may], reach[may]
                     key = mixed(mixed(own[first]) + own[second])
-                    add(row, key=key, reach=n - place[second] + 1, common=np.ones(len(key)), entries=np.minimum(held[first], held[second]), before=second)
+                    add(row, key=key, reach=reach, common=np.ones(len(key)), entries=np.minimum(held[first], held[second]), before=second)
                 if not light(n) or n * 100 > percent * boundary or _needed(-(-percent * n // 100), percent) < 2:
-                    head = place < n - _needed(n, percent) + 1
-                    add(row, key=own[head], reach=n - place[head], common=np.zeros(head.sum()), entries=held[head], before=np.arange(head.sum()))
+                    may = (place < n - _needed(n, percent) + 1) & ((n - place) * (100 + percent) >= (n + smallest) * percent)
+                    before = np.flatnonzero(may)
+                    add(row, key=own[may], reach=n - place[may], common=np.zeros(len(before)), entries=held[may], before=before)
             found = {name: np.concatenate(x) if x else np.zeros(0, np.int64) for name, x in numbers.items()}
             row = pa.array(found.pop("row"))
             lists = pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(tokens))
-            out = found | {"open": lists.take(row)} | {name: batch[name].take(row) for name in ("node", "n", "root")}
+            out = found | {"open": lists.take(row)} | {name: batch[name].take(row) for name in ("node", "n", "root", "bits")}
             yield pa.RecordBatch.from_pydict(out, schema=schema)
 
     return run
@@ -289,6 +307,12 @@ def _possible(percent: int):
     return (smaller * 100 >= larger * percent) & (F.least("a_reach", "b_reach") * (100 + percent) >= (F.col("a_n") + F.col("b_n")) * percent)
 
 
+def _alike(percent: int):
+    """Whether the bitmaps of two sets differ in no more bits than linked sets of their sizes may differ in shingles."""
+    differ = sum((F.bit_count(F.col("a_bits")[i].bitwiseXOR(F.col("b_bits")[i])) for i in range(BITMAP_WORDS)), F.lit(0))
+    return differ * (100 + percent) <= (F.col("a_n") + F.col("b_n")) * (100 - percent)
+
+
 def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) that reach the threshold, by the sizes of their sets and intersection."""
 
@@ -307,10 +331,11 @@ def _side(df: DataFrame, s: str) -> DataFrame:
     return df.select(*[F.col(c) if c == "key" else F.col(c).alias(s if c == "node" else f"{s}_{c}") for c in df.columns])
 
 
-def _open_pairs(left: DataFrame, percent: int) -> DataFrame:
+def _open_pairs(left: DataFrame, percent: int, parts: int = 1) -> DataFrame:
     """All pairs that may still bring a link between two components, each at its first common key only.
 
-    A list of many members is dealt to blocks, and every pair of blocks is a group of its own.
+    A list of many members is dealt to blocks, and every pair of blocks is a group of its own. With several ``parts`` only
+    the pairs whose nodes are in the same part.
     """
     from pyspark.sql.pandas.types import to_arrow_schema
 
@@ -318,15 +343,16 @@ def _open_pairs(left: DataFrame, percent: int) -> DataFrame:
     schema = StructType().add("key", "long").add("node", kind).add("n", "long").add("root", kind)
     for name in ("reach", "common", "entries", "before"):
         schema = schema.add(name, "long")
-    schema = schema.add("open", ArrayType(LongType()))
+    schema = schema.add("open", ArrayType(LongType())).add("bits", ArrayType(LongType()))
     keys = left.mapInArrow(_keys(percent, _boundary(left, percent), to_arrow_schema(schema)), schema)
-    blocks = F.ceil(F.col("entries") / BLOCK_MEMBERS)
-    members = keys.withColumn("block", F.pmod(F.xxhash64("node"), blocks))
+    blocks = F.ceil(F.col("entries") / (BLOCK_MEMBERS * parts))
+    members = keys.withColumn("block", F.pmod(F.xxhash64("node"), blocks)).withColumn("part", F.pmod(F.xxhash64("node", F.lit("part")), F.lit(parts)))
     cells = members.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)))
     low, high = F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high")
-    cells = cells.select("key", low, high, "node", "n", "reach", "root", "common", "block", "before", "open")
-    a, b = (cells.select("key", "low", "high", *[F.col(c).alias(s if c == "node" else f"{s}_{c}") for c in cells.columns[3:]]) for s in "ab")
-    met = a.join(b, ["key", "low", "high"]).filter("a < b and a_root != b_root and (low = high or a_block != b_block)").filter(_possible(percent))
+    cells = cells.select("key", "part", low, high, "node", "n", "reach", "root", "common", "block", "before", "open", "bits")
+    cell = cells.columns[:4]
+    a, b = (cells.select(*cell, *[F.col(c).alias(s if c == "node" else f"{s}_{c}") for c in cells.columns[4:]]) for s in "ab")
+    met = a.join(b, cell).filter("a < b and a_root != b_root and (low = high or a_block != b_block)").filter(_possible(percent) & _alike(percent))
     ahead = [F.slice(f"{s}_open", F.lit(1), F.col(f"{s}_before").cast("int")) for s in "ab"]
     first = (F.col("a_common") == F.col("b_common")) & (F.size(F.array_intersect(*ahead)) == F.col("a_common"))
     # What two sets share is in both prefixes, where it is open, or behind the prefix that ends first.
@@ -350,8 +376,8 @@ def _open_lists(rows: DataFrame, round_: int) -> DataFrame:
     """
     order = F.xxhash64("node", "key", F.lit(round_)) if round_ else F.xxhash64("node")
     leader = F.min_by(F.struct("node", "n", "reach", "root"), order).alias("leader")
-    lists = rows.groupBy("key").agg(F.count("*").alias("entries"), F.min("root").alias("low"), F.max("root").alias("high"), leader)
-    return written(lists.filter("low != high").select("key", "entries", "leader.*"))
+    lists = rows.groupBy("key").agg(F.count("*").alias("entries"), F.min("n").alias("least"), F.min("root").alias("low"), F.max("root").alias("high"), leader)
+    return written(lists.filter("low != high").select("key", "entries", "least", "leader.*"))
 
 
 def _open_work(rooted: DataFrame, lists: DataFrame) -> tuple[int, int]:
@@ -393,11 +419,17 @@ def _connected(sets: DataFrame, percent: int) -> DataFrame | None:
             if pairs <= members or round_ == MOST_ROUNDS or (before is not None and pairs > 0.9 * before):
                 break
             before = pairs
-        found = _leader_pairs(rooted.drop("unique", "at"), lists.drop("entries"), LEADERS if round_ else 1, percent)
+        found = _leader_pairs(rooted.drop("unique", "at"), lists.drop("entries", "least"), LEADERS if round_ else 1, percent)
         roots = _joined(roots, written(_linked(found, sets, percent)))
-    opened = F.sort_array(F.collect_list(F.struct("at", "key", "entries"))).alias("open")
-    left = rooted.join(lists.select("key", "entries"), "key").groupBy("node", "n", "unique", "root").agg(opened)
-    return _joined(roots, written(_linked(_open_pairs(written(left), percent), sets, percent)))
+    opened = F.sort_array(F.collect_list(F.struct("at", "key", "entries", "least"))).alias("open")
+    for parts in (SAMPLE_PARTS, 1) if pairs > SAMPLE_PARTS * members else (1,):
+        left = rooted.join(lists.select("key", "entries", "least"), "key").groupBy("node", "n", "unique", "root").agg(opened)
+        left = written(left.join(sets.select("node", "bits"), "node"))
+        roots = _joined(roots, written(_linked(_open_pairs(left, percent, parts), sets, percent)))
+        if parts > 1:
+            rooted = rows.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+            lists = _open_lists(rooted, round_)
+    return roots
 
 
 def jaccard_join(
@@ -436,12 +468,13 @@ def jaccard_join(
     few = wanted.distinct()
     few = F.broadcast(few) if fits_broadcast(wanted.count(), 1) else few
     texts = rows.select("text", "key").join(few, "key", "left_semi")
-    raw = texts.mapInArrow(_token_sets(width), "node binary, n long, tokens array<long>")
-    raw = written(raw.groupBy("node").agg(F.first("n").alias("n"), F.first("tokens").alias("tokens")))
+    raw = texts.mapInArrow(_token_sets(width), "node binary, n long, bits array<long>, tokens array<long>")
+    raw = written(raw.groupBy("node").agg(*[F.first(c).alias(c) for c in ("n", "bits", "tokens")]))
     single = raw.select("node", "n", F.explode("tokens").alias("token"))
     counts = single.groupBy("token").agg(F.count("*").alias("held")).filter("held > 1")
     ranked = single.join(counts, "token").groupBy("node", "n").agg(F.sort_array(F.collect_list(F.struct("held", "token"))).alias("t"))
-    sets = written(ranked.select("node", "n", (F.col("n") - F.size("t")).alias("unique"), F.col("t.token").alias("tokens")))
+    ranked = ranked.select("node", "n", (F.col("n") - F.size("t")).alias("unique"), F.col("t.token").alias("tokens"))
+    sets = written(ranked.join(raw.select("node", "bits"), "node"))
     roots = _connected(sets, percent)
     classes = found.filter("n > 0").groupBy("node").agg(F.min("id").alias("least"))
     if roots is None:

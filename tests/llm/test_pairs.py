@@ -95,6 +95,42 @@ def test_other_thresholds(spark, monkeypatch, percent):
     assert result(df, percent) == grouped(rows, percent)
 
 
+def test_few_pairs_of_a_large_group(spark, monkeypatch):
+    """Near copies next to the threshold: few pairs are compared last, and none of those that are links is lost."""
+    seen, rnd, open_pairs = [], random.Random(3), join._open_pairs
+
+    def counted(*args, **kwargs):
+        pairs = open_pairs(*args, **kwargs)
+        seen.append(pairs.count())
+        return pairs
+
+    monkeypatch.setattr(join, "_open_pairs", counted)
+    monkeypatch.setattr(join, "LEADER_ROUNDS", 1)
+    monkeypatch.setattr(join, "MOST_ROUNDS", 1)
+    base, rows = [f"w{i}" for i in range(150)], []
+    for k in range(300):
+        text = list(base)
+        for at in rnd.sample(range(150), rnd.choice((1, 2, 3, 4, 5))):
+            text[at] = f"e{rnd.randint(0, 10**9)}"
+        rows.append((k, " ".join(text)))
+    expected = grouped(rows)
+    assert result(spark.createDataFrame(rows, "doc_id long, text string")) == expected
+    apart = len({least for _, _, least in expected})
+    assert apart > 100 and len(seen) == 2 and sum(seen) < 30 * len(rows), (apart, seen)
+
+
+def test_bitmaps_differ_no_more_than_sets():
+    import numpy as np
+
+    rnd = np.random.default_rng(1)
+    for n in (1, 40, 300, 3000):
+        tokens = rnd.integers(0, 2**64, 2 * n, dtype=np.uint64)
+        for cut in (0, 1, n // 10, n):
+            a, b = join._bitmap(tokens[:n]), join._bitmap(tokens[cut : cut + n])
+            assert len(a) == join.BITMAP_WORDS
+            assert np.unpackbits((a ^ b).view(np.uint8)).sum() <= 2 * cut and ((a == b).all() or cut)
+
+
 def test_demands_are_covered():
     """What a set sends holds as many shared shingles as the larger demand, for all linked sizes."""
     for percent in (25, 30, 50, 67, 80, 90, 95, 99, 100):
