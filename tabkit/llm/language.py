@@ -8,11 +8,13 @@ word by word, many texts at a time.
 
 from __future__ import annotations
 
+from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import ArrayType, StructType
@@ -28,7 +30,10 @@ SWITCH_PENALTY = 20.0
 # What a word costs in a language that is not written in its script.
 FOREIGN_SCRIPT = 50.0
 SCRIPT_SHARE = 0.01
-TEXTS_CHARS = 2_000_000
+# Rows are labelled together up to about this many bytes of text. Of these so many characters are read at a time, as the arrays
+# of their letters take a hundred times as much; only the scores of words are kept.
+TEXTS_BYTES = 1_000_000
+READ_CHARS = 100_000
 
 # First and last code points of scripts; all other letters form one more script.
 SCRIPTS = (
@@ -160,19 +165,38 @@ def viterbi(scores: np.ndarray, first: np.ndarray, penalty: float) -> np.ndarray
     return out
 
 
+def _bounded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Runs of rows whose texts, without the first, have fewer than ``TEXTS_BYTES``; a batch without rows stays one."""
+    for batch in batches:
+        upto = np.cumsum(pc.fill_null(pc.binary_length(batch["text"]), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+        first = np.flatnonzero(np.diff(upto // TEXTS_BYTES, prepend=-1)) if len(upto) else np.zeros(1, np.int64)
+        for begin, end in zip(first, np.append(first[1:], batch.num_rows)):
+            yield batch.slice(begin, end - begin)
+
+
 def _groups(texts: list[str]) -> Iterator[tuple[int, list[str]]]:
     at = size = 0
     for k, text in enumerate(texts):
         size += len(text)
-        if size > TEXTS_CHARS or k == len(texts) - 1:
+        if size > READ_CHARS or k == len(texts) - 1:
             yield at, texts[at : k + 1]
             at, size = k + 1, 0
 
 
+def _added(counts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """Sums of counts by bucket."""
+    bucket, count = map(np.concatenate, zip(*counts))
+    found, at = np.unique(bucket, return_inverse=True)
+    total = np.zeros(len(found), np.int64)
+    np.add.at(total, at, count)
+    return found, total
+
+
 def _counts(scripts: np.ndarray):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _bounded(batches):
             texts, langs = [t or "" for t in batch["text"].to_pylist()], np.array(batch["lang"].to_pylist(), object)
+            counts = defaultdict(list)
             for at, group in _groups(texts):
                 read_ = read(group, scripts)
                 letters = np.diff(np.append(read_.begin, len(read_.buckets))) if len(read_.begin) else np.zeros(0, np.int64)
@@ -181,8 +205,10 @@ def _counts(scripts: np.ndarray):
                     mine = lang == name
                     # Scripts are counted in places behind the buckets.
                     held = np.concatenate((read_.buckets[mine], BUCKETS + read_.script[mine].astype(np.int64)))
-                    bucket, count = np.unique(held, return_counts=True)
-                    yield pa.RecordBatch.from_pydict({"lang": [name] * len(bucket), "bucket": bucket, "count": count})
+                    counts[name].append(np.unique(held, return_counts=True))
+            for name, found in counts.items():
+                bucket, count = _added(found)
+                yield pa.RecordBatch.from_pydict({"lang": [name] * len(bucket), "bucket": bucket, "count": count})
 
     return run
 
@@ -210,25 +236,31 @@ def train(docs: DataFrame, text: str = "text", lang: str = "lang", id: str = "do
 def _labelled(model, scripts, penalty: float, schema: pa.Schema):
     def rows_of(texts: list[str]) -> Iterator[tuple]:
         held, table = Model(*model.value), scripts.value
+        if not held.langs:
+            yield from ((UNKNOWN, 0.0, []) for _ in texts)
+            return
+        parts = []
         for _, group in _groups(texts):
             words = read(group, table)
-            if held.langs:
-                labels = viterbi(held.word_scores(words), words.first, penalty)
-            for d in range(len(group)):
-                at = slice(words.first[d], words.first[d + 1])
-                if not held.langs or words.first[d] == words.first[d + 1]:
-                    yield UNKNOWN, 0.0, []
-                    continue
-                label, start, end = labels[at], words.start[at], words.end[at]
-                letters = np.bincount(label, end - start, len(held.langs))
-                best = int(letters.argmax())
-                new = np.flatnonzero(np.concatenate(([True], label[1:] != label[:-1])))
-                last = np.append(new[1:], len(label)) - 1
-                spans = [{"lang": held.langs[label[a]], "start": int(start[a]), "end": int(end[b])} for a, b in zip(new, last)]
-                yield held.langs[best], float(letters[best] / letters.sum()), spans
+            parts.append((held.word_scores(words), words.start, words.end, np.diff(words.first)))
+        scores, starts, ends, count = map(np.concatenate, zip(*parts))
+        first = np.concatenate(([0], np.cumsum(count)))
+        labels = viterbi(scores, first, penalty)
+        for d in range(len(texts)):
+            at = slice(first[d], first[d + 1])
+            if first[d] == first[d + 1]:
+                yield UNKNOWN, 0.0, []
+                continue
+            label, start, end = labels[at], starts[at], ends[at]
+            letters = np.bincount(label, end - start, len(held.langs))
+            best = int(letters.argmax())
+            new = np.flatnonzero(np.concatenate(([True], label[1:] != label[:-1])))
+            last = np.append(new[1:], len(label)) - 1
+            spans = [{"lang": held.langs[label[a]], "start": int(start[a]), "end": int(end[b])} for a, b in zip(new, last)]
+            yield held.langs[best], float(letters[best] / letters.sum()), spans
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _bounded(batches):
             texts = [t or "" for t in batch["text"].to_pylist()]
             found = list(rows_of(texts)) if texts else []
             out = {"lang_pred": [f[0] for f in found], "score": [f[1] for f in found], "spans": [f[2] for f in found]}

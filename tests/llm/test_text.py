@@ -4,9 +4,12 @@ import hashlib
 import itertools
 import re
 import timeit
+import tracemalloc
 from html.parser import HTMLParser
+from types import SimpleNamespace
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -48,6 +51,34 @@ def test_language_rare(spark):
     assert language.predict(model, df).filter("doc_id >= 4000 and lang_pred = 'de'").count() == 5
 
 
+def test_language_memory(spark):
+    """A batch is read in parts: memory stays far below what the letters of all its texts take, with the same results."""
+    rng, words = np.random.default_rng(5), {"en": "the and of in that with", "de": "der die und nicht mit ein"}
+    langs = [("en", "de")[k % 2] for k in range(3000)]
+    texts = [" ".join(rng.choice(words[x].split(), 250)) + (" " + words["de"]) * 9 * (k % 7 == 0) if k % 50 else None for k, x in enumerate(langs)]
+    batch = pa.RecordBatch.from_pydict({"text": pa.array(texts, pa.string()), "lang": langs, "c0": range(3000)})
+    scripts, added = language.letter_scripts(), [("lang_pred", pa.string()), ("score", pa.float64()), ("spans", pa.list_(pa.struct([("lang", pa.string()), ("start", pa.int64()), ("end", pa.int64())])))]
+    model = language.train(spark.createDataFrame([(k, t, x) for k, (x, t) in enumerate(words.items())], "doc_id long, text string, lang string"))
+    sent = SimpleNamespace(value=(model.langs, model.weights, model.written_in))
+    label = language._labelled(sent, SimpleNamespace(value=scripts), 5.0, pa.schema([("c0", pa.int64()), *added]))
+    found = {}
+    for name, run in (("counts", language._counts(scripts)), ("labels", label)):
+        tracemalloc.start()
+        found[name] = list(run(iter([batch])))
+        peak = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        assert peak < 60e6, (name, peak)
+        assert sum(b.num_rows for b in run(iter([batch.slice(0, 0)]))) == 0
+    rows = [r for b in found["labels"] for r in b.to_pylist()]
+    assert rows == [r for k in range(0, 3000, 100) for b in label(iter([batch.slice(k, 100)])) for r in b.to_pylist()]
+    assert [r["c0"] for r in rows] == list(range(3000)) and {len(r["spans"]) for r in rows} >= {0, 1, 2}
+    total = {x: 0 for x in words}
+    for b in found["counts"]:
+        for r in b.to_pylist():
+            total[r["lang"]] += r["count"] * (r["bucket"] < language.BUCKETS)
+    assert total == {x: sum(sum(map(str.isalpha, t or "")) for t, y in zip(texts, langs) if x == y) for x in words}
+
+
 def test_viterbi():
     rng = np.random.default_rng(3)
     for _ in range(200):
