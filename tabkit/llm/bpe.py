@@ -24,8 +24,10 @@ from tokenizers.pre_tokenizers import ByteLevel
 
 from .automaton import Automaton
 
-# Words remembered per task before the memory is emptied.
-KNOWN_WORDS = 400_000
+# Words remembered per task before those not met lately are forgotten: twice as many at most, some 300 bytes each.
+KNOWN_WORDS = 50_000
+# Pairs of tokens judged per task before the memory is emptied.
+KNOWN_PAIRS = 400_000
 # Texts are encoded together up to about this many bytes, as lists, ids and decoded texts take several times as much.
 TOGETHER_BYTES = 1_000_000
 
@@ -152,17 +154,22 @@ class Encoder:
 
 
 class _Known(dict):
-    """By word: (ids as decimal text, number of ids, decoded bytes)."""
+    """By word: (ids as decimal text, number of ids, decoded bytes). Words met since the last time it was full stay when it is full again."""
 
     def __init__(self, encoder: Encoder):
-        self.encoder = encoder
+        self.encoder, self.before = encoder, {}
 
     def __missing__(self, word: str) -> tuple[str, int, bytes]:
         if len(self) >= KNOWN_WORDS:
+            self.before = self.copy()
             self.clear()
-            self.encoder.compatible.clear()
-        ids = self.encoder.word(word.encode())
-        found = self[word] = (",".join(map(str, ids)), len(ids), b"".join([self.encoder.bytes[i] for i in ids]))
+            if len(self.encoder.compatible) >= KNOWN_PAIRS:
+                self.encoder.compatible.clear()
+        found = self.before.get(word)
+        if found is None:
+            ids = self.encoder.word(word.encode())
+            found = ",".join(map(str, ids)), len(ids), b"".join([self.encoder.bytes[i] for i in ids])
+        self[word] = found
         return found
 
 

@@ -97,3 +97,15 @@ def test_ids_without_decoding(docs):
     key = lambda r: (r.doc_id is None, r.doc_id, r.n_tokens, r.ids)
     assert sorted(map(key, out.collect()), key=str) == sorted(map(key, bpe_encode(docs).collect()), key=str)
     assert bpe_encode(docs, digests=True, decode=False).columns == ["doc_id", "n_tokens", "ids_sha256"]
+
+
+def test_words_met_lately_are_remembered(monkeypatch):
+    """The memory of words stays bounded, and a word that keeps coming is encoded once."""
+    monkeypatch.setattr(bpe_module, "KNOWN_WORDS", 10)
+    encoder = Encoder(public_tokenizers.path("byte_bpe_50k.json"))
+    known, encoded, word = bpe_module._Known(encoder), [], encoder.word
+    monkeypatch.setattr(encoder, "word", lambda data: encoded.append(data) or word(data))
+    for k in range(100):
+        assert [known[w][0] for w in ("often", f"w{k}")] == [",".join(map(str, word(w.encode()))) for w in ("often", f"w{k}")]
+        assert len(known) + len(known.before) <= 20
+    assert encoded.count(b"often") == 1 and len(encoded) == 101
