@@ -109,3 +109,43 @@ def test_words_met_lately_are_remembered(monkeypatch):
         assert [known[w][0] for w in ("often", f"w{k}")] == [",".join(map(str, word(w.encode()))) for w in ("often", f"w{k}")]
         assert len(known) + len(known.before) <= 20
     assert encoded.count(b"often") == 1 and len(encoded) == 101
+
+
+def test_new_words_are_encoded_together(monkeypatch, bpe):
+    """A byte of all of them at a time gives the ids that one word at a time gives; only long ones are encoded singly, and the memory stays bounded."""
+    monkeypatch.setattr(bpe_module, "WORDS_TOGETHER", 50)
+    monkeypatch.setattr(bpe_module, "KNOWN_WORDS", 60)
+    encoder, rnd = Encoder(public_tokenizers.path("byte_bpe_50k.json")), random.Random(4)
+    data = [bytes(rnd.choice(some) for _ in range(rnd.randint(1, 64))) for some in (b"ab", b"- =", b"thionger", bytes(range(256))) for _ in range(300)]
+    found, count = encoder.together(data)
+    assert found.tolist() == [i for word in data for i in encoder.word(word)]
+    assert count.tolist() == [len(encoder.word(word)) for word in data]
+    known, singly, word = bpe_module._Known(encoder), [], encoder.word
+    monkeypatch.setattr(encoder, "word", lambda data: singly.append(data) or word(data))
+    words = [" often" if k % 2 else rnd.choice(["", " "]) + f"{k % 70}thion" * (1 + 30 * (k % 40 == 0)) for k in range(1000)]
+    words[500] = 50256
+    for text, n, decoded in (all := known.all(words)):
+        assert text.count(",") + 1 == n and bpe.decode(list(map(int, text.split(","))), skip_special_tokens=False).encode() == decoded
+    assert [text for text, _, _ in all] == [",".join(map(str, [w] if w == 50256 else bpe.encode(w, add_special_tokens=False).ids)) for w in words]
+    assert singly and min(map(len, singly)) > bpe_module.LONGEST_TOGETHER
+    assert len(known) <= 60 and len(known.before) <= 60
+    assert encoder.together([])[0].tolist() == [] and known.all([]) == []
+
+
+def test_words_of_latin_texts_are_split_as_the_library_splits_them(bpe):
+    encoder = Encoder(public_tokenizers.path("byte_bpe_50k.json"))
+    for c in map(chr, range(0x250)):
+        text = f"a{c}b 1{c}2 {c}{c}  {c}'s{c}_!{c}! {c}"
+        assert encoder.words(text) == [text[a:b] for _, (a, b) in bpe.pre_tokenizer.pre_tokenize_str(text)], ascii(c)
+
+
+def test_a_file_is_read_once_while_it_stays_as_it_is(tmp_path):
+    from pathlib import Path
+
+    held = Path(public_tokenizers.path("byte_bpe_50k.json")).read_text(encoding="utf-8")
+    file = tmp_path / "vocabulary.json"
+    file.write_text(held, encoding="utf-8")
+    first = bpe_module.shared_encoder(str(file))
+    assert bpe_module.shared_encoder(str(file)) is first
+    file.write_text(held + " ", encoding="utf-8")
+    assert bpe_module.shared_encoder(str(file)) is not first
